@@ -32,13 +32,16 @@ TABLES = {
 }
 SNAPSHOTS = ("dim_customers", "dim_products")
 LOAD_LOG = "table string, load_id int, path string, run_id string, records bigint"
+LONGEST_CALENDAR = 100_000
 CALENDAR = (date(2023, 1, 1), date(2027, 12, 31))
 
 
 # ---- the rows of each table -------------------------------------------------------------------------------------
 
 def dim_date(spark: SparkSession, first: date = CALENDAR[0], last: date = CALENDAR[1]) -> DataFrame:
-    """One row per day. The range is an argument; its length bounds every join against this table."""
+    """One row per day. The length is checked, because joins broadcast this table."""
+    if not 0 <= (last - first).days < LONGEST_CALENDAR:
+        raise ValueError(f"calendar must have 1 to {LONGEST_CALENDAR} days")
     days = spark.range(1).select(F.explode(F.sequence(F.lit(first), F.lit(last))).alias("full_date"))
     d = F.col("full_date")
     return days.select(
