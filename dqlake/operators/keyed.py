@@ -10,6 +10,7 @@ decides the route: the result is exact whatever it returns.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -35,23 +36,37 @@ def present(on: Keys) -> Column:
 
 
 def find_hot(rows: DataFrame, keys: Sequence[Keys], hot_rows: int | None = None) -> list[list[int]]:
-    """For each key, the hashes of its values with about ``hot_rows`` rows or more; at most HOT_KEYS each.
+    """For each key, the hashes of its values with about ``hot_rows`` rows or more; at most HOT_KEYS each."""
+    return find_hot_in([(rows, keys)], hot_rows)[0]
 
-    One pass over the key columns. Sketches are merged in two steps, so no task merges one sketch per input split.
+
+def find_hot_in(
+    tables: Sequence[tuple[DataFrame, Sequence[Keys]]], hot_rows: int | None = None
+) -> list[list[list[int]]]:
+    """``find_hot`` for several tables in one job that reads the key columns once.
+
+    Sketches are merged in two steps, so no task merges one sketch per input split.
     """
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    hashes = [F.when(present(on), F.xxhash64(*on)).alias(f"h{i}") for i, on in enumerate(keys)]
-    groups = (
-        rows.select(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g"), *hashes)
-        .groupBy("g")
-        .agg(*[F.expr(f"approx_top_k_accumulate(h{i}, {SKETCH_ITEMS}) AS s{i}") for i in range(len(keys))])
+    parts = []
+    for t, (rows, keys) in enumerate(tables):
+        pairs = [F.struct(F.lit(t).alias("t"), F.lit(k).alias("k"), F.xxhash64(*on).alias("h"), present(on).alias("ok"))
+                 for k, on in enumerate(keys)]
+        parts.append(rows.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").where("ok"))
+    top = (
+        reduce(DataFrame.unionByName, parts)
+        .groupBy("t", "k", F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g"))
+        .agg(F.expr(f"approx_top_k_accumulate(h, {SKETCH_ITEMS})").alias("s"))
+        .groupBy("t", "k")
+        .agg(F.expr(f"approx_top_k_combine(s, {SKETCH_ITEMS})").alias("s"))
+        .select("t", "k", F.explode(F.expr(f"approx_top_k_estimate(s, {HOT_KEYS})")).alias("e"))
+        .where(F.col("e.count") >= hot_rows)
+        .select("t", "k", "e.item")
     )
-    merged = [f"approx_top_k_estimate(approx_top_k_combine(s{i}, {SKETCH_ITEMS}), {HOT_KEYS + 1}) AS t{i}"
-              for i in range(len(keys))]
-    top = groups.agg(*[F.expr(m) for m in merged]).first()
-    return [
-        [e["item"] for e in top[i] if e["item"] is not None and e["count"] >= hot_rows] for i in range(len(keys))
-    ]
+    out: list[list[list[int]]] = [[[] for _ in keys] for _, keys in tables]
+    for row in top.collect():  # at most HOT_KEYS hashes per key
+        out[row["t"]][row["k"]].append(row["item"])
+    return out
 
 
 def attach(rows: DataFrame, lookup: DataFrame, on: Keys, hot: Sequence[int] = ()) -> DataFrame:

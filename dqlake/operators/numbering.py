@@ -14,13 +14,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from dqlake.operators.keyed import ROW_ID, attach, find_hot, with_row_id
 from dqlake.sources.staging import stage
 
-_PART = F.shiftright("_pos", 33)
-_PLACE = F.col("_pos").bitwiseAND((1 << 33) - 1)
+
+def _part() -> Column:
+    return F.shiftright("_pos", 33)
 
 
 def _before(placed: DataFrame, amount: Column) -> DataFrame:
     """Per sort partition, the total of all earlier partitions. One row per partition."""
-    totals = placed.groupBy(_PART.alias("_part")).agg(amount.alias("_n"))
+    totals = placed.groupBy(_part().alias("_part")).agg(amount.alias("_n"))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     return totals.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
 
@@ -34,9 +35,9 @@ def number_rows(df: DataFrame, order: Sequence[Column], name: str, first: Column
     placed = _place(df, order)
     first = F.lit(first) if isinstance(first, int) else first
     return (
-        placed.withColumn("_part", _PART)
+        placed.withColumn("_part", _part())
         .join(F.broadcast(_before(placed, F.count(F.lit(1)))), "_part", "left")
-        .withColumn(name, F.col("_before") + _PLACE + first)
+        .withColumn(name, F.col("_before") + F.col("_pos").bitwiseAND((1 << 33) - 1) + first)
         .drop("_pos", "_part", "_before")
     )
 
@@ -56,7 +57,7 @@ def rank_desc(
     placed = _place(counts, [*[F.col(c).asc_nulls_first() for c in within], F.col(value).desc_nulls_last()])
     inside = Window.partitionBy("_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
     summed = (
-        placed.withColumn("_part", _PART)
+        placed.withColumn("_part", _part())
         .join(F.broadcast(_before(placed, F.sum("_rows"))), "_part", "left")
         .withColumn("_ahead", F.col("_before") + F.coalesce(F.sum("_rows").over(inside), F.lit(0)))
     )

@@ -15,7 +15,10 @@ from dqlake import schemas
 from dqlake.functions import is_blank, number, timestamp_of
 from dqlake.functions.dates import FORMATS
 from dqlake.functions.numbers import MAX_INT, MAX_PRICE
-from dqlake.operators.keyed import find_hot, mark_members, repeated_keys, with_row_id
+from dqlake.operators.keyed import find_hot_in, mark_members, repeated_keys, with_row_id
+
+
+KEYED = ("unique", "referential_integrity")
 
 
 @dataclass(frozen=True)
@@ -125,29 +128,43 @@ def referential_integrity(
     return marked.withColumn(flag, ~F.col(flag))
 
 
+def key_columns(rows: DataFrame, checks: Sequence[Check]) -> list[str]:
+    """The columns that the checks look up as keys."""
+    return sorted({c.column for c in checks if c.kind in KEYED and c.column in rows.columns})
+
+
+def hot_values(
+    batch: Sequence[tuple[DataFrame, Sequence[Check]]], hot_rows: int | None = None
+) -> list[dict[str, list[int]]]:
+    """Per dataset and key column, the hashes of its hot values; one job for the whole batch."""
+    columns = [key_columns(rows, checks) for rows, checks in batch]
+    asked = [(rows, [[c] for c in cols]) for (rows, _), cols in zip(batch, columns) if cols]
+    found = iter(find_hot_in(asked, hot_rows) if asked else [])
+    return [dict(zip(cols, next(found))) if cols else {} for cols in columns]
+
+
 def flag_rows(
     rows: DataFrame,
     checks: Sequence[Check],
     parents: dict[str, DataFrame] | None = None,
-    hot_rows: int | None = None,
+    hot: dict[str, list[int]] | None = None,
 ) -> DataFrame:
     """Add one boolean ``fail_<i>`` column per check.
 
-    ``rows`` must come straight from a scan or a staged table. ``parents`` maps a parent name to its valid keys.
+    ``rows`` must come straight from a scan or a staged table. ``parents`` maps a parent name to its valid keys,
+    ``hot`` a key column to the hashes of its hot values (found here when not given).
     """
     have = set(rows.columns)
+    hot = hot_values([(rows, checks)])[0] if hot is None else hot
     simple, keyed = {}, {}
     for i, check in enumerate(checks):
         if check.column not in have:
             simple[flag_name(i)] = F.lit(True)
-        elif check.kind in ("unique", "referential_integrity"):
+        elif check.kind in KEYED:
             keyed[i] = check
         else:
             simple[flag_name(i)] = _row_level(check)
 
-    columns = sorted({c.column for c in keyed.values()})
-    hot = dict(zip(columns, find_hot(rows, [[c] for c in columns], hot_rows))) if columns else {}
-
     out = with_row_id(rows).withColumns(simple)
     for i, check in keyed.items():
         column, flag = check.column, flag_name(i)

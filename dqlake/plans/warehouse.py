@@ -143,10 +143,13 @@ def read_table(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
     if table not in SNAPSHOTS:
         path = layout.warehouse(table)
         return read_if_there(lambda: spark.read.schema(schema).parquet(path), spark, schema)
-    current = _current(spark, layout, table)
-    if current is None:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(current["path"])
+    return _at(spark, table, _current(spark, layout, table))
+
+
+def _at(spark: SparkSession, table: str, snapshot) -> DataFrame:
+    if snapshot is None:
+        return spark.createDataFrame([], TABLES[table])
+    return spark.read.schema(TABLES[table]).parquet(snapshot["path"])
 
 
 def _typed(df: DataFrame, table: str) -> DataFrame:
@@ -154,27 +157,21 @@ def _typed(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(n).cast(t).alias(n) for n, t in fields])
 
 
-def _write_snapshot(df: DataFrame, layout: Layout, table: str, run_id: str) -> None:
-    spark = df.sparkSession
-    current = _current(spark, layout, table)
-    load_id = 1 if current is None else current["load_id"] + 1
-    path = f"{layout.warehouse(table)}/load={load_id}"
-    write_parquet(_typed(df, table), path)
-    records = spark.read.parquet(path).count()
-    entry = spark.createDataFrame([(table, load_id, path, run_id, records)], LOAD_LOG)
-    entry.coalesce(1).write.mode("append").parquet(layout.warehouse("load_log"))
-
-
 def _load_dimension(
     spark: SparkSession, layout: Layout, table: str, rows: DataFrame, key: str, surrogate: str, run_id: str, at,
     full_refresh: bool,
 ) -> int:
-    target = read_table(spark, layout, table)
-    keyed = stage(
-        keep_or_number(rows, target, key, surrogate, [key]).withColumn("created_at", at), table
-    )
+    """Write the merged dimension as a new snapshot, then name it in the load log."""
+    current = _current(spark, layout, table)
+    target = _at(spark, table, current)
+    keyed = stage(keep_or_number(rows, target, key, surrogate, [key]).withColumn("created_at", at), table)
     merged = keyed if full_refresh else replace_by_key(target.select(*keyed.columns), keyed, key)
-    _write_snapshot(merged, layout, table, run_id)
+    load_id = 1 if current is None else current["load_id"] + 1
+    path = f"{layout.warehouse(table)}/load={load_id}"
+    write_parquet(_typed(merged, table), path)
+    entry = spark.createDataFrame(
+        [(table, load_id, path, run_id, _at(spark, table, {"path": path}).count())], LOAD_LOG)
+    entry.coalesce(1).write.mode("append").parquet(layout.warehouse("load_log"))
     return keyed.count()
 
 
@@ -208,7 +205,7 @@ def _load_facts(spark: SparkSession, layout: Layout, run_id: str, at, full_refre
     return keyed.count()
 
 
-def _load_audit(spark: SparkSession, layout: Layout, at) -> int:
+def load_audit(spark: SparkSession, layout: Layout, at) -> int:
     """Add the checks of runs not loaded yet; the table lies by run and older runs are not touched."""
     target = read_table(spark, layout, "data_quality_audit")
     fresh = audit_rows(read_documents(spark, layout.reports, schemas.REPORT), target, at)
@@ -219,7 +216,7 @@ def _load_audit(spark: SparkSession, layout: Layout, at) -> int:
     return rows.count()
 
 
-def _load_quarantine(spark: SparkSession, layout: Layout, run_id: str) -> int:
+def load_quarantine(spark: SparkSession, layout: Layout, run_id: str) -> int:
     """Put the run's quarantine records in the audit table, in place of any it held of this run."""
     target = read_table(spark, layout, "quarantine_audit").where(F.col("run_id") != run_id)
     parts = [quarantine_audit(read_quarantine(spark, layout, d, run_id)) for d in DATASETS]
@@ -244,8 +241,8 @@ def load(
         "products_loaded": _load_dimension(
             spark, layout, "dim_products", products, "product_id", "product_key", run_id, stamp, full_refresh),
         "orders_loaded": _load_facts(spark, layout, run_id, stamp, full_refresh),
-        "audit_records_loaded": _load_audit(spark, layout, stamp),
-        "quarantine_records_loaded": _load_quarantine(spark, layout, run_id),
+        "audit_records_loaded": load_audit(spark, layout, stamp),
+        "quarantine_records_loaded": load_quarantine(spark, layout, run_id),
     }
 
 

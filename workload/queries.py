@@ -17,7 +17,7 @@ from dqlake.operators.numbering import number_rows
 from dqlake.operators.rules import CHECKS, EMAIL_FORMAT, Check, flag_name, flag_rows, joined_reasons, unique
 from dqlake.operators.upsert import keep_or_number, replace_by_key
 from dqlake.plans import evolution, lake, lineage, marts, warehouse
-from dqlake.plans.batch import DATASETS, Flagged, flag_batch
+from dqlake.plans.batch import DATASETS, Flagged, flag_batch, valid_keys
 from dqlake.plans.gate import evaluate_batch, quarantine_page, snapshot
 from dqlake.plans.job import replay, run_batch
 from dqlake.plans.layout import Layout
@@ -104,8 +104,8 @@ def rule_valid_datetime(spark, sf):
 def rule_referential_integrity(spark, sf):
     raw = raw_tables(spark, sf)
     parents = {
-        "customers": splits.valid_rows(flag_rows(raw["customers"], CHECKS["customers"])).select("customer_id"),
-        "products": splits.valid_rows(flag_rows(raw["products"], CHECKS["products"])).select("product_id"),
+        "customers": valid_keys(flag_rows(raw["customers"], CHECKS["customers"]), "customer_id"),
+        "products": valid_keys(flag_rows(raw["products"], CHECKS["products"]), "product_id"),
     }
     return _with_flags(raw["orders"], CHECKS["orders"][6:8], ["order_id", "customer_id", "product_id"], parents)
 
@@ -252,12 +252,15 @@ def _empty(spark: SparkSession, name: str) -> DataFrame:
 
 def _fact(spark: SparkSession, sf: str) -> DataFrame:
     """Facts without the surrogate key, which no mart reads."""
-    return warehouse.fact_rows(_clean_orders(spark, sf))
+    return _fact_of(_flagged(spark, sf))
+
+
+def _fact_of(flagged: Flagged) -> DataFrame:
+    return warehouse.fact_rows(clean_orders(flagged.valid("orders")))
 
 
 def _keyed_fact(spark: SparkSession, sf: str) -> DataFrame:
-    rows = warehouse.fact_rows(_clean_orders(spark, sf))
-    return number_rows(rows, [F.col("order_date"), F.col("order_id")], "order_key", 1)
+    return number_rows(_fact(spark, sf), [F.col("order_date"), F.col("order_id")], "order_key", 1)
 
 
 @query
@@ -321,13 +324,12 @@ def _monthly(spark: SparkSession, sf: str) -> DataFrame:
 
 def _products_mart(spark: SparkSession, sf: str) -> DataFrame:
     flagged = _flagged(spark, sf)
-    return marts.top_products(
-        clean_products(flagged.valid("products")), warehouse.fact_rows(clean_orders(flagged.valid("orders"))))
+    return marts.top_products(clean_products(flagged.valid("products")), _fact_of(flagged))
 
 
-def _audit(spark: SparkSession, sf: str) -> DataFrame:
+def _audit(flagged: Flagged) -> DataFrame:
     """The checks of two runs a day apart."""
-    checks = stage(_flagged(spark, sf).metrics(), "metrics")
+    checks = stage(flagged.metrics(), "metrics")
     runs = [
         checks.withColumns({"run_id": F.lit(run), "evaluated_at": literal_time(datetime(2027, 6, day, 6))})
         for run, day in (("run-a", 1), ("run-b", 2))
@@ -353,9 +355,14 @@ REGISTRY["mart_customer_retention"] = lambda spark, sf: marts.customer_retention
 REGISTRY["segment_spend"] = lambda spark, sf: marts.segment_spend(
     marts.customer_retention(_lake_customers(spark, sf)))
 REGISTRY["mart_quality_trends"] = lambda spark, sf: as_text(
-    marts.recent_trends(marts.quality_trends(_audit(spark, sf))))
-REGISTRY["recent_quality_checks"] = lambda spark, sf: as_text(marts.recent_checks(_audit(spark, sf), 20))
-REGISTRY["executive_summary"] = lambda spark, sf: marts.executive_summary(_fact(spark, sf), _audit(spark, sf))
+    marts.recent_trends(marts.quality_trends(_audit(_flagged(spark, sf)))))
+REGISTRY["recent_quality_checks"] = lambda spark, sf: as_text(marts.recent_checks(_audit(_flagged(spark, sf)), 20))
+
+
+@query
+def executive_summary(spark, sf):
+    flagged = _flagged(spark, sf)
+    return marts.executive_summary(_fact_of(flagged), _audit(flagged))
 
 
 @query
@@ -487,14 +494,13 @@ def lake_manifest(spark, sf):
 
 @query
 def audit_load_idempotent(spark, sf):
-    """Two runs' reports loaded, then everything loaded once more."""
+    """Two runs' reports loaded into the audit, then loaded once more."""
     layout = Layout(shared_folder(spark, "audit"))
     raw = snapshot(raw_tables(spark, sf), layout, "run-a")
     for run in ("run-a", "run-b"):
-        result = evaluate_batch(raw, layout, run, 90.0, AT)
-    lake.publish(result.flagged, layout, "run-b", AT)
-    warehouse.load(spark, layout, "run-b", AT)
-    warehouse.load(spark, layout, "run-b", AT)
+        evaluate_batch(raw, layout, run, 90.0, AT)
+    for _ in range(2):
+        warehouse.load_audit(spark, layout, literal_time(AT))
     return warehouse.read_table(spark, layout, "data_quality_audit").drop("evaluated_at")
 
 
