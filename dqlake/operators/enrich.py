@@ -16,6 +16,18 @@ NO_ORDER_DAYS = 999
 # Lowest spend of a tier, highest tier first.
 TIERS = [("Diamond", 10000), ("Gold", 5000), ("Silver", 1000)]
 LOWEST_TIER = "Bronze"
+# What a customer row holds where nothing is known.
+DEFAULTS = {
+    "total_spend": 0.0,
+    "total_orders": 0,
+    "avg_order_value": 0.0,
+    "days_since_last_order": NO_ORDER_DAYS,
+    "customer_tier": LOWEST_TIER,
+    "name": "Unknown",
+    "email": "",
+    "country": "Other",
+    "segment": "Consumer",
+}
 
 
 def tier(spend: Column) -> Column:
@@ -41,18 +53,9 @@ def customer_rfm(orders: DataFrame) -> DataFrame:
 
 
 def enrich_customers(customers: DataFrame, orders: DataFrame) -> DataFrame:
+    """Order features of every customer; one without orders gets the defaults, as do missing descriptions."""
     joined = customers.join(customer_rfm(orders), "customer_id", "left")
-    return joined.fillna({
-        "total_spend": 0.0,
-        "total_orders": 0,
-        "avg_order_value": 0.0,
-        "days_since_last_order": NO_ORDER_DAYS,
-        "customer_tier": LOWEST_TIER,
-        "name": "Unknown",
-        "email": "",
-        "country": "Other",
-        "segment": "Consumer",
-    })
+    return joined.fillna({c: v for c, v in DEFAULTS.items() if c in joined.columns})
 
 
 def product_sales(orders: DataFrame) -> DataFrame:
