@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 HOT_KEYS = 500
-HOT_ROWS = 100_000
+HOT_ROWS = 1_000_000
 SKETCH_ITEMS = 4096
 SKETCH_GROUPS = 64
 ROW_ID = "_row"
@@ -24,8 +24,11 @@ Keys = Sequence[str]
 
 
 def with_row_id(rows: DataFrame) -> DataFrame:
-    """Number the rows of a scan. Only for scans: there a retried task numbers its rows the same way."""
-    return rows.withColumn(ROW_ID, F.monotonically_increasing_id())
+    """Number the rows of a scan, unless they carry an id already.
+
+    Only a scan numbers its rows the same way when a task is retried; other inputs bring a unique id along.
+    """
+    return rows if ROW_ID in rows.columns else rows.withColumn(ROW_ID, F.monotonically_increasing_id())
 
 
 def present(on: Keys) -> Column:
@@ -45,14 +48,23 @@ def find_hot_in(
 ) -> list[list[list[int]]]:
     """``find_hot`` for several tables in one job that reads the key columns once.
 
-    Sketches are merged in two steps, so no task merges one sketch per input split.
+    Tables with fewer rows than a hot key needs are left out; counting them reads file footers only. Sketches are
+    merged in two steps, so no task merges one sketch per input split.
     """
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    out: list[list[list[int]]] = [[[] for _ in keys] for _, keys in tables]
+    sizes = reduce(DataFrame.unionByName, [
+        rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("t"), "n") for t, (rows, _) in enumerate(tables)
+    ])
+    large = [r["t"] for r in sizes.collect() if r["n"] >= hot_rows]
     parts = []
-    for t, (rows, keys) in enumerate(tables):
+    for t in large:
+        rows, keys = tables[t]
         pairs = [F.struct(F.lit(t).alias("t"), F.lit(k).alias("k"), F.xxhash64(*on).alias("h"), present(on).alias("ok"))
                  for k, on in enumerate(keys)]
         parts.append(rows.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").where("ok"))
+    if not parts:
+        return out
     top = (
         reduce(DataFrame.unionByName, parts)
         .groupBy("t", "k", F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g"))
@@ -63,7 +75,6 @@ def find_hot_in(
         .where(F.col("e.count") >= hot_rows)
         .select("t", "k", "e.item")
     )
-    out: list[list[list[int]]] = [[[] for _ in keys] for _, keys in tables]
     for row in top.collect():  # at most HOT_KEYS hashes per key
         out[row["t"]][row["k"]].append(row["item"])
     return out

@@ -12,6 +12,7 @@ from dqlake.plans.batch import DATASETS
 from dqlake.plans.gate import BLOCKED, evaluate_batch, ingest_csv, read_snapshot, snapshot
 from dqlake.plans.lake import publish_if_passed
 from dqlake.plans.layout import Layout
+from dqlake.session import prepare
 
 
 def run_batch(
@@ -59,7 +60,7 @@ def _from_gate(
     raw: dict[str, DataFrame], layout: Layout, run_id: str, threshold: float, at: datetime | None,
     hot_rows: int | None = None,
 ) -> dict:
-    spark = raw["orders"].sparkSession
+    spark = prepare(raw["orders"].sparkSession)
     result = evaluate_batch(raw, layout, run_id, threshold, at, hot_rows)
     s = result.summary
     out = {

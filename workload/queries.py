@@ -23,7 +23,7 @@ from dqlake.plans.job import replay, run_batch
 from dqlake.plans.layout import Layout
 from dqlake.sources.files import NULL_TOKENS, read_csv, read_csv_batches, write_csv
 from dqlake.sources.staging import shared_folder, stage
-from workload.raw import SQL, raw_table, raw_tables, table
+from workload.raw import SQL, plain_tables, raw_table, raw_tables, table
 
 RUN = "R1"
 AT = datetime(2027, 6, 1, 6, 0, 0)
@@ -402,7 +402,7 @@ REGISTRY["contract_country"] = lambda spark, sf: _contract(
 @query
 def schema_drift(spark, sf):
     """Four order batches as CSV folders, judged file by file; one row per batch and verdict."""
-    orders = raw_tables(spark, sf)["orders"]
+    orders = plain_tables(spark, sf)["orders"]
     folder = shared_folder(spark, "incoming")
     batches = {
         "exact": orders,
@@ -421,7 +421,7 @@ def schema_drift(spark, sf):
 @query
 def compatible_extension_union(spark, sf):
     """A folder of two CSV batches, one with an added column, read as one table."""
-    orders = raw_tables(spark, sf)["orders"]
+    orders = plain_tables(spark, sf)["orders"]
     folder = shared_folder(spark, "extended")
     write_csv(orders.where("payment_method <> 'UPI'"), f"{folder}/old")
     extended = orders.where("payment_method = 'UPI'").withColumn("coupon_code", F.concat(F.lit("C-"), "order_status"))
@@ -461,7 +461,7 @@ def noise_injection(spark, sf):
 @query
 def csv_null_tokens(spark, sf):
     """Raw orders written with every spelling of null and read back."""
-    orders = raw_tables(spark, sf)["orders"]
+    orders = plain_tables(spark, sf)["orders"]
     tokens = F.array(*[F.lit(t) for t in NULL_TOKENS])
     spelled = F.element_at(tokens, (F.pmod(F.xxhash64("order_id"), F.lit(len(NULL_TOKENS))) + 1).cast("int"))
     path = shared_folder(spark, "csv")
@@ -471,7 +471,7 @@ def csv_null_tokens(spark, sf):
 
 def _published(spark: SparkSession, sf: str) -> tuple[Layout, DataFrame]:
     layout = Layout(shared_folder(spark, "lake"))
-    result = evaluate_batch(raw_tables(spark, sf), layout, RUN, 90.0, AT)
+    result = evaluate_batch(snapshot(plain_tables(spark, sf), layout, RUN), layout, RUN, 90.0, AT)
     return layout, lake.publish_if_passed(result, layout, RUN, at=AT)
 
 
@@ -496,7 +496,7 @@ def lake_manifest(spark, sf):
 def audit_load_idempotent(spark, sf):
     """Two runs' reports loaded into the audit, then loaded once more."""
     layout = Layout(shared_folder(spark, "audit"))
-    raw = snapshot(raw_tables(spark, sf), layout, "run-a")
+    raw = snapshot(plain_tables(spark, sf), layout, "run-a")
     for run in ("run-a", "run-b"):
         evaluate_batch(raw, layout, run, 90.0, AT)
     for _ in range(2):
@@ -508,7 +508,7 @@ def audit_load_idempotent(spark, sf):
 def replay_run(spark, sf):
     """A run blocked at 95, replayed from its snapshot at 90."""
     root = shared_folder(spark, "replay")
-    first = run_batch(raw_tables(spark, sf), root, "run-1", 95.0, AT)
+    first = run_batch(plain_tables(spark, sf), root, "run-1", 95.0, AT)
     second = replay(spark, root, "run-2", source_run="run-1", threshold=90.0, at=AT)
     rows = [
         (name, r["status"], r["quality_score"], r["orders_processed"], r["partitions_created"],

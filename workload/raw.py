@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from dqlake.operators.keyed import ROW_ID
+from dqlake.session import prepare
+
 RAW_CUSTOMERS = """
 SELECT CASE WHEN c_custkey % 397 = 13 THEN NULL WHEN c_custkey % 331 = 17 THEN 'CUST-' || lpad(cast(c_custkey + 1 AS string), 6, '0')
             ELSE 'CUST-' || lpad(cast(c_custkey AS string), 6, '0') END AS customer_id,
@@ -46,16 +49,32 @@ SQL = {"customers": RAW_CUSTOMERS, "products": RAW_PRODUCTS, "orders": RAW_ORDER
 SOURCE = {"customers": "customer", "products": "part", "orders": "orders"}
 
 
+KEY = {"customers": "c_custkey", "products": "p_partkey", "orders": "o_orderkey"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table with fewer splits than there are cores is dealt out to all of them; larger ones stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def raw_table(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
-    source = SOURCE[dataset]
-    text = SQL[dataset].replace(f"FROM {source}", "FROM {src}")
-    return spark.sql(text, src=table(spark, sf_dir, source))
+    """The raw table; the source's own key serves as row id."""
+    source, key = SOURCE[dataset], KEY[dataset]
+    text = SQL[dataset].strip().replace(f"FROM {source}", "FROM {src}")
+    text = text.replace("SELECT ", f"SELECT {key} AS {ROW_ID}, ", 1)
+    return spark.sql(text, src=spread(table(spark, sf_dir, source)))
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    prepare(spark).conf.set("spark.sql.session.timeZone", "UTC")
     return {d: raw_table(spark, sf_dir, d) for d in SQL}
+
+
+def plain_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The raw tables without row id, as files would hold them."""
+    return {d: df.drop(ROW_ID) for d, df in raw_tables(spark, sf_dir).items()}
