@@ -16,6 +16,7 @@ from dqlake.functions import is_blank, number, timestamp_of
 from dqlake.functions.dates import FORMATS
 from dqlake.functions.numbers import MAX_INT, MAX_PRICE
 from dqlake.operators.keyed import find_hot_in, mark_members, repeated_keys, with_row_id
+from dqlake.sources.staging import stage
 
 
 KEYED = ("unique", "referential_integrity")
@@ -148,11 +149,13 @@ def flag_rows(
     checks: Sequence[Check],
     parents: dict[str, DataFrame] | None = None,
     hot: dict[str, list[int]] | None = None,
+    store: bool = False,
 ) -> DataFrame:
     """Add one boolean ``fail_<i>`` column per check.
 
     ``rows`` must come straight from a scan or a staged table. ``parents`` maps a parent name to its valid keys,
-    ``hot`` a key column to the hashes of its hot values (found here when not given).
+    ``hot`` a key column to the hashes of its hot values (found here when not given). With ``store`` the repeated keys
+    are written first: Spark then knows their size and needs no shuffle of the rows when they are few.
     """
     have = set(rows.columns)
     hot = hot_values([(rows, checks)])[0] if hot is None else hot
@@ -169,7 +172,8 @@ def flag_rows(
     for i, check in keyed.items():
         column, flag = check.column, flag_name(i)
         if check.kind == "unique":
-            out = mark_members(out, repeated_keys(rows, [column]), [column], flag, hot[column])
+            repeated = repeated_keys(rows, [column]).select(column)
+            out = mark_members(out, stage(repeated, "repeated") if store else repeated, [column], flag, hot[column])
         else:
             out = referential_integrity(out, column, parents[check.parent], flag, hot[column])
     return out

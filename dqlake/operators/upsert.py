@@ -6,17 +6,27 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from dqlake.operators.keyed import repeated_keys
 from dqlake.operators.numbering import number_rows
+from dqlake.sources.staging import stage
 
 
 def first_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """The first row of each key by ``order``, then by the other columns.
+    """The first row of each key by ``order``, then by the other columns; rows without a key all stay.
 
-    The smallest row is an aggregate, combined before the shuffle, so a key with many copies needs no large group.
+    ``df`` is a stored table. Only the key column is shuffled to find the keys that repeat. Without any, the rows pass
+    untouched; otherwise the repeated ones alone are reduced. The smallest row is an aggregate, combined before the
+    shuffle, so a key with many copies needs no large group.
     """
+    repeated = stage(repeated_keys(df, [key]).select(key), "repeated")
+    if repeated.isEmpty():
+        return df
     rest = [c for c in df.columns if c != key and c not in order]
-    first = df.groupBy(key).agg(F.min(F.struct(*order, *rest)).alias("_first"))
-    return first.select(*[F.col(c) if c == key else F.col(f"_first.{c}").alias(c) for c in df.columns])
+    first = (
+        df.join(repeated, key, "left_semi").groupBy(key).agg(F.min(F.struct(*order, *rest)).alias("_first"))
+        .select(*[F.col(c) if c == key else F.col(f"_first.{c}").alias(c) for c in df.columns])
+    )
+    return df.join(repeated, key, "left_anti").select(*df.columns).unionByName(first)
 
 
 def replace_by_key(target: DataFrame, source: DataFrame, key: str) -> DataFrame:

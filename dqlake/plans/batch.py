@@ -60,9 +60,11 @@ def flag_batch(raw: dict[str, DataFrame], hot_rows: int | None = None) -> Flagge
     return Flagged(customers, products, _flag_orders(raw["orders"], customers, products, hot["orders"]))
 
 
-def _flag_orders(orders: DataFrame, customers: DataFrame, products: DataFrame, hot: dict[str, list[int]]) -> DataFrame:
+def _flag_orders(
+    orders: DataFrame, customers: DataFrame, products: DataFrame, hot: dict[str, list[int]], store: bool = False
+) -> DataFrame:
     parents = {"customers": valid_keys(customers, "customer_id"), "products": valid_keys(products, "product_id")}
-    return flag_rows(orders, CHECKS["orders"], parents, hot)
+    return flag_rows(orders, CHECKS["orders"], parents, hot, store)
 
 
 def stage_batch(raw: dict[str, DataFrame], folder: str, hot_rows: int | None = None) -> Flagged:
@@ -70,7 +72,7 @@ def stage_batch(raw: dict[str, DataFrame], folder: str, hot_rows: int | None = N
     hot = _hot(raw, hot_rows)
     done = {}
     for d in ("customers", "products"):
-        done[d] = stage(flag_rows(raw[d], CHECKS[d], hot=hot[d]), d, f"{folder}/{d}")
-    orders = _flag_orders(raw["orders"], done["customers"], done["products"], hot["orders"])
+        done[d] = stage(flag_rows(raw[d], CHECKS[d], hot=hot[d], store=True), d, f"{folder}/{d}")
+    orders = _flag_orders(raw["orders"], done["customers"], done["products"], hot["orders"], store=True)
     done["orders"] = stage(orders, "orders", f"{folder}/orders")
     return Flagged(**done)

@@ -8,7 +8,7 @@ from workload.queries import queries
 from workload.raw import raw_tables
 
 SF = "/root/testdata/sf0.001"
-LAZY = ["orders_flagged_reasons", "orders_valid", "quality_metrics", "clean_orders", "mart_monthly_revenue",
+LAZY = ["orders_flagged_reasons", "orders_valid", "quality_metrics", "enrich_products", "clean_orders", "mart_monthly_revenue",
         "mart_top_products", "orphan_report", "contract_orders", "outside_calendar"]
 
 

@@ -256,7 +256,7 @@ def _fact(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _fact_of(flagged: Flagged) -> DataFrame:
-    return warehouse.fact_rows(clean_orders(flagged.valid("orders")))
+    return warehouse.fact_rows(stage(clean_orders(flagged.valid("orders")), "clean_orders"))
 
 
 def _keyed_fact(spark: SparkSession, sf: str) -> DataFrame:
@@ -293,7 +293,7 @@ def fact_orders(spark, sf):
 @query
 def star_upsert(spark, sf):
     """Facts before 2026 loaded first, then a batch from July 2025 on with changed status."""
-    facts = stage(_fact(spark, sf).drop("year", "month"), "facts")
+    facts = _fact(spark, sf).drop("year", "month")
     order = ["order_date", "order_id"]
     first = facts.where(F.col("order_date") < literal_time(datetime(2026, 1, 1)))
     day1 = stage(number_rows(first, [F.col(c) for c in order], "order_key", 1), "day1")

@@ -56,10 +56,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A table with fewer splits than there are cores is dealt out to all of them; larger ones stay as they are."""
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A table with fewer splits than there are cores is dealt out to all of them by its key; larger ones stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
 
 
 def raw_table(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
@@ -67,7 +67,7 @@ def raw_table(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
     source, key = SOURCE[dataset], KEY[dataset]
     text = SQL[dataset].strip().replace(f"FROM {source}", "FROM {src}")
     text = text.replace("SELECT ", f"SELECT {key} AS {ROW_ID}, ", 1)
-    return spark.sql(text, src=spread(table(spark, sf_dir, source)))
+    return spark.sql(text, src=spread(table(spark, sf_dir, source), key))
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
