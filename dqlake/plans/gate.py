@@ -101,8 +101,7 @@ def read_quarantine(spark: SparkSession, layout: Layout, dataset: str, run_id: s
         ["quarantine_id string", "dataset string", "quarantine_timestamp timestamp_ntz", "error_reasons string"]
         + [f"{c} string" for c in schemas.RAW[dataset].fieldNames()]
     )
-    path = layout.quarantine(dataset, run_id)
-    records = read_if_there(lambda: read_parquet(spark, path), spark, columns)
+    records = read_if_there(spark, layout.quarantine(dataset, run_id), columns)
     return records.withColumn("run_id", F.lit(run_id))
 
 

@@ -20,7 +20,7 @@ from dqlake.plans.batch import DATASETS
 from dqlake.plans.gate import as_column, read_quarantine
 from dqlake.plans.lake import PARTITION, by_date
 from dqlake.plans.layout import Layout
-from dqlake.sources.files import read_documents, read_if_there, read_parquet, write_parquet
+from dqlake.sources.files import empty_table, read_documents, read_if_there, read_parquet, write_parquet
 from dqlake.sources.staging import stage
 
 TABLES = {
@@ -122,8 +122,7 @@ def orphans(fact: DataFrame, customers: DataFrame, products: DataFrame) -> DataF
 # ---- stored tables ----------------------------------------------------------------------------------------------
 
 def _load_log(spark: SparkSession, layout: Layout) -> DataFrame:
-    path = layout.warehouse("load_log")
-    return read_if_there(lambda: spark.read.schema(LOAD_LOG).parquet(path), spark, LOAD_LOG)
+    return read_if_there(spark, layout.warehouse("load_log"), LOAD_LOG)
 
 
 def _current(spark: SparkSession, layout: Layout, table: str):
@@ -139,16 +138,14 @@ def read_table(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
     """The current rows; empty before the first load. ``dim_date`` is computed."""
     if table == "dim_date":
         return dim_date(spark)
-    schema = TABLES[table]
     if table not in SNAPSHOTS:
-        path = layout.warehouse(table)
-        return read_if_there(lambda: spark.read.schema(schema).parquet(path), spark, schema)
+        return read_if_there(spark, layout.warehouse(table), TABLES[table])
     return _at(spark, table, _current(spark, layout, table))
 
 
 def _at(spark: SparkSession, table: str, snapshot) -> DataFrame:
     if snapshot is None:
-        return spark.createDataFrame([], TABLES[table])
+        return empty_table(spark, TABLES[table])
     return spark.read.schema(TABLES[table]).parquet(snapshot["path"])
 
 
@@ -169,9 +166,10 @@ def _load_dimension(
     load_id = 1 if current is None else current["load_id"] + 1
     path = f"{layout.warehouse(table)}/load={load_id}"
     write_parquet(_typed(merged, table), path)
-    entry = spark.createDataFrame(
-        [(table, load_id, path, run_id, _at(spark, table, {"path": path}).count())], LOAD_LOG)
-    entry.coalesce(1).write.mode("append").parquet(layout.warehouse("load_log"))
+    entry = _at(spark, table, {"path": path}).agg(F.count(F.lit(1)).alias("records")).select(
+        F.lit(table).alias("table"), F.lit(load_id).alias("load_id"), F.lit(path).alias("path"),
+        F.lit(run_id).alias("run_id"), "records")
+    entry.write.mode("append").parquet(layout.warehouse("load_log"))
     return keyed.count()
 
 

@@ -63,15 +63,23 @@ def write_document(df: DataFrame, path: str) -> None:
 
 def read_documents(spark: SparkSession, folder: str, schema: T.StructType, name: str = "*.json") -> DataFrame:
     """All JSON documents below a folder whose file name fits; empty when the folder is not there."""
-    reader = spark.read.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", name)
-    return read_if_there(lambda: reader.json(folder), spark, schema)
+    return read_if_there(spark, folder, schema, "json", recursiveFileLookup=True, pathGlobFilter=name)
 
 
-def read_if_there(read, spark: SparkSession, schema: T.StructType | str) -> DataFrame:
-    """The table ``read()`` returns, or an empty one when its path does not exist yet."""
+def empty_table(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
+    """No rows of this schema, in a form the optimizer sees through: joins with it vanish from the plan."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    columns = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema)
+    return spark.sql(f"SELECT {columns} WHERE false")
+
+
+def read_if_there(
+    spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet", **options: object
+) -> DataFrame:
+    """The table at ``path``, or an empty one when the path does not exist yet."""
     try:
-        return read()
+        return spark.read.schema(schema).options(**options).format(fmt).load(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return empty_table(spark, schema)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A new folder path for this use under the session's shared folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors share")
     return f"{root.rstrip('/')}/dqlake/{label}-{uuid.uuid4().hex}"

@@ -21,7 +21,7 @@ from dqlake.plans.batch import DATASETS, Flagged, flag_batch, valid_keys
 from dqlake.plans.gate import evaluate_batch, quarantine_page, snapshot
 from dqlake.plans.job import replay, run_batch
 from dqlake.plans.layout import Layout
-from dqlake.sources.files import NULL_TOKENS, read_csv, read_csv_batches, write_csv
+from dqlake.sources.files import NULL_TOKENS, empty_table, read_csv, read_csv_batches, write_csv
 from dqlake.sources.staging import shared_folder, stage
 from workload.raw import SQL, plain_tables, raw_table, raw_tables, table
 
@@ -247,7 +247,7 @@ def product_revenue_rank(spark, sf):
 # ---- star schema ------------------------------------------------------------------------------------------------
 
 def _empty(spark: SparkSession, name: str) -> DataFrame:
-    return spark.createDataFrame([], warehouse.TABLES[name])
+    return empty_table(spark, warehouse.TABLES[name])
 
 
 def _fact(spark: SparkSession, sf: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 from dqlake.operators.keyed import ROW_ID
@@ -72,6 +74,9 @@ def raw_table(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     prepare(spark).conf.set("spark.sql.session.timeZone", "UTC")
+    on_one_machine = spark.sparkContext.master.startswith("local")
+    if on_one_machine and not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="dqlake-"))
     return {d: raw_table(spark, sf_dir, d) for d in SQL}
 
 
