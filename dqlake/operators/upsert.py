@@ -18,9 +18,10 @@ def first_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     untouched; otherwise the repeated ones alone are reduced. The smallest row is an aggregate, combined before the
     shuffle, so a key with many copies needs no large group.
     """
-    repeated = stage(repeated_keys(df, [key]).select(key), "repeated")
+    repeated = repeated_keys(df, [key]).select(key)
     if repeated.isEmpty():
         return df
+    repeated = stage(repeated, "repeated")
     rest = [c for c in df.columns if c != key and c not in order]
     first = (
         df.join(repeated, key, "left_semi").groupBy(key).agg(F.min(F.struct(*order, *rest)).alias("_first"))

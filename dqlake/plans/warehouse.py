@@ -161,7 +161,7 @@ def _load_dimension(
     """Write the merged dimension as a new snapshot, then name it in the load log."""
     current = _current(spark, layout, table)
     target = _at(spark, table, current)
-    keyed = stage(keep_or_number(rows, target, key, surrogate, [key]).withColumn("created_at", at), table)
+    keyed = keep_or_number(rows, target, key, surrogate, [key]).withColumn("created_at", at)
     merged = keyed if full_refresh else replace_by_key(target.select(*keyed.columns), keyed, key)
     load_id = 1 if current is None else current["load_id"] + 1
     path = f"{layout.warehouse(table)}/load={load_id}"
@@ -170,7 +170,7 @@ def _load_dimension(
         F.lit(table).alias("table"), F.lit(load_id).alias("load_id"), F.lit(path).alias("path"),
         F.lit(run_id).alias("run_id"), "records")
     entry.write.mode("append").parquet(layout.warehouse("load_log"))
-    return keyed.count()
+    return rows.count()
 
 
 def _load_facts(spark: SparkSession, layout: Layout, run_id: str, at, full_refresh: bool) -> int:
@@ -208,9 +208,9 @@ def load_audit(spark: SparkSession, layout: Layout, at) -> int:
     """Add the checks of runs not loaded yet; the table lies by run and older runs are not touched."""
     target = read_table(spark, layout, "data_quality_audit")
     fresh = audit_rows(read_documents(spark, layout.reports, schemas.REPORT), target, at)
-    last = target.agg(F.coalesce(F.max("audit_id"), F.lit(0)).alias("n")).scalar()
+    [last] = target.agg(F.coalesce(F.max("audit_id"), F.lit(0))).first()
     numbered = number_rows(fresh, [F.col("run_id"), F.col("seq")], "audit_id", last + 1)
-    rows = stage(_typed(numbered, "data_quality_audit"), "audit")
+    rows = _typed(numbered, "data_quality_audit")
     write_parquet(rows, layout.warehouse("data_quality_audit"), ["run_id"], touched_only=True)
     return rows.count()
 
@@ -220,9 +220,9 @@ def load_quarantine(spark: SparkSession, layout: Layout, run_id: str) -> int:
     target = read_table(spark, layout, "quarantine_audit").where(F.col("run_id") != run_id)
     parts = [quarantine_audit(read_quarantine(spark, layout, d, run_id)) for d in DATASETS]
     records = reduce(DataFrame.unionByName, parts)
-    last = target.agg(F.coalesce(F.max("quarantine_key"), F.lit(0)).alias("n")).scalar()
+    [last] = target.agg(F.coalesce(F.max("quarantine_key"), F.lit(0))).first()
     numbered = number_rows(records, [F.col("dataset"), F.col("quarantine_id")], "quarantine_key", last + 1)
-    rows = stage(_typed(numbered, "quarantine_audit"), "quarantine")
+    rows = _typed(numbered, "quarantine_audit")
     write_parquet(rows, layout.warehouse("quarantine_audit"), ["run_id"], touched_only=True)
     return rows.count()
 
