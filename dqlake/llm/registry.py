@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from dqlake.llm import line_dedup, mixing
+from dqlake.llm import line_dedup, mixing, topk, warc
 
 QUERIES = {
+    "op2_top_k": topk.op2_top_k,
+    "op5_warc": warc.op5_warc,
     "op6_mix_sources": mixing.op6_mix_sources,
     "op8_line_dedup": line_dedup.op8_line_dedup,
 }
 
 ORACLE_SQL = {
+    "op2_top_k": topk.SQL,
+    "op5_warc": warc.SQL,
     "op6_mix_sources": mixing.SQL,
     "op8_line_dedup": line_dedup.SQL,
 }
