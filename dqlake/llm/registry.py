@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from dqlake.llm import line_dedup, mixing, topk, warc
+from dqlake.llm import line_dedup, mixing, simhash, topk, warc
 
 QUERIES = {
     "op2_top_k": topk.op2_top_k,
     "op5_warc": warc.op5_warc,
     "op6_mix_sources": mixing.op6_mix_sources,
     "op8_line_dedup": line_dedup.op8_line_dedup,
+    "op9_simhash": simhash.op9_simhash,
 }
 
 ORACLE_SQL = {
