@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dqlake.llm.common import free, hex_digits, stage, table, tasks
+from dqlake.llm.common import free, hex_digits, release, stage, table, tasks
 
 UNIT_DIGITS = 13  # 52 bits of the hash: exact in a double
 
@@ -31,19 +31,17 @@ def mix(
     spark = docs.sparkSession
     mean, k, salt, point, cdf, n = free(docs, "_mean", "_k", "_salt", "_point", "_cdf", "_n")
     name, name_salt = free(docs, "_name", "_name_salt")
-    rows = docs.groupBy(F.col(source_col).alias(name)).agg(F.count(F.lit(1)).alias(n))
+    rows = stage(docs.groupBy(F.col(source_col).alias(name)).agg(F.count(F.lit(1)).alias(n)), "sources")
     if weights is None:
         share = rows.withColumn(mean, F.lit(1.0))
     else:
         listed = spark.createDataFrame([(s, float(w)) for s, w in weights.items()], "_listed string, _weight double")
         share = rows.join(listed, F.col(name).cast("string").eqNullSafe(F.col("_listed"))).select(name, n, F.col("_weight").alias(mean))
-    sums = share.agg(F.sum(mean).alias("_all"), F.sum(n).alias("_some"))
-    amount = F.lit(float(total)) if total is not None else F.col("_rows")
-    rates = (
-        share.join(rows.agg(F.sum(n).alias("_rows")).join(sums), how="inner")  # one row
-        .withColumn(mean, F.col(mean) / F.col("_all") * amount / F.col(n)).filter(F.col(mean) > 0)
-    )
+    amount = float(total if total is not None else rows.agg(F.sum(n)).first()[0] or 0)
+    whole = share.agg(F.sum(mean)).first()[0] or 1.0
+    rates = share.withColumn(mean, F.col(mean) / F.lit(whole) * F.lit(amount) / F.col(n)).filter(F.col(mean) > 0)
     arrays = stage(poisson_arrays(rates.select(name, mean), name, mean, k, cdf), "poisson")
+    release(rows)
     salts = tasks(spark)
     spread = arrays.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias(name_salt))
     identity = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("t"), F.md5(F.coalesce(F.col(text_col), F.lit(""))))))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dqlake.llm import line_dedup, mixing, simhash, topk, warc
+from dqlake.llm import hnsw, line_dedup, mixing, simhash, topk, warc
 
 QUERIES = {
     "op2_top_k": topk.op2_top_k,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_mix_sources": mixing.op6_mix_sources,
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_simhash": simhash.op9_simhash,
+    "op10_hnsw": hnsw.op10_hnsw,
 }
 
 ORACLE_SQL = {
