@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from dqlake.llm import hnsw, line_dedup, mixing, simhash, topk, warc
+from dqlake.llm import hnsw, line_dedup, mixing, simhash, suffix, topk, warc
 
 QUERIES = {
     "op2_top_k": topk.op2_top_k,
+    "op4_suffix_dedup": suffix.op4_suffix_dedup,
     "op5_warc": warc.op5_warc,
     "op6_mix_sources": mixing.op6_mix_sources,
     "op8_line_dedup": line_dedup.op8_line_dedup,
