@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from dqlake.llm import hnsw, line_dedup, mixing, pieces, simhash, suffix, topk, warc
+from dqlake.llm import hnsw, line_dedup, mixing, pieces, simhash, suffix, topk, toxicity, warc
 
 QUERIES = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
     "op2_top_k": topk.op2_top_k,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op4_suffix_dedup": suffix.op4_suffix_dedup,
     "op5_warc": warc.op5_warc,
     "op6_mix_sources": mixing.op6_mix_sources,

@@ -18,6 +18,7 @@ of the three passes instead of being kept, which bounds the disk by the texts' o
 from __future__ import annotations
 
 
+import gc
 import math
 from collections.abc import Iterator
 
@@ -33,7 +34,7 @@ from dqlake.llm.common import stage, table, tasks
 GRAM = 16
 EVERY = 192  # mean bytes of a phrase
 PIECE = 1 << 20  # texts are worked on in pieces, which bounds the arrays
-BLOCK = 4 << 20  # least bytes of text in a block
+BLOCK = 2 << 20  # least bytes of text in a block
 HOT = 64  # blocks with a representative from which on its windows go their own ways
 LAST = 2**63 - 1  # stands for a null id
 C1, C2, C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
@@ -344,7 +345,7 @@ def remove_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", tex
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    size = max(BLOCK, math.isqrt(64 * total))  # larger blocks for larger inputs keep the rows between blocks and buckets few
+    size = max(BLOCK, math.isqrt(256 * total))  # larger blocks for larger inputs keep the rows between blocks and buckets few
     n = max(1, math.ceil(total / size), min(tasks(spark), total // (BLOCK // 8)))
     blocks = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")).groupBy("block")
 
@@ -383,6 +384,7 @@ def remove_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", tex
 
 def forget(spark: SparkSession) -> None:
     """Let Spark's cleaner remove the shuffle files of finished steps now, not when the driver next collects its garbage."""
+    gc.collect()  # Python's handles on finished plans
     spark.sparkContext._jvm.System.gc()
 
 
