@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dqlake.llm import hnsw, line_dedup, mixing, pieces, simhash, suffix, topk, toxicity, warc
+from dqlake.llm import hnsw, line_dedup, mixing, pieces, quality, simhash, suffix, topk, toxicity, warc
 
 QUERIES = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_suffix_dedup": suffix.op4_suffix_dedup,
     "op5_warc": warc.op5_warc,
     "op6_mix_sources": mixing.op6_mix_sources,
+    "op7_quality": quality.op7_quality,
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_simhash": simhash.op9_simhash,
     "op10_hnsw": hnsw.op10_hnsw,
