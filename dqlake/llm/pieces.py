@@ -31,7 +31,8 @@ from dqlake.llm.common import table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNIT = re.compile(r" *[^ ]+| +")
-CACHED = 1 << 19  # units a task remembers; beyond that it starts afresh
+NEVER = float("inf")
+CACHED = 400_000  # units in a generation of a task's cache; the one before it is kept too
 
 
 @dataclass
@@ -62,15 +63,55 @@ class Encoder:
         self.model, self.seed, self.variants = model, seed, variants if dropout > 0 else 1
         self.skip_below = int(dropout * 2**32)
         self.known: list[dict[str, list[int]]] = [{} for _ in range(self.variants)]
+        self.older: list[dict[str, list[int]]] = [{} for _ in range(self.variants)]
         self.size = 0
 
     def unit(self, unit: str, variant: int) -> list[int]:
         """Ids of one unit: the agenda, with candidates skipped by hash."""
-        ids, scores = self.model.ids, self.model.scores
+        ids, scores, below = self.model.ids, self.model.scores, self.skip_below
+        key = xxhash.xxh64_intdigest(f"{self.seed}:{variant}:{unit}") if below else 0
+        ends = self.short(unit, ids, scores, below, key) if len(unit) <= 48 else self.long(unit, ids, scores, below, key)
+        out, at = [], 0
+        for end in ends:
+            symbol = unit[at:end]
+            piece = ids.get(symbol)
+            if piece is None or symbol == SPACE:
+                out.extend(self.model.byte_ids[b] for b in symbol.encode())
+            else:
+                out.append(piece)
+            at = end
+        return out
+
+    @staticmethod
+    def short(unit: str, ids: dict[str, int], scores: list[float], below: int, key: int) -> list[int]:
+        """Ends of the symbols; the agenda is a list with one entry per neighbouring pair, the leftmost best is taken."""
+        cut = list(range(len(unit) + 1))  # where symbols begin, and the end
+        found = map(ids.get, map(str.__add__, unit, unit[1:]))
+        agenda = [None if p is None else -scores[p] for p in found]
+        agenda = [NEVER if a is None else a for a in agenda]
+        while agenda:
+            best = min(agenda)
+            if best == NEVER:
+                break
+            i = agenda.index(best)
+            if below and (((key ^ (cut[i] * 0x9E3779B97F4A7C15 + cut[i + 2] * 0xC2B2AE3D27D4EB4F)) * 0xD6E8FEB86659FD93) >> 24) & 0xFFFFFFFF < below:
+                agenda[i] = NEVER
+                continue
+            del cut[i + 1], agenda[i]
+            if i < len(agenda):
+                p = ids.get(unit[cut[i]:cut[i + 2]])
+                agenda[i] = NEVER if p is None else -scores[p]
+            if i:
+                p = ids.get(unit[cut[i - 1]:cut[i + 1]])
+                agenda[i - 1] = NEVER if p is None else -scores[p]
+        return cut[1:]
+
+    @staticmethod
+    def long(unit: str, ids: dict[str, int], scores: list[float], below: int, key: int) -> list[int]:
+        """As ``short`` with a heap, for units without an early end."""
         n = len(unit)
         end = list(range(1, n + 1))  # of the symbol that starts here; 0: no symbol starts here
         before = list(range(-1, n - 1))
-        key = xxhash.xxh64_intdigest(f"{self.seed}:{variant}:{unit}") if self.skip_below else 0
         agenda: list[tuple[float, int, int, int]] = []
 
         def propose(left: int, right: int) -> None:
@@ -84,7 +125,7 @@ class Encoder:
             _, left, right, stop = heapq.heappop(agenda)
             if end[left] != right or end[right] != stop:  # one of the two has merged meanwhile
                 continue
-            if self.skip_below and (((key ^ (left * 0x9E3779B97F4A7C15 + stop * 0xC2B2AE3D27D4EB4F)) * 0xD6E8FEB86659FD93) >> 24) & 0xFFFFFFFF < self.skip_below:
+            if below and (((key ^ (left * 0x9E3779B97F4A7C15 + stop * 0xC2B2AE3D27D4EB4F)) * 0xD6E8FEB86659FD93) >> 24) & 0xFFFFFFFF < below:
                 continue
             end[left], end[right] = stop, 0
             if stop < n:
@@ -92,16 +133,7 @@ class Encoder:
                 propose(left, stop)
             if before[left] >= 0:
                 propose(before[left], left)
-        out, at = [], 0
-        while at < n:
-            symbol = unit[at:end[at]]
-            piece = ids.get(symbol)
-            if piece is None or symbol == SPACE:
-                out.extend(self.model.byte_ids[b] for b in symbol.encode())
-            else:
-                out.append(piece)
-            at = end[at]
-        return out
+        return [e for e in end if e]
 
     def text(self, text: str, key: str) -> list[int]:
         if not text:
@@ -118,18 +150,18 @@ class Encoder:
         for unit, variant in zip(units, drawn, strict=True):
             found = known[variant].get(unit)
             if found is None:
-                found = self.unit(unit, variant)
+                found = self.older[variant].get(unit) or self.unit(unit, variant)
                 if len(unit) <= 64:
                     known[variant][unit] = found
                     self.size += 1
             out += found
         if self.size > CACHED:
-            self.known, self.size = [{} for _ in range(self.variants)], 0
+            self.older, self.known, self.size = known, [{} for _ in range(self.variants)], 0
         return out
 
 
 def encode(
-    docs: DataFrame, model: str = MODEL, dropout: float = 0.1, seed: int = 7, variants: int = 8,
+    docs: DataFrame, model: str = MODEL, dropout: float = 0.1, seed: int = 7, variants: int = 4,
     id_col: str = "doc_id", text_col: str = "text", ids_col: str = "ids",
 ) -> DataFrame:
     """``docs`` with the piece ids of ``text_col`` in ``ids_col`` (array of int; a column of that name is replaced).
