@@ -33,9 +33,9 @@ from dqlake.llm.common import stage, table, tasks
 
 GRAM = 16
 EVERY = 192  # mean bytes of a phrase
-PIECE = 1 << 20  # texts are worked on in pieces, which bounds the arrays
+PIECE = 1 << 18  # texts are worked on in pieces, which bounds the arrays
 BLOCK = 2 << 20  # least bytes of text in a block
-HOT = 64  # blocks with a representative from which on its windows go their own ways
+HOT = 16  # blocks with a representative from which on its windows go their own ways
 LAST = 2**63 - 1  # stands for a null id
 C1, C2, C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 
@@ -238,10 +238,11 @@ def answer(rows: pa.Table, width: int, hot: int) -> pa.Table:
 
 def suffix_runs(data: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """The suffixes that start at ``at`` in order, to the depth of a window, and where equal ones begin."""
-    text = np.lib.stride_tricks.sliding_window_view(data, width)[at]
-    order = np.argsort(text.view(f"S{width}")[:, 0], kind="stable")
-    ranked = text[order].view(f"V{width}")[:, 0]
-    return order, np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
+    text = np.lib.stride_tricks.sliding_window_view(data, width)[at].view(f"S{width}")[:, 0]
+    order, new = np.argsort(text, kind="stable"), np.ones(len(at), dtype=bool)
+    for i in range(1, len(at), 1 << 16):
+        new[i:i + (1 << 16)] = text[order[i:i + (1 << 16)]] != text[order[i - 1:i - 1 + (1 << 16)]][:len(new[i:i + (1 << 16)])]
+    return order, np.flatnonzero(new)
 
 
 def told(replies: pa.Table, kind: str) -> np.ndarray:
@@ -369,6 +370,7 @@ def remove_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", tex
         return pa.table([pa.array(c, t) for c, t in zip(zip(*found, strict=True), out.types, strict=True)], schema=out)
 
     def meet(group: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()  # what the group before took
         return answer(group, width, hot)
 
     out = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
