@@ -200,13 +200,13 @@ def train(texts: list[str], labels: list[int], rounds: int = 6, batch: int = 256
     return net
 
 
-def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with ``score``, the greatest of its windows' (0 to 1; a column of that name is replaced).
+def score(docs: DataFrame, net: Network, text_col: str = "text", score_col: str = "score") -> DataFrame:
+    """``docs`` with ``score_col``, the greatest of its windows' (0 to 1; a column of that name is replaced).
 
     Every word of every text is in one or two of the windows scored. Null and empty texts are one empty window. Equal texts get
     equal scores. A task remembers the inputs of a bounded number of words and reads a bounded number of windows at once.
     """
-    rows = docs.drop("score")
+    rows = docs.drop(score_col)
     names = rows.columns
     shared = docs.sparkSession.sparkContext.broadcast(net.p)  # about 4 MB, whatever the input
 
@@ -252,9 +252,9 @@ def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str =
                         read()
             if index:
                 read()
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sigmoid(best).astype(np.float64))], [*names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sigmoid(best).astype(np.float64))], [*names, score_col])
 
-    return rows.mapInArrow(run, rows.withColumn("score", F.lit(0.0)).schema)
+    return rows.mapInArrow(run, rows.withColumn(score_col, F.lit(0.0)).schema)
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: tuple[int, int] = ROWS, words: int = WORDS) -> Network:
