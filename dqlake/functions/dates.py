@@ -7,11 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, functions as F
 
 FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")
+SHAPES = {FORMATS[0]: r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$", FORMATS[1]: r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"}
 
 
 def timestamp_of(c: Column, formats: Sequence[str] = FORMATS) -> Column:
-    """Text to timestamp in any of the listed formats; null when none fits."""
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats]).cast("timestamp_ntz")
+    """Text to timestamp in any of the listed formats (keys of ``SHAPES``); null when none fits.
+
+    The text becomes a timestamp without zone directly, so an hour that some zone skips is an hour like any other.
+    """
+    fits = F.lit(False)
+    for f in formats:
+        fits = fits | c.rlike(SHAPES[f])
+    return F.when(fits, c.try_cast("timestamp_ntz"))
 
 
 def date_of(c: Column, formats: Sequence[str] = FORMATS) -> Column:

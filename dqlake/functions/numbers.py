@@ -14,7 +14,7 @@ NUMBER_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 SHORT_PATTERN = r"^[+-]?[0-9]{1,15}(\.[0-9]{1,15})?$"  # cannot overflow
 MONEY = "decimal(28,2)"
 MAX_INT = 2147483647
-MAX_PRICE = 1e16
+MONEY_BOUND = 1e25  # amounts below it, and sums of many of them, fit MONEY
 
 
 def number(c: Column) -> Column:
@@ -33,6 +33,11 @@ def percent(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, round2(part / whole * 100)).otherwise(F.lit(100.0))
 
 
+def net_amount(quantity: Column, price: Column, discount: Column) -> Column:
+    """Of whole units: quantity is truncated, no discount is 0."""
+    return round2((quantity - quantity % 1.0) * price * (1.0 - F.coalesce(discount, F.lit(0.0))))
+
+
 def money_sum(c: Column) -> Column:
     return F.sum(c.cast(MONEY)).cast("double")
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from dqlake import schemas
 from dqlake.functions import boolean_of, country, date_of, number, round2, strip, timestamp_of, title
+from dqlake.functions.numbers import net_amount
 
 UNKNOWN = "Unknown"
 
@@ -14,7 +16,17 @@ def profit_margin(price, cost):
     return F.when(price > 0, round2((price - cost) / price * 100)).otherwise(F.lit(0.0))
 
 
+def with_baseline(df: DataFrame, dataset: str) -> DataFrame:
+    """Adds the dataset's optional columns that are absent, as null texts; a required one that is absent is an error."""
+    missing = [c for c in schemas.BASELINE[dataset]["required"] if c not in df.columns]
+    if missing:
+        raise ValueError(f"{dataset} lack required columns: {missing}")
+    absent = [c for c in schemas.RAW[dataset].fieldNames() if c not in df.columns]
+    return df.withColumns({c: F.lit(None).cast("string") for c in absent}) if absent else df
+
+
 def clean_customers(df: DataFrame) -> DataFrame:
+    df = with_baseline(df, "customers")
     return df.withColumns({
         "customer_id": strip(F.col("customer_id")),
         "name": title(strip(F.col("name"))),
@@ -27,6 +39,7 @@ def clean_customers(df: DataFrame) -> DataFrame:
 
 
 def clean_products(df: DataFrame) -> DataFrame:
+    df = with_baseline(df, "products")
     typed = df.withColumns({
         "product_id": strip(F.col("product_id")),
         "sku": F.upper(strip(F.col("sku"))),
@@ -41,6 +54,7 @@ def clean_products(df: DataFrame) -> DataFrame:
 
 def clean_orders(df: DataFrame) -> DataFrame:
     """The stated total is ignored: the net amount is computed from the truncated quantity."""
+    df = with_baseline(df, "orders")
     at = timestamp_of(F.col("order_date"))
     typed = df.withColumns({
         "order_id": strip(F.col("order_id")),
@@ -53,7 +67,7 @@ def clean_orders(df: DataFrame) -> DataFrame:
         "order_status": strip(F.col("order_status")),
         "payment_method": F.coalesce(strip(F.col("payment_method")), F.lit(UNKNOWN)),
     })
-    net = round2(F.col("quantity") * F.col("unit_price") * (1.0 - F.col("discount_rate")))
+    net = net_amount(F.col("quantity").cast("double"), F.col("unit_price"), F.col("discount_rate"))
     return typed.withColumns({
         "total_amount": net,
         "year": F.year("order_date"),

@@ -70,8 +70,8 @@ def enrich_products(products: DataFrame, orders: DataFrame) -> DataFrame:
     return joined.fillna({"total_units_sold": 0, "total_revenue": 0.0})
 
 
-def rank_products(enriched: DataFrame, hot_rows: int | None = None) -> DataFrame:
+def rank_products(enriched: DataFrame) -> DataFrame:
     """Add the revenue rank over all products and inside the category (ties share a rank)."""
     staged = stage(enriched, "products")
-    overall = stage(rank_desc(staged, "total_revenue", "revenue_rank", hot_rows=hot_rows), "products-ranked")
-    return rank_desc(overall, "total_revenue", "category_rank", ["category"], hot_rows)
+    overall = stage(rank_desc(staged, "total_revenue", "revenue_rank"), "products-ranked")
+    return rank_desc(overall, "total_revenue", "category_rank", ["category"])

@@ -1,24 +1,19 @@
 """Lookups by key that stay balanced when one key holds a large share of the rows.
 
-``attach`` left-joins rows to a table with one row per key. ``find_hot`` first names the keys that hold very many
-rows, from a frequent-items sketch; there are at most ``HOT_KEYS`` of them, so their part of the lookup is small and is
-broadcast. All other rows meet the lookup in an ordinary join. Rows that need no match there (hot keys, null keys) take
-their row id as partitioning value, so they spread evenly instead of piling up in one task. The sketch only
-decides the route: the result is exact whatever it returns.
+``attach`` left-joins rows to a table with one row per key in an ordinary equi-join, so adaptive execution can split a key that
+holds very many rows. Rows with a null key have no match; they take their row id as partitioning value, so they spread evenly
+instead of piling up in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-HOT_KEYS = 500
-HOT_ROWS = 1_000_000
-SKETCH_ITEMS = 4096
-SKETCH_GROUPS = 64
-ROW_ID = "_row"
+PREFIX = "__dq_"  # reserved for the columns that validation adds
+ROW_ID = f"{PREFIX}row"
+SPREAD = f"{PREFIX}spread"
 
 Keys = Sequence[str]
 
@@ -38,71 +33,19 @@ def present(on: Keys) -> Column:
     return cond
 
 
-def find_hot(rows: DataFrame, keys: Sequence[Keys], hot_rows: int | None = None) -> list[list[int]]:
-    """For each key, the hashes of its values with about ``hot_rows`` rows or more; at most HOT_KEYS each."""
-    return find_hot_in([(rows, keys)], hot_rows)[0]
-
-
-def find_hot_in(
-    tables: Sequence[tuple[DataFrame, Sequence[Keys]]], hot_rows: int | None = None
-) -> list[list[list[int]]]:
-    """``find_hot`` for several tables in one job that reads the key columns once.
-
-    Tables with fewer rows than a hot key needs are left out; counting them reads file footers only. Sketches are
-    merged in two steps, so no task merges one sketch per input split.
-    """
-    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    out: list[list[list[int]]] = [[[] for _ in keys] for _, keys in tables]
-    sizes = reduce(DataFrame.unionByName, [
-        rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("t"), "n") for t, (rows, _) in enumerate(tables)
-    ])
-    large = [r["t"] for r in sizes.collect() if r["n"] >= hot_rows]
-    parts = []
-    for t in large:
-        rows, keys = tables[t]
-        pairs = [F.struct(F.lit(t).alias("t"), F.lit(k).alias("k"), F.xxhash64(*on).alias("h"), present(on).alias("ok"))
-                 for k, on in enumerate(keys)]
-        parts.append(rows.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").where("ok"))
-    if not parts:
-        return out
-    top = (
-        reduce(DataFrame.unionByName, parts)
-        .groupBy("t", "k", F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g"))
-        .agg(F.expr(f"approx_top_k_accumulate(h, {SKETCH_ITEMS})").alias("s"))
-        .groupBy("t", "k")
-        .agg(F.expr(f"approx_top_k_combine(s, {SKETCH_ITEMS})").alias("s"))
-        .select("t", "k", F.explode(F.expr(f"approx_top_k_estimate(s, {HOT_KEYS})")).alias("e"))
-        .where(F.col("e.count") >= hot_rows)
-        .select("t", "k", "e.item")
-    )
-    for row in top.collect():  # at most HOT_KEYS hashes per key
-        out[row["t"]][row["k"]].append(row["item"])
-    return out
-
-
-def attach(rows: DataFrame, lookup: DataFrame, on: Keys, hot: Sequence[int] = ()) -> DataFrame:
+def attach(rows: DataFrame, lookup: DataFrame, on: Keys) -> DataFrame:
     """Left join ``rows`` (with a row id) to ``lookup``, which has one row per key."""
-    on, hot = list(on), list(hot)
-    kept = rows.columns
+    on = list(on)
     values = [c for c in lookup.columns if c not in on]
-    hashed = F.xxhash64(*on)
-    meets = present(on) & ~hashed.isin(hot) if hot else present(on)
-
-    rest = lookup.withColumn("_spread", hashed)
-    out = rows.withColumn("_spread", F.when(meets, hashed).otherwise(F.col(ROW_ID)))
-    out = out.join(rest, [*on, "_spread"], "left")
-    if not hot:
-        return out.select(*kept, *values)
-
-    few = lookup.where(hashed.isin(hot)).select(*on, *[F.col(v).alias(f"_hot_{v}") for v in values])
-    out = out.join(F.broadcast(few), on, "left")
-    return out.select(*kept, *[F.coalesce(v, f"_hot_{v}").alias(v) for v in values])
+    spread = rows.withColumn(SPREAD, F.when(present(on), F.lit(0).cast("long")).otherwise(F.col(ROW_ID)))
+    found = lookup.withColumn(SPREAD, F.lit(0).cast("long"))
+    return spread.join(found, [*on, SPREAD], "left").select(*rows.columns, *values)
 
 
-def mark_members(rows: DataFrame, members: DataFrame, on: Keys, flag: str, hot: Sequence[int] = ()) -> DataFrame:
+def mark_members(rows: DataFrame, members: DataFrame, on: Keys, flag: str) -> DataFrame:
     """Add ``flag``: is the row's key among ``members`` (distinct keys)? A null key is not."""
     hit = members.select(*on).withColumn(flag, F.lit(True))
-    return attach(rows, hit, on, hot).withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    return attach(rows, hit, on).withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
 def repeated_keys(rows: DataFrame, on: Keys) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from dqlake.operators.keyed import ROW_ID, attach, find_hot, with_row_id
+from dqlake.operators.keyed import ROW_ID, attach, with_row_id
 from dqlake.sources.staging import stage
 
 
@@ -42,9 +42,7 @@ def number_rows(df: DataFrame, order: Sequence[Column], name: str, first: Column
     )
 
 
-def rank_desc(
-    df: DataFrame, value: str, name: str, within: Sequence[str] = (), hot_rows: int | None = None
-) -> DataFrame:
+def rank_desc(df: DataFrame, value: str, name: str, within: Sequence[str] = ()) -> DataFrame:
     """SQL ``rank()`` of ``value`` descending, overall or within groups.
 
     Rows are first counted per distinct value; only these counts are sorted and summed up. The rank of a value
@@ -63,9 +61,7 @@ def rank_desc(
     )
     if within:
         base = summed.groupBy(*within).agg(F.min("_ahead").alias("_base"))
-        [hot] = find_hot(placed, [within], hot_rows)
-        summed = attach(summed.withColumn(ROW_ID, F.col("_pos")), base, within, hot)
+        summed = attach(summed.withColumn(ROW_ID, F.col("_pos")), base, within)
         summed = summed.withColumn("_ahead", F.col("_ahead") - F.col("_base"))
     ranks = summed.select(*keys, (F.col("_ahead") + 1).alias(name))
-    [hot] = find_hot(df, [keys], hot_rows)
-    return attach(with_row_id(df), ranks, keys, hot).drop(ROW_ID)
+    return attach(with_row_id(df), ranks, keys).drop(ROW_ID)

@@ -14,12 +14,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from dqlake import schemas
 from dqlake.functions import is_blank, number, timestamp_of
 from dqlake.functions.dates import FORMATS
-from dqlake.functions.numbers import MAX_INT, MAX_PRICE
-from dqlake.operators.keyed import find_hot_in, mark_members, repeated_keys, with_row_id
+from dqlake.functions.numbers import MAX_INT, MONEY_BOUND, net_amount
+from dqlake.operators.keyed import PREFIX, ROW_ID, mark_members, repeated_keys, with_row_id
 from dqlake.sources.staging import stage
 
 
 KEYED = ("unique", "referential_integrity")
+MONEY_PARTS = ("quantity", "unit_price", "discount_rate")
 
 
 @dataclass(frozen=True)
@@ -30,8 +31,9 @@ class Check:
     allowed: tuple[str, ...] = ()
     parent: str | None = None
     strict: bool = True
-    most: float = MAX_PRICE
+    most: float | None = None
     formats: tuple[str, ...] = FORMATS
+    reported: bool = True  # has a metric of its own
 
     @property
     def name(self) -> str:
@@ -67,6 +69,7 @@ CHECKS: dict[str, list[Check]] = {
               parent="products"),
         Check("allowed_values", "order_status", "order_status not in allowed business statuses",
               allowed=tuple(schemas.ORDER_STATUSES)),
+        Check("fits_money", "total_amount", "net amount does not fit the money type", reported=False),
     ],
 }
 
@@ -78,11 +81,16 @@ def not_null(c: Column) -> Column:
     return is_blank(c)
 
 
-def positive_numeric(c: Column, strict: bool = True, most: float = MAX_PRICE) -> Column:
-    """Fails unless it is a number above (or at) zero that the typed column can hold."""
+def positive_numeric(c: Column, strict: bool = True, most: float | None = None) -> Column:
+    """Fails unless it is a finite number above (or at) zero; ``most`` is the bound of an integer column."""
     value = number(c)
     low = value <= 0 if strict else value < 0
-    return F.coalesce(low | (value > most), F.lit(True))
+    return F.coalesce(low if most is None else low | (value > most), F.lit(True))
+
+
+def fits_money(quantity: Column, price: Column, discount: Column) -> Column:
+    """Fails when the net amount is known and too large for the money type; other checks judge unknown ones."""
+    return F.coalesce(F.abs(net_amount(number(quantity), number(price), number(discount))) >= MONEY_BOUND, F.lit(False))
 
 
 def valid_datetime(c: Column, formats: Sequence[str] = FORMATS) -> Column:
@@ -97,7 +105,9 @@ def matches(c: Column, pattern: str) -> Column:
     return ~F.coalesce(c.rlike(pattern), F.lit(False))
 
 
-def _row_level(check: Check) -> Column:
+def _row_level(check: Check, have: set[str]) -> Column:
+    if check.kind == "fits_money":
+        return fits_money(*[F.col(n) if n in have else F.lit(None).cast("string") for n in MONEY_PARTS])
     c = F.col(check.column)
     if check.kind == "not_null":
         return not_null(c)
@@ -113,69 +123,52 @@ def _row_level(check: Check) -> Column:
 
 
 def flag_name(i: int) -> str:
-    return f"fail_{i}"
+    return f"{PREFIX}fail_{i}"
 
 
-def unique(rows: DataFrame, on: Sequence[str], flag: str, hot: Sequence[int] = ()) -> DataFrame:
+def unique(rows: DataFrame, on: Sequence[str], flag: str) -> DataFrame:
     """Every copy of a repeated key fails. ``rows`` carry a row id."""
-    return mark_members(rows, repeated_keys(rows, on), on, flag, hot)
+    return mark_members(rows, repeated_keys(rows, on), on, flag)
 
 
-def referential_integrity(
-    rows: DataFrame, column: str, parent_keys: DataFrame, flag: str, hot: Sequence[int] = ()
-) -> DataFrame:
+def referential_integrity(rows: DataFrame, column: str, parent_keys: DataFrame, flag: str) -> DataFrame:
     """Fails when the key is not among the parent keys; a null key fails. ``parent_keys`` is distinct."""
-    marked = mark_members(rows, parent_keys.toDF(column), [column], flag, hot)
+    marked = mark_members(rows, parent_keys.toDF(column), [column], flag)
     return marked.withColumn(flag, ~F.col(flag))
 
 
-def key_columns(rows: DataFrame, checks: Sequence[Check]) -> list[str]:
-    """The columns that the checks look up as keys."""
-    return sorted({c.column for c in checks if c.kind in KEYED and c.column in rows.columns})
-
-
-def hot_values(
-    batch: Sequence[tuple[DataFrame, Sequence[Check]]], hot_rows: int | None = None
-) -> list[dict[str, list[int]]]:
-    """Per dataset and key column, the hashes of its hot values; one job for the whole batch."""
-    columns = [key_columns(rows, checks) for rows, checks in batch]
-    asked = [(rows, [[c] for c in cols]) for (rows, _), cols in zip(batch, columns) if cols]
-    found = iter(find_hot_in(asked, hot_rows) if asked else [])
-    return [dict(zip(cols, next(found))) if cols else {} for cols in columns]
-
-
 def flag_rows(
-    rows: DataFrame,
-    checks: Sequence[Check],
-    parents: dict[str, DataFrame] | None = None,
-    hot: dict[str, list[int]] | None = None,
-    store: bool = False,
+    rows: DataFrame, checks: Sequence[Check], parents: dict[str, DataFrame] | None = None, store: bool = False,
 ) -> DataFrame:
-    """Add one boolean ``fail_<i>`` column per check.
+    """Add one boolean column per check, named by ``flag_name``.
 
-    ``rows`` must come straight from a scan or a staged table. ``parents`` maps a parent name to its valid keys,
-    ``hot`` a key column to the hashes of its hot values (found here when not given). With ``store`` the repeated keys
-    are written first: Spark then knows their size and needs no shuffle of the rows when they are few.
+    ``rows`` must come straight from a scan or a staged table; columns with the reserved prefix are refused, but for the row id.
+    ``parents`` maps a parent name to its valid keys. With ``store`` the repeated keys are written first: Spark then knows their
+    size and needs no shuffle of the rows when they are few.
     """
+    taken = [c for c in rows.columns if c.startswith(PREFIX) and c != ROW_ID]
+    if taken:
+        raise ValueError(f"column names that begin with {PREFIX!r} are reserved: {taken}")
     have = set(rows.columns)
-    hot = hot_values([(rows, checks)])[0] if hot is None else hot
     simple, keyed = {}, {}
     for i, check in enumerate(checks):
-        if check.column not in have:
+        if check.kind == "fits_money":
+            simple[flag_name(i)] = _row_level(check, have)
+        elif check.column not in have:
             simple[flag_name(i)] = F.lit(True)
         elif check.kind in KEYED:
             keyed[i] = check
         else:
-            simple[flag_name(i)] = _row_level(check)
+            simple[flag_name(i)] = _row_level(check, have)
 
     out = with_row_id(rows).withColumns(simple)
     for i, check in keyed.items():
         column, flag = check.column, flag_name(i)
         if check.kind == "unique":
             repeated = repeated_keys(rows, [column]).select(column)
-            out = mark_members(out, stage(repeated, "repeated") if store else repeated, [column], flag, hot[column])
+            out = mark_members(out, stage(repeated, "repeated") if store else repeated, [column], flag)
         else:
-            out = referential_integrity(out, column, parents[check.parent], flag, hot[column])
+            out = referential_integrity(out, column, parents[check.parent], flag)
     return out
 
 

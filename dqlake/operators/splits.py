@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from dqlake import schemas
 from dqlake.functions import percent
-from dqlake.operators.keyed import ROW_ID
+from dqlake.operators.keyed import PREFIX, ROW_ID
 from dqlake.operators.numbering import number_rows
 from dqlake.operators.rules import (
     CHECKS, Check, any_failed, error_message, flag_name, joined_reasons, reasons,
@@ -21,11 +22,11 @@ DEFAULT_THRESHOLD = 95.0
 
 
 def _flags(flagged: DataFrame) -> list[str]:
-    return [c for c in flagged.columns if c.startswith("fail_")]
+    return [c for c in flagged.columns if c.startswith(f"{PREFIX}fail_")]
 
 
 def _raw_columns(flagged: DataFrame) -> list[str]:
-    return [c for c in flagged.columns if not c.startswith("fail_") and c != ROW_ID]
+    return [c for c in flagged.columns if not c.startswith(PREFIX)]
 
 
 def valid_rows(flagged: DataFrame) -> DataFrame:
@@ -48,7 +49,7 @@ def quarantine_records(
     failed = failed_rows(flagged).select(*raw, ROW_ID, joined_reasons(checks).alias("error_reasons"))
     order = [F.col(c).asc_nulls_first() for c in raw] + [F.col(ROW_ID)]
     numbered = number_rows(failed, order, "_n")
-    at = F.current_timestamp().cast("timestamp_ntz") if at is None else at
+    at = F.lit(datetime.now(timezone.utc).replace(tzinfo=None)).cast("timestamp_ntz") if at is None else at
     return numbered.select(
         F.format_string("Q-%s-%s-%05d", F.lit(run_id), F.lit(dataset), "_n").alias("quarantine_id"),
         F.lit(run_id).alias("run_id"),
@@ -97,7 +98,7 @@ def metrics(total: DataFrame, checks: Sequence[Check], columns: Sequence[str]) -
             error_message(check, failed, check.column in columns).alias("details"),
         )
 
-    return total.select(F.explode(F.array(*[row(i, c) for i, c in enumerate(checks)])).alias("m")).select("m.*")
+    return total.select(F.explode(F.array(*[row(i, c) for i, c in enumerate(checks) if c.reported])).alias("m")).select("m.*")
 
 
 def rate_limits(total: DataFrame, dataset: str, checks: Sequence[Check]) -> DataFrame:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from dqlake.operators import splits
-from dqlake.operators.rules import CHECKS, flag_rows, hot_values
+from dqlake.operators.rules import CHECKS, flag_rows
 from dqlake.sources.staging import stage
 
 DATASETS = ("customers", "products", "orders")
@@ -49,30 +49,21 @@ def valid_keys(flagged: DataFrame, key: str) -> DataFrame:
     return splits.valid_rows(flagged).select(key)
 
 
-def _hot(raw: dict[str, DataFrame], hot_rows: int | None) -> dict[str, dict[str, list[int]]]:
-    return dict(zip(DATASETS, hot_values([(raw[d], CHECKS[d]) for d in DATASETS], hot_rows)))
+def flag_batch(raw: dict[str, DataFrame]) -> Flagged:
+    """The flagged rows as lazy plans. For one use; several uses should start from ``stage_batch``."""
+    customers, products = (flag_rows(raw[d], CHECKS[d]) for d in ("customers", "products"))
+    return Flagged(customers, products, _flag_orders(raw["orders"], customers, products))
 
 
-def flag_batch(raw: dict[str, DataFrame], hot_rows: int | None = None) -> Flagged:
-    """The flagged rows as lazy plans; only the search for hot keys runs at once."""
-    hot = _hot(raw, hot_rows)
-    customers, products = (flag_rows(raw[d], CHECKS[d], hot=hot[d]) for d in ("customers", "products"))
-    return Flagged(customers, products, _flag_orders(raw["orders"], customers, products, hot["orders"]))
-
-
-def _flag_orders(
-    orders: DataFrame, customers: DataFrame, products: DataFrame, hot: dict[str, list[int]], store: bool = False
-) -> DataFrame:
+def _flag_orders(orders: DataFrame, customers: DataFrame, products: DataFrame, store: bool = False) -> DataFrame:
     parents = {"customers": valid_keys(customers, "customer_id"), "products": valid_keys(products, "product_id")}
-    return flag_rows(orders, CHECKS["orders"], parents, hot, store)
+    return flag_rows(orders, CHECKS["orders"], parents, store)
 
 
-def stage_batch(raw: dict[str, DataFrame], folder: str, hot_rows: int | None = None) -> Flagged:
+def stage_batch(raw: dict[str, DataFrame], folder: str) -> Flagged:
     """Flag the batch and write each dataset once; whatever follows reads the written tables."""
-    hot = _hot(raw, hot_rows)
     done = {}
     for d in ("customers", "products"):
-        done[d] = stage(flag_rows(raw[d], CHECKS[d], hot=hot[d], store=True), d, f"{folder}/{d}")
-    orders = _flag_orders(raw["orders"], done["customers"], done["products"], hot["orders"], store=True)
-    done["orders"] = stage(orders, "orders", f"{folder}/orders")
+        done[d] = stage(flag_rows(raw[d], CHECKS[d], store=True), d, f"{folder}/{d}")
+    done["orders"] = stage(_flag_orders(raw["orders"], done["customers"], done["products"], store=True), "orders", f"{folder}/orders")
     return Flagged(**done)

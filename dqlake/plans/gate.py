@@ -12,7 +12,7 @@ from dqlake.operators import splits
 from dqlake.plans.batch import DATASETS, Flagged, stage_batch
 from dqlake.plans.layout import Layout
 from dqlake.sources.files import (
-    read_csv, read_documents, read_if_there, read_parquet, write_document, write_parquet,
+    exists, read_csv, read_documents, read_if_there, read_parquet, write_document, write_parquet,
 )
 
 BLOCKED = "BLOCKED_BY_QUALITY_GATE"
@@ -38,11 +38,26 @@ def ingest_csv(spark: SparkSession, paths: dict[str, str], layout: Layout, run_i
     return snapshot({d: read_csv(spark, paths[d]) for d in DATASETS}, layout, run_id)
 
 
-def snapshot(raw: dict[str, DataFrame], layout: Layout, run_id: str) -> dict[str, DataFrame]:
-    """Keep the raw tables under the run id, so that a replay sees the same rows."""
+def snapshot(raw: dict[str, DataFrame], layout: Layout, run_id: str, keep: bool = False) -> dict[str, DataFrame]:
+    """Keep the raw tables under the run id, so that a replay sees the same rows.
+
+    With ``keep`` a snapshot that the run already has stays, and the new rows lie beside it under a name of their own.
+    """
+    spark = raw["orders"].sparkSession
+    kept = run_id
+    while keep and exists(spark, layout.raw(kept, "orders")):
+        kept += "+"
+    for d in DATASETS:
+        write_parquet(raw[d], layout.raw(kept, d))
+    return read_snapshot(spark, layout, kept)
+
+
+def judge_frames(raw: dict[str, DataFrame]) -> None:
+    """Stop before validation when a batch lacks a required column."""
     for d in DATASETS:
-        write_parquet(raw[d], layout.raw(run_id, d))
-    return read_snapshot(raw["orders"].sparkSession, layout, run_id)
+        missing = sorted(set(schemas.BASELINE[d]["required"]) - set(raw[d].columns))
+        if missing:
+            raise ValueError(f"breaking schema change in {d}: a required column is missing: {missing}")
 
 
 def read_snapshot(spark: SparkSession, layout: Layout, run_id: str) -> dict[str, DataFrame]:
@@ -75,7 +90,6 @@ def evaluate_batch(
     run_id: str,
     threshold: float | None = None,
     at: datetime | None = None,
-    hot_rows: int | None = None,
 ) -> GateResult:
     """Flag the batch, write quarantine and report whatever the verdict, and return it.
 
@@ -83,10 +97,8 @@ def evaluate_batch(
     """
     spark = raw["orders"].sparkSession
     start = now() if at is None else at
-    flagged = stage_batch(raw, layout.flagged(run_id), hot_rows)
+    flagged = stage_batch(raw, layout.flagged(run_id))
     for d in DATASETS:
-        if splits.failed_rows(flagged[d]).isEmpty():
-            continue
         records = splits.quarantine_records(flagged[d], d, run_id, as_column(start))
         write_parquet(records.drop("run_id"), layout.quarantine(d, run_id))
     end = now() if at is None else at
@@ -96,12 +108,12 @@ def evaluate_batch(
 
 
 def read_quarantine(spark: SparkSession, layout: Layout, dataset: str, run_id: str) -> DataFrame:
-    """The run's records of a dataset; empty when that run quarantined nothing."""
+    """The run's records of a dataset with the columns they were stored with; empty for a run that never got here."""
     columns = ", ".join(
         ["quarantine_id string", "dataset string", "quarantine_timestamp timestamp_ntz", "error_reasons string"]
         + [f"{c} string" for c in schemas.RAW[dataset].fieldNames()]
     )
-    records = read_if_there(spark, layout.quarantine(dataset, run_id), columns)
+    records = read_if_there(spark, layout.quarantine(dataset, run_id), columns, stored_schema=True)
     return records.withColumn("run_id", F.lit(run_id))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from dqlake.operators.splits import DEFAULT_THRESHOLD
 from dqlake.plans import evolution, warehouse
 from dqlake.plans.batch import DATASETS
-from dqlake.plans.gate import BLOCKED, evaluate_batch, ingest_csv, read_snapshot, snapshot
+from dqlake.plans.gate import BLOCKED, evaluate_batch, ingest_csv, judge_frames, read_snapshot, snapshot
 from dqlake.plans.lake import publish_if_passed
 from dqlake.plans.layout import Layout
 from dqlake.session import prepare
@@ -21,11 +21,11 @@ def run_batch(
     run_id: str,
     threshold: float = DEFAULT_THRESHOLD,
     at: datetime | None = None,
-    hot_rows: int | None = None,
 ) -> dict:
     """Snapshot, gate, lake, star schema. Below the threshold it stops after quarantine and report."""
     layout = Layout(root)
-    return _from_gate(snapshot(raw, layout, run_id), layout, run_id, threshold, at, hot_rows)
+    judge_frames(raw)
+    return _from_gate(snapshot(raw, layout, run_id), layout, run_id, threshold, at)
 
 
 def run_files(
@@ -49,19 +49,22 @@ def replay(
     threshold: float = DEFAULT_THRESHOLD,
     at: datetime | None = None,
 ) -> dict:
-    """Start again at validation, from a kept run's raw rows (``source_run``, by default the same run) or given ones."""
+    """Start again at validation, from a kept run's raw rows (``source_run``, by default the same run) or given ones.
+
+    Given rows never replace the snapshot that a run has kept.
+    """
     layout = Layout(root)
-    rows = read_snapshot(spark, layout, source_run or run_id) if raw is None else snapshot(raw, layout, run_id)
+    rows = read_snapshot(spark, layout, source_run or run_id) if raw is None else snapshot(raw, layout, run_id, keep=True)
+    judge_frames(rows)
     out = _from_gate(rows, layout, run_id, threshold, at)
     return {**out, "checkpoint": "VALIDATION"}
 
 
 def _from_gate(
     raw: dict[str, DataFrame], layout: Layout, run_id: str, threshold: float, at: datetime | None,
-    hot_rows: int | None = None,
 ) -> dict:
     spark = prepare(raw["orders"].sparkSession)
-    result = evaluate_batch(raw, layout, run_id, threshold, at, hot_rows)
+    result = evaluate_batch(raw, layout, run_id, threshold, at)
     s = result.summary
     out = {
         "run_id": run_id,

@@ -8,12 +8,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dqlake.operators.clean import clean_customers, clean_orders, clean_products
 from dqlake.operators.enrich import enrich_customers, enrich_products
+from dqlake.plans import lineage
 from dqlake.plans.batch import Flagged
 from dqlake.plans.gate import GateResult, now
 from dqlake.plans.layout import Layout
 from dqlake.sources.files import read_parquet, write_document, write_parquet
 
 PARTITION = ["year", "month"]
+PUBLISHED = [
+    ("raw_orders", "quality_gate_orders"), ("raw_customers", "quality_gate_orders"), ("raw_products", "quality_gate_orders"),
+    ("quality_gate_orders", "lake_fact_orders"), ("raw_customers", "lake_dim_customers"), ("lake_fact_orders", "lake_dim_customers"),
+    ("raw_products", "lake_dim_products"), ("lake_fact_orders", "lake_dim_products"),
+]
 
 
 class GateClosed(Exception):
@@ -34,6 +40,7 @@ def publish(
     orders = read_parquet(spark, layout.lake("fact_orders"))
     write_parquet(enrich_customers(clean_customers(flagged.valid("customers")), orders), layout.lake("dim_customers"))
     write_parquet(enrich_products(clean_products(flagged.valid("products")), orders), layout.lake("dim_products"))
+    lineage.record(spark, layout, run_id, "publish", PUBLISHED)
     write_document(manifest(spark, layout, run_id, at), layout.manifest(run_id))
     return spark.read.json(layout.manifest(run_id))
 

@@ -24,6 +24,9 @@ class Layout:
     def report(self, run_id: str) -> str:
         return f"{self.reports}/quality_report_{run_id}"
 
+    def lineage(self, run_id: str, step: str) -> str:
+        return f"{self.root}/lineage/run_id={run_id}/step={step}"
+
     def lake(self, table: str) -> str:
         return f"{self.root}/processed/{table}"
 

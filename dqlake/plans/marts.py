@@ -1,7 +1,7 @@
 """Marts and KPIs over the star tables.
 
 Facts are aggregated on their own key before they meet a dimension, so a hot product or month is combined on the map
-side. The calendar is the one broadcast table: it has a row per day and its length is checked where it is built.
+side. Spark broadcasts the calendar when its size allows.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ def monthly_revenue(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     days = calendar.select("date_key", "year", "month", "month_name")
     amount = F.col("total_amount")
     return (
-        fact.select("date_key", "customer_id", "total_amount").join(F.broadcast(days), "date_key")
+        fact.select("date_key", "customer_id", "total_amount").join(days, "date_key")
         .groupBy("year", "month", "month_name")
         .agg(
             F.count(F.lit(1)).alias("total_orders"),

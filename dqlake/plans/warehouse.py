@@ -9,18 +9,21 @@ from __future__ import annotations
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from dqlake import schemas
 from dqlake.functions import date_key, strip
 from dqlake.operators.numbering import number_rows
 from dqlake.operators.splits import quarantine_audit
 from dqlake.operators.upsert import first_per_key, keep_or_number, replace_by_key
+from dqlake.plans import lineage
 from dqlake.plans.batch import DATASETS
 from dqlake.plans.gate import as_column, read_quarantine
 from dqlake.plans.lake import PARTITION, by_date
 from dqlake.plans.layout import Layout
-from dqlake.sources.files import empty_table, read_documents, read_if_there, read_parquet, write_parquet
+from dqlake.sources.files import (
+    empty_table, read_documents, read_if_there, read_parquet, remove, write_parquet,
+)
 from dqlake.sources.staging import stage
 
 TABLES = {
@@ -30,19 +33,19 @@ TABLES = {
     "data_quality_audit": schemas.AUDIT,
     "quarantine_audit": schemas.QUARANTINE_AUDIT,
 }
+LOADED = [("lake_fact_orders", "dw_fact_orders"), ("lake_dim_customers", "dw_dim_customers"), ("lake_dim_products", "dw_dim_products")]
 SNAPSHOTS = ("dim_customers", "dim_products")
 LOAD_LOG = "table string, load_id int, path string, run_id string, records bigint"
-LONGEST_CALENDAR = 100_000
+MONTHS_SENT = 10_000  # months that a load may broadcast; more meet in a shuffle
 CALENDAR = (date(2023, 1, 1), date(2027, 12, 31))
 
 
 # ---- the rows of each table -------------------------------------------------------------------------------------
 
 def dim_date(spark: SparkSession, first: date = CALENDAR[0], last: date = CALENDAR[1]) -> DataFrame:
-    """One row per day. The length is checked, because joins broadcast this table."""
-    if not 0 <= (last - first).days < LONGEST_CALENDAR:
-        raise ValueError(f"calendar must have 1 to {LONGEST_CALENDAR} days")
-    days = spark.range(1).select(F.explode(F.sequence(F.lit(first), F.lit(last))).alias("full_date"))
+    """One row per day, both ends included."""
+    count = (last - first).days + 1
+    days = spark.range(max(0, count)).select(F.date_add(F.lit(first), F.col("id").cast("int")).alias("full_date"))
     d = F.col("full_date")
     return days.select(
         date_key(d).alias("date_key"),
@@ -176,34 +179,36 @@ def _load_dimension(
 def _load_facts(spark: SparkSession, layout: Layout, run_id: str, at, full_refresh: bool) -> int:
     """Replace the batch's orders. Months that hold or held one of them are rewritten, the others stay as they are.
 
-    Numbering leaves the rows sorted by time, so the first load writes month folders without another shuffle.
+    The key of a fact is a hash of its order id, so no row of the history is read to number the batch. One semi join finds the
+    held orders; what they need later is their months. A month that loses its last order loses its folder.
     """
     path = layout.warehouse("fact_orders")
-    batch = fact_rows(read_parquet(spark, layout.lake("fact_orders")))
+    batch = fact_rows(read_parquet(spark, layout.lake("fact_orders"))).withColumns({"order_key": fact_key(), "loaded_at": at})
     target = read_table(spark, layout, "fact_orders")
-    numbered = keep_or_number(batch, target, "order_id", "order_key", ["order_date", "order_id"])
-    keyed = _typed(numbered.withColumn("loaded_at", at), "fact_orders")
-    if target.isEmpty():
-        write_parquet(keyed, path, PARTITION)
+    if full_refresh or target.isEmpty():
+        write_parquet(by_date(_typed(batch, "fact_orders")), path, PARTITION)
         return read_table(spark, layout, "fact_orders").count()
-    keyed = stage(keyed, "fact_batch")
-    if full_refresh:
-        write_parquet(by_date(keyed), path, PARTITION)
-        return keyed.count()
-
-    held = target.join(keyed.select("order_id"), "order_id", "left_semi").select(*PARTITION)
-    months = [tuple(r) for r in held.union(keyed.select(*PARTITION)).distinct().collect()]
-    touched = target.where(F.struct(*PARTITION).isin([F.struct(F.lit(y), F.lit(m)) for y, m in months]))
-    rewritten = stage(replace_by_key(touched, keyed, "order_id"), "fact_months")
-    left = {tuple(r) for r in rewritten.select(*PARTITION).distinct().collect()}
-    if left == set(months):
-        write_parquet(by_date(rewritten), path, PARTITION, touched_only=True)
-    else:  # a month lost its last order: dynamic overwrite cannot empty a folder
-        whole = stage(replace_by_key(target, keyed, "order_id"), "fact_whole")
-        write_parquet(by_date(whole), path, PARTITION)
+    keyed = stage(_typed(batch, "fact_orders"), "fact_batch")
+    held = target.select("order_id", *PARTITION).join(keyed.select("order_id"), "order_id", "left_semi").select(*PARTITION)
+    months = stage(held.union(keyed.select(*PARTITION)).distinct(), "fact_months")
+    touched = target.join(F.broadcast(months) if months.count() <= MONTHS_SENT else months, PARTITION, "left_semi")
+    rewritten = stage(replace_by_key(touched.select(*keyed.columns), keyed, "order_id"), "fact_rewritten")
+    emptied = months.join(rewritten.select(*PARTITION), PARTITION, "left_anti")
+    write_parquet(by_date(rewritten), path, PARTITION, touched_only=True)
+    for year, month in emptied.toLocalIterator():
+        remove(spark, f"{path}/year={year}/month={month}")
     return keyed.count()
 
 
+def fact_key() -> Column:
+    """The key of a fact: 60 bits of the MD5 of its order id, the same in every load and engine."""
+    return hash_key(F.col("order_id"))
+
+
+def hash_key(text: Column) -> Column:
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+
+
 def load_audit(spark: SparkSession, layout: Layout, at) -> int:
     """Add the checks of runs not loaded yet; the table lies by run and older runs are not touched."""
     target = read_table(spark, layout, "data_quality_audit")
@@ -217,26 +222,34 @@ def load_audit(spark: SparkSession, layout: Layout, at) -> int:
 
 def load_quarantine(spark: SparkSession, layout: Layout, run_id: str) -> int:
     """Put the run's quarantine records in the audit table, in place of any it held of this run."""
-    target = read_table(spark, layout, "quarantine_audit").where(F.col("run_id") != run_id)
     parts = [quarantine_audit(read_quarantine(spark, layout, d, run_id)) for d in DATASETS]
     records = reduce(DataFrame.unionByName, parts)
-    [last] = target.agg(F.coalesce(F.max("quarantine_key"), F.lit(0))).first()
-    numbered = number_rows(records, [F.col("dataset"), F.col("quarantine_id")], "quarantine_key", last + 1)
-    rows = _typed(numbered, "quarantine_audit")
+    rows = stage(_typed(records.withColumn("quarantine_key", quarantine_key()), "quarantine_audit"), "quarantine_rows")
     write_parquet(rows, layout.warehouse("quarantine_audit"), ["run_id"], touched_only=True)
-    return rows.count()
+    loaded = rows.count()
+    if not loaded:  # dynamic overwrite leaves the folder of a run without records
+        remove(spark, f"{layout.warehouse('quarantine_audit')}/run_id={run_id}")
+    return loaded
+
+
+def quarantine_key() -> Column:
+    """The key of a quarantine record; its id names run, dataset and place, so a reload keeps it."""
+    return hash_key(F.col("quarantine_id"))
 
 
 def load(
     spark: SparkSession, layout: Layout, run_id: str, at: datetime | None = None, full_refresh: bool = False
 ) -> dict[str, int]:
-    """Load the published lake and all reports not loaded yet. Loading twice gives the same tables."""
+    """Load the published lake and all reports not loaded yet. Loading twice gives the same tables.
+
+    Writes the report of fact keys without a dimension row below ``orphans`` and the lineage of what it wrote.
+    """
     stamp = as_column(at)
     customers = first_per_key(
         customer_rows(read_parquet(spark, layout.lake("dim_customers"))), "customer_id", ["signup_date", "email"])
     products = first_per_key(
         product_rows(read_parquet(spark, layout.lake("dim_products"))), "product_id", ["sku", "product_name"])
-    return {
+    stats = {
         "customers_loaded": _load_dimension(
             spark, layout, "dim_customers", customers, "customer_id", "customer_key", run_id, stamp, full_refresh),
         "products_loaded": _load_dimension(
@@ -245,6 +258,10 @@ def load(
         "audit_records_loaded": load_audit(spark, layout, stamp),
         "quarantine_records_loaded": load_quarantine(spark, layout, run_id),
     }
+    report = orphans(*(read_table(spark, layout, t) for t in ("fact_orders", "dim_customers", "dim_products")))
+    write_parquet(report, layout.warehouse(f"orphans/run_id={run_id}"))
+    lineage.record(spark, layout, run_id, "load", LOADED)
+    return stats
 
 
 def star(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from dqlake.sources.headers import csv_headers
+from dqlake.sources.headers import csv_headers, csv_lines
 
 # Texts that a CSV reader takes as null.
 NULL_TOKENS = [
@@ -23,18 +22,33 @@ def null_tokens(df: DataFrame) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str | list[str], multiline: bool = False) -> DataFrame:
-    """Every column a text, named by the header. Quoted line breaks need ``multiline``, which makes files unsplittable."""
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
-    return null_tokens(reader.csv(path))
+    """CSV files of one or several folders as one table of texts, columns matched by name in every file.
+
+    A column that a file lacks is null in its rows; columns that only some files have are kept. The headers alone come to the
+    driver, each distinct one once. Lines are parsed to as many texts as the longest header has names and then named by the
+    header of their file; a line equal to its file's header is no row. Quoted line breaks need ``multiline``: such files must
+    share one header and are not splittable.
+    """
+    if multiline:
+        return null_tokens(spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path))
+    headers = csv_headers(spark, path)
+    known = [r[0] for r in headers.select("columns").distinct().collect()]
+    names = sorted({c for columns in known for c in columns}, key=lambda n: min((h.index(n), h) for h in known if n in h))
+    if not names:
+        return spark.createDataFrame([], T.StructType([]))
+    widest = max(map(len, known))
+    lines = csv_lines(spark, path).join(headers.withColumnRenamed("path", "_of"), F.col("path") == F.col("_of"))
+    lines = lines.where((F.col("line") != F.col("header")) & (F.length("line") > 0))
+    cells = F.from_csv("line", ", ".join(f"c{i} string" for i in range(widest)), {"escape": '"'})
+    parsed = lines.select("columns", cells.alias("cells"))
+    values = parsed.select("columns", F.array(*[f"cells.c{i}" for i in range(widest)]).alias("values"))
+    place = {n: F.array_position("columns", F.lit(n)) for n in names}
+    return null_tokens(values.select(*[F.when(place[n] > 0, F.get("values", (place[n] - 1).cast("int"))).alias(n) for n in names]))
 
 
 def read_csv_batches(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """A folder whose files need not share a header: columns are matched by name, missing ones are null."""
-    groups = (
-        csv_headers(spark, path).groupBy("columns").agg(F.collect_list("path").alias("paths")).orderBy("columns")
-    )
-    frames = [read_csv(spark, row["paths"], multiline) for row in groups.collect()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    """A folder whose files need not share a header."""
+    return read_csv(spark, path, multiline)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -73,12 +87,25 @@ def empty_table(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
     return spark.sql(f"SELECT {columns} WHERE false")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def read_if_there(
-    spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet", **options: object
+    spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet", stored_schema: bool = False,
+    **options: object,
 ) -> DataFrame:
-    """The table at ``path``, or an empty one when the path does not exist yet."""
+    """The table at ``path``, or an empty one when the path does not exist yet. ``stored_schema`` takes that of the files."""
     try:
-        return spark.read.schema(schema).options(**options).format(fmt).load(path)
+        reader = spark.read if stored_schema else spark.read.schema(schema)
+        return reader.options(**options).format(fmt).load(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -2,6 +2,7 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
@@ -9,18 +10,18 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = (
+    builder = (
         SparkSession.builder.master("local[2]").appName("tests")
         .config("spark.sql.shuffle.partitions", "2")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    if not SparkConf().get("spark.checkpoint.dir", None):
+        builder = builder.config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+    session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 

@@ -7,8 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from dqlake.operators import keyed
-from dqlake.operators.keyed import attach, find_hot, mark_members, repeated_keys, with_row_id
+from dqlake.operators.keyed import ROW_ID, SPREAD, attach, mark_members, repeated_keys, with_row_id
 from dqlake.operators.numbering import number_rows, rank_desc
 from dqlake.operators.upsert import first_per_key, keep_or_number, replace_by_key
 from dqlake.sources.staging import stage
@@ -23,22 +22,9 @@ def skewed(spark):
     return stage(spark.createDataFrame([(k, i % 3) for i, k in enumerate(keys)], "key string, v int"), "skewed")
 
 
-def hashes(spark, *values):
-    df = spark.createDataFrame([(v,) for v in values], "key string")
-    return {r[0] for r in df.select(F.xxhash64("key")).collect()}
-
-
-def test_hot_keys_are_found_and_nulls_are_not(spark, skewed):
-    [hot] = find_hot(skewed, [["key"]], hot_rows=300)
-    assert set(hot) == hashes(spark, "hot")
-    assert find_hot(skewed, [["key"], ["key", "v"]], hot_rows=1_000) == [[], []]
-
-
-@pytest.mark.parametrize("hot_rows", [1, 300, 10_000])
-def test_attach_equals_a_left_join(spark, skewed, hot_rows):
+def test_attach_equals_a_left_join(spark, skewed):
     lookup = spark.createDataFrame([("hot", 1), ("k1", 2), ("k7", 3), ("absent", 4)], "key string, w int")
-    [hot] = find_hot(skewed, [["key"]], hot_rows)
-    got = attach(with_row_id(skewed), lookup, ["key"], hot).drop("_row")
+    got = attach(with_row_id(skewed), lookup, ["key"]).drop(ROW_ID)
     want = skewed.join(lookup, "key", "left")
     assert got.columns == want.columns
     assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
@@ -46,18 +32,15 @@ def test_attach_equals_a_left_join(spark, skewed, hot_rows):
 
 def test_a_hot_key_without_a_match_stays_unmatched(spark, skewed):
     members = spark.createDataFrame([("k1",)], "key string")
-    [hot] = find_hot(skewed, [["key"]], 300)
-    marked = mark_members(with_row_id(skewed), members, ["key"], "hit", hot)
+    marked = mark_members(with_row_id(skewed), members, ["key"], "hit")
     assert marked.where("hit").select("key").distinct().collect() == [("k1",)]
     assert marked.count() == skewed.count()
 
 
-def test_hot_rows_are_spread_over_tasks(spark, skewed):
-    """The partitioning value of hot and null rows is the row id, so no value repeats among them."""
+def test_null_keys_are_spread_by_their_row_id(spark, skewed):
     lookup = spark.createDataFrame([("hot", 1)], "key string, w int")
-    [hot] = find_hot(skewed, [["key"]], 300)
-    plan = attach(with_row_id(skewed), lookup, ["key"], hot)._jdf.queryExecution().analyzed().toString()
-    assert "_spread" in plan and "_row" in plan
+    plan = attach(with_row_id(skewed), lookup, ["key"])._jdf.queryExecution().analyzed().toString()
+    assert SPREAD in plan and ROW_ID in plan
 
 
 def test_repeated_keys(spark, skewed):
@@ -68,7 +51,7 @@ def test_repeated_keys(spark, skewed):
 
 def test_numbers_are_dense_and_ordered_even_with_copies(spark, skewed):
     numbered = number_rows(
-        with_row_id(skewed), [F.col("key").asc_nulls_first(), F.col("v"), F.col("_row")], "n", 5
+        with_row_id(skewed), [F.col("key").asc_nulls_first(), F.col("v"), F.col(ROW_ID)], "n", 5
     ).orderBy("n").collect()
     assert [r["n"] for r in numbered] == list(range(5, 5 + 1200))
     order = [((r["key"] is not None, r["key"] or ""), r["v"]) for r in numbered]
@@ -80,9 +63,9 @@ def test_rank_equals_sql_rank(spark):
     rows = [(i, rng.choice("aaab"), float(rng.choice([0, 0, 0, 5, 7, rng.randrange(50)]))) for i in range(600)]
     df = stage(spark.createDataFrame(rows, "id int, g string, v double"), "ranked")
     pdf = pd.DataFrame(rows, columns=["id", "g", "v"]).set_index("id")
-    overall = {r["id"]: r["r"] for r in rank_desc(df, "v", "r", hot_rows=50).collect()}
+    overall = {r["id"]: r["r"] for r in rank_desc(df, "v", "r").collect()}
     assert overall == pdf["v"].rank(method="min", ascending=False).astype(int).to_dict()
-    inside = {r["id"]: r["r"] for r in rank_desc(df, "v", "r", ["g"], hot_rows=50).collect()}
+    inside = {r["id"]: r["r"] for r in rank_desc(df, "v", "r", ["g"]).collect()}
     assert inside == pdf.groupby("g")["v"].rank(method="min", ascending=False).astype(int).to_dict()
 
 
@@ -97,7 +80,3 @@ def test_first_per_key_and_upsert(spark):
     merged = replace_by_key(target, given, "k")
     assert sorted(map(tuple, merged.select("id", "k", "v").collect())) == [
         (1, "a", "old"), (2, "b", "new"), (3, "aa", "new"), (4, "c", "new")]
-
-
-def test_hot_key_limit_bounds_the_broadcast():
-    assert keyed.HOT_KEYS <= 1000

@@ -2,14 +2,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from dqlake.operators import splits
-from dqlake.operators.rules import CHECKS, EMAIL_FORMAT, Check, any_failed, flag_rows, joined_reasons, reasons
+from dqlake.operators.rules import (
+    CHECKS, EMAIL_FORMAT, Check, any_failed, flag_name, flag_rows, joined_reasons, reasons,
+)
 from dqlake.plans.batch import flag_batch
 
 ORDER = "order_id customer_id product_id quantity unit_price discount_rate total_amount order_date order_status payment_method"
 
 
 def failing(flagged, key, i):
-    return {r[0] for r in flagged.where(f"fail_{i}").select(key).collect()}
+    return {r[0] for r in flagged.where(flag_name(i)).select(key).collect()}
 
 
 def test_four_row_frame(table):
@@ -98,9 +100,8 @@ def batch(table):
     return {"customers": customers, "products": products, "orders": orders}
 
 
-@pytest.mark.parametrize("hot_rows", [None, 1])
-def test_reasons_cascade_in_order(batch, hot_rows):
-    flagged = flag_batch(batch, hot_rows)
+def test_reasons_cascade_in_order(batch):
+    flagged = flag_batch(batch)
     got = {
         (r["order_id"], r["why"])
         for r in flagged.orders.select("order_id", joined_reasons(CHECKS["orders"]).alias("why")).collect()
@@ -166,3 +167,32 @@ def test_empty_batch_scores_full(table, batch):
     flagged = flag_batch(empty)
     assert splits.score(flagged.all_totals()).first()["overall_quality_score"] == 100.0
     assert {r["pass_rate"] for r in flagged.metrics().collect()} == {100.0}
+
+
+def test_large_prices_are_prices_and_wild_amounts_have_their_reason(table):
+    checks = [CHECKS["orders"][4], CHECKS["orders"][9]]
+    rows = table("id quantity unit_price discount_rate", [
+        ("1", "1", "2e16", "0"), ("2", "1", "5", "-1e30"), ("3", "1", "1e300", None), ("4", "x", "5", "0"), ("5", "2", "inf", "0")])
+    flagged = flag_rows(rows, checks)
+    assert failing(flagged, "id", 0) == {"5"}
+    assert failing(flagged, "id", 1) == {"2", "3"}
+
+
+def test_reserved_column_names(table):
+    rows = table("id fail_note _row", [("1", "n", "r")])
+    assert splits.valid_rows(flag_rows(rows, [Check("not_null", "id", "")])).columns == ["id", "fail_note", "_row"]
+    with pytest.raises(ValueError):
+        flag_rows(table("id __dq_fail_0", [("1", "x")]), [Check("not_null", "id", "")])
+
+
+def test_no_zone_changes_a_time(spark, table):
+    from dqlake.functions import timestamp_of
+
+    rows = table("t", [("2024-03-10 02:30:00",), ("2024-02-30",), ("2024-1-5",), ("2024-03-10",), ("2024-03-10T02:30:00",)])
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = [r[0] for r in rows.select(F.date_format(timestamp_of(F.col("t")), "yyyy-MM-dd HH:mm")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == ["2024-03-10 02:30", None, None, "2024-03-10 00:00", None]

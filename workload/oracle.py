@@ -26,9 +26,13 @@ def num(x):
     return f"(CASE WHEN regexp_matches({x}, '{_NUMBER}') AND NOT isinf({v}) THEN {v} END)"
 
 
-def positive(x, most, strict=True):
+def positive(x, most=None, strict=True):
     low = "<=" if strict else "<"
-    return f"coalesce({num(x)} {low} 0 OR {num(x)} > {most}, true)"
+    return f"coalesce({num(x)} {low} 0" + (f" OR {num(x)} > {most}" if most else "") + ", true)"
+
+
+def beyond_money():
+    return f"coalesce(abs(trunc({num('quantity')}) * {num('unit_price')} * (1 - coalesce({num('discount_rate')}, 0))) >= 1e25, false)"
 
 
 def ts(x):
@@ -90,7 +94,7 @@ REASONS = {
         "order_id is null or empty", "duplicate order_id", "customer_id is null", "quantity must be greater than 0",
         "unit_price must be greater than 0", "invalid or unparseable order_date format",
         "orphaned customer_id (not in customer master)", "orphaned product_id (not in product catalog)",
-        "order_status not in allowed business statuses",
+        "order_status not in allowed business statuses", "net amount does not fit the money type",
     ],
 }
 CHECKS = {
@@ -133,24 +137,24 @@ CHAIN: dict[str, str] = {f"raw_{d}": text for d, text in SQL.items()}
 CHAIN["customers_flagged"] = f"""
 SELECT *, {blank('customer_id')} AS f0, {_repeated('customer_id')} AS f1, {blank('email')} AS f2 FROM raw_customers"""
 CHAIN["products_flagged"] = f"""
-SELECT *, {blank('product_id')} AS f0, {_repeated('product_id')} AS f1, {positive('unit_price', '1e16')} AS f2
+SELECT *, {blank('product_id')} AS f0, {_repeated('product_id')} AS f1, {positive('unit_price')} AS f2
 FROM raw_products"""
 CHAIN["customers_valid"] = "SELECT * EXCLUDE (f0, f1, f2) FROM customers_flagged WHERE NOT (f0 OR f1 OR f2)"
 CHAIN["products_valid"] = "SELECT * EXCLUDE (f0, f1, f2) FROM products_flagged WHERE NOT (f0 OR f1 OR f2)"
 CHAIN["orders_flagged"] = f"""
 SELECT *, {blank('order_id')} AS f0, {_repeated('order_id')} AS f1, {blank('customer_id')} AS f2,
-       {positive('quantity', 2147483647)} AS f3, {positive('unit_price', '1e16')} AS f4,
+       {positive('quantity', 2147483647)} AS f3, {positive('unit_price')} AS f4,
        {ts('order_date')} IS NULL AS f5, NOT {_member('customer_id', 'customers_valid')} AS f6,
        NOT {_member('product_id', 'products_valid')} AS f7,
-       NOT coalesce(order_status IN {STATUSES}, false) AS f8
+       NOT coalesce(order_status IN {STATUSES}, false) AS f8, {beyond_money()} AS f9
 FROM raw_orders"""
-_ORDER_FLAGS = [f"f{i}" for i in range(9)]
+_ORDER_FLAGS = [f"f{i}" for i in range(10)]
 CHAIN["orders_valid"] = (f"SELECT * EXCLUDE ({', '.join(_ORDER_FLAGS)}) FROM orders_flagged "
                          f"WHERE NOT ({' OR '.join(_ORDER_FLAGS)})")
 
 
 def _flags(d):
-    return [f"f{i}" for i in range(len(CHECKS[d]))]
+    return [f"f{i}" for i in range(len(REASONS[d]))]
 
 
 def _reasons(d):
@@ -232,7 +236,7 @@ CHAIN["lake_products"] = """
 SELECT p.*, coalesce(total_units_sold, 0) AS total_units_sold, coalesce(total_revenue, 0.0) AS total_revenue
 FROM clean_products p LEFT JOIN product_sales USING (product_id)"""
 CHAIN["fact"] = """
-SELECT row_number() OVER (ORDER BY order_date, order_id) AS order_key, order_id, customer_id, product_id,
+SELECT cast('0x' || substr(md5(order_id), 1, 15) AS BIGINT) AS order_key, order_id, customer_id, product_id,
        cast(strftime(order_date, '%Y%m%d') AS INTEGER) AS date_key, order_date, quantity, unit_price, discount_rate,
        total_amount, order_status, payment_method
 FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY order_date, customer_id, product_id) AS rn
@@ -420,11 +424,11 @@ def oracle_sql() -> dict[str, str]:
         "count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1 AS key_fails FROM lineitem")
     out["rule_positive_numeric"] = sql(
         f"SELECT order_id, quantity, unit_price, discount_rate, {positive('quantity', 2147483647)} AS quantity_fails, "
-        f"{positive('unit_price', '1e16')} AS unit_price_fails, {positive('discount_rate', '1e16', False)} AS discount_rate_fails "
+        f"{positive('unit_price')} AS unit_price_fails, {positive('discount_rate', None, False)} AS discount_rate_fails "
         "FROM raw_orders")
     out["rule_positive_numeric_products"] = sql(
-        f"SELECT product_id, unit_price, in_stock, {positive('unit_price', '1e16')} AS unit_price_fails, "
-        f"{positive('in_stock', '1e16', False)} AS in_stock_fails FROM raw_products")
+        f"SELECT product_id, unit_price, in_stock, {positive('unit_price')} AS unit_price_fails, "
+        f"{positive('in_stock', None, False)} AS in_stock_fails FROM raw_products")
     out["rule_valid_datetime"] = sql(f"SELECT order_id, order_date, {ts('order_date')} IS NULL AS order_date_fails FROM raw_orders")
     out["rule_referential_integrity"] = sql(
         f"SELECT order_id, customer_id, product_id, NOT {_member('customer_id', 'customers_valid')} AS customer_id_fails, "
@@ -566,5 +570,29 @@ UNION ALL SELECT 'replay', 'SUCCESS', overall_quality_score, (SELECT count(*) FR
         f"SELECT customer_id, name, country, segment, customer_tier FROM lake_customers WHERE is_active")
     out["entity_products"] = sql(
         "SELECT product_id, product_name, category, unit_price, total_revenue FROM lake_products WHERE category = 'Economy'")
+    wild = (f"SELECT order_id, CASE WHEN order_status = 'Pending' THEN unit_price || 'e17' ELSE unit_price END AS unit_price, "
+            "CASE WHEN order_status = 'Shipped' THEN '-1e30' ELSE discount_rate END AS discount_rate, quantity FROM raw_orders")
+    out["rule_large_amounts"] = sql(
+        f"SELECT order_id, unit_price, discount_rate, {positive('unit_price')} AS unit_price_fails, {beyond_money()} AS total_amount_fails FROM ({wild})")
+    far = calendar("(SELECT make_timestamp(min(year), 1, 1, 0, 0, 0) FROM clean_orders)", "TIMESTAMP '9999-12-31'")
+    out["dim_date_to_the_end"] = sql(
+        f"SELECT year, count(*) AS days, count(*) FILTER (is_weekend) AS weekend_days FROM ({far}) GROUP BY year")
+    out["mart_monthly_chart"] = sql(
+        "SELECT row_number() OVER (ORDER BY year, month) AS place, year, month, total_orders, total_revenue FROM monthly")
+    mixed = ("order_id, customer_id, quantity, order_date, CASE WHEN order_status IS DISTINCT FROM 'Cancelled' THEN payment_method END AS payment_method, "
+             "CASE WHEN order_status NOT IN ('Completed', 'Pending', 'Cancelled') THEN 'C-' || order_status END AS coupon_code")
+    out["csv_mixed_headers"] = sql(
+        f"SELECT {mixed}, nullif({_reasons('orders')}, '') AS error_reasons FROM orders_flagged")
+    mended = joined((f, t) for f, t in zip(_flags("orders"), REASONS["orders"]) if f != "f8")
+    parts = [f"SELECT '{d}' AS dataset, {mended if d == 'orders' else _reasons(d)} AS error_reasons FROM {d}_flagged" for d in CHECKS]
+    out["replay_mended_rows"] = sql(
+        "SELECT 'run-1' AS run_id, dataset, error_reasons, count(*) AS records, count(*) AS audit_keys FROM ("
+        + " UNION ALL ".join(parts) + ") WHERE error_reasons <> '' GROUP BY dataset, error_reasons")
+    new_status = "CASE WHEN order_date >= TIMESTAMP '2025-07-01' THEN 'Refunded' ELSE order_status END AS order_status"
+    out["star_load_two_runs"] = sql(
+        f"SELECT {_FACT.replace('order_status', new_status)} FROM fact")
+    out["lineage_of_run"] = (
+        "SELECT * FROM (VALUES ('dw_dim_customers', 0, 'WAREHOUSE'), ('lake_dim_customers', 1, 'LAKEHOUSE'), ('raw_customers', 2, 'RAW'), "
+        "('lake_fact_orders', 2, 'LAKEHOUSE'), ('quality_gate_orders', 3, 'QUALITY_GATE'), ('raw_orders', 4, 'RAW'), ('raw_products', 4, 'RAW')) t(name, depth, tier)")
     out["entity_orders"] = sql(f"SELECT {_FACT} FROM fact WHERE order_status = 'Completed'")
     return out

@@ -12,14 +12,14 @@ from dqlake import schemas
 from dqlake.operators import contracts, noise, splits
 from dqlake.operators.clean import clean_customers, clean_orders, clean_products
 from dqlake.operators.enrich import customer_rfm, enrich_customers, enrich_products, rank_products
-from dqlake.operators.keyed import find_hot, with_row_id
+from dqlake.operators.keyed import ROW_ID, with_row_id
 from dqlake.operators.numbering import number_rows
 from dqlake.operators.rules import CHECKS, EMAIL_FORMAT, Check, flag_name, flag_rows, joined_reasons, unique
 from dqlake.operators.upsert import keep_or_number, replace_by_key
 from dqlake.plans import evolution, lake, lineage, marts, warehouse
-from dqlake.plans.batch import DATASETS, Flagged, flag_batch, valid_keys
-from dqlake.plans.gate import evaluate_batch, quarantine_page, snapshot
-from dqlake.plans.job import replay, run_batch
+from dqlake.plans.batch import DATASETS, Flagged, flag_batch, stage_batch, valid_keys
+from dqlake.plans.gate import evaluate_batch, quarantine_page, read_quarantine, snapshot
+from dqlake.plans.job import replay, run_batch, run_files
 from dqlake.plans.layout import Layout
 from dqlake.sources.files import NULL_TOKENS, empty_table, read_csv, read_csv_batches, write_csv
 from dqlake.sources.staging import shared_folder, stage
@@ -78,8 +78,19 @@ def rule_unique(spark, sf):
 def rule_unique_two_columns(spark, sf):
     rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
     key = ["l_orderkey", "l_linenumber"]
-    [hot] = find_hot(rows, [key])
-    return unique(with_row_id(rows), key, "key_fails", hot).drop("_row")
+    return unique(with_row_id(rows), key, "key_fails").drop(ROW_ID)
+
+
+@query
+def rule_large_amounts(spark, sf):
+    """Prices of any size are prices; a net amount beyond the money type has a reason of its own."""
+    raw = raw_tables(spark, sf)["orders"]
+    wild = raw.withColumns({
+        "unit_price": F.when(F.col("order_status") == "Pending", F.concat("unit_price", F.lit("e17"))).otherwise(F.col("unit_price")),
+        "discount_rate": F.when(F.col("order_status") == "Shipped", F.lit("-1e30")).otherwise(F.col("discount_rate")),
+    })
+    checks = [CHECKS["orders"][4], CHECKS["orders"][9]]
+    return _with_flags(wild, checks, ["order_id", "unit_price", "discount_rate"])
 
 
 @query
@@ -124,12 +135,13 @@ def rule_email_format(spark, sf):
 # ---- split, quarantine, score -----------------------------------------------------------------------------------
 
 def _flagged(spark: SparkSession, sf: str) -> Flagged:
-    return flag_batch(raw_tables(spark, sf))
+    """The batch flagged once and stored; a query derives everything from that."""
+    return stage_batch(raw_tables(spark, sf), shared_folder(spark, "flagged"))
 
 
 def _flagged_one(spark: SparkSession, sf: str, dataset: str) -> DataFrame:
     if dataset == "orders":
-        return _flagged(spark, sf).orders
+        return flag_batch(raw_tables(spark, sf)).orders
     return flag_rows(raw_tables(spark, sf)[dataset], CHECKS[dataset])
 
 
@@ -211,7 +223,7 @@ def _clean(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFram
 
 
 def _clean_orders(spark: SparkSession, sf: str) -> DataFrame:
-    return clean_orders(_flagged(spark, sf).valid("orders"))
+    return clean_orders(splits.valid_rows(_flagged_one(spark, sf, "orders")))
 
 
 REGISTRY["clean_customers"] = lambda spark, sf: as_text(
@@ -260,7 +272,7 @@ def _fact_of(flagged: Flagged) -> DataFrame:
 
 
 def _keyed_fact(spark: SparkSession, sf: str) -> DataFrame:
-    return number_rows(_fact(spark, sf), [F.col("order_date"), F.col("order_id")], "order_key", 1)
+    return _fact(spark, sf).withColumn("order_key", warehouse.fact_key())
 
 
 @query
@@ -271,6 +283,14 @@ def dim_date(spark, sf):
     return as_text(warehouse.dim_date(spark, date(first, 1, 1), date(last, 12, 31)))
 
 
+@query
+def dim_date_to_the_end(spark, sf):
+    """The calendar when one order is dated in the last year there is: days per year."""
+    first = _clean_orders(spark, sf).agg(F.min("year")).first()[0]
+    days = warehouse.dim_date(spark, date(first, 1, 1), date(9999, 12, 31))
+    return days.groupBy("year").agg(F.count(F.lit(1)).alias("days"), F.count_if("is_weekend").alias("weekend_days"))
+
+
 @query
 def dim_customers(spark, sf):
     rows = warehouse.customer_rows(_lake_customers(spark, sf))
@@ -347,6 +367,13 @@ def query_mart_newest_months(spark, sf):
     return marts.query_mart(spark, "monthly_revenue", 10)
 
 
+@query
+def mart_monthly_chart(spark, sf):
+    """The monthly mart with its place in calendar order; a row per month."""
+    chart = marts.monthly_chart(stage(_monthly(spark, sf), "monthly"))
+    return number_rows(chart, [F.col("year"), F.col("month")], "place", 1).select("place", "year", "month", "total_orders", "total_revenue")
+
+
 REGISTRY["mart_top_products"] = lambda spark, sf: marts.best_products(_products_mart(spark, sf))
 REGISTRY["mart_product_performance"] = _products_mart
 REGISTRY["top5_products"] = lambda spark, sf: marts.best_products(_products_mart(spark, sf), 5).select(
@@ -520,5 +547,64 @@ def replay_run(spark, sf):
               "orders_loaded long")
 
 
+@query
+def csv_mixed_headers(spark, sf):
+    """Orders in four CSV folders whose columns differ, through the whole job; valid and quarantined rows read back."""
+    raw = plain_tables(spark, sf)
+    root, incoming = shared_folder(spark, "mixed"), shared_folder(spark, "incoming")
+    orders, status = raw["orders"], F.col("order_status")
+    rest = ~status.isin("Completed", "Pending", "Cancelled")
+    write_csv(orders.where(status == "Completed"), f"{incoming}/orders/exact")
+    write_csv(orders.where(status == "Pending").select(*orders.columns[::-1]), f"{incoming}/orders/swapped")
+    write_csv(orders.where(status == "Cancelled").drop("payment_method"), f"{incoming}/orders/reduced")
+    write_csv(orders.where(rest).withColumn("coupon_code", F.concat(F.lit("C-"), status)), f"{incoming}/orders/extended")
+    for d in ("customers", "products"):
+        write_csv(raw[d], f"{incoming}/{d}")
+    run_files(spark, {d: f"{incoming}/{d}" for d in DATASETS}, root, RUN, 0.0, AT)
+    layout = Layout(root)
+    columns = ["order_id", "customer_id", "quantity", "order_date", "payment_method", "coupon_code"]
+    valid = splits.valid_rows(spark.read.parquet(f"{layout.flagged(RUN)}/orders")).select(*columns, F.lit(None).cast("string").alias("error_reasons"))
+    return valid.unionByName(read_quarantine(spark, layout, "orders", RUN).select(*columns, "error_reasons"))
+
+
+@query
+def replay_mended_rows(spark, sf):
+    """A run, then the same run again with unknown statuses mended: quarantine audit by reasons."""
+    raw = plain_tables(spark, sf)
+    root = shared_folder(spark, "mended")
+    run_batch(raw, root, "run-1", 0.0, AT)
+    status = F.when(F.col("order_status") == "UNKNOWN_ERROR_STATUS", F.lit("Completed")).otherwise(F.col("order_status"))
+    replay(spark, root, "run-1", raw={**raw, "orders": raw["orders"].withColumn("order_status", status)}, threshold=0.0, at=AT)
+    audit = warehouse.read_table(spark, Layout(root), "quarantine_audit")
+    return audit.groupBy("run_id", "dataset", "error_reasons").agg(
+        F.count(F.lit(1)).alias("records"), F.count_distinct("quarantine_key").alias("audit_keys"))
+
+
+@query
+def star_load_two_runs(spark, sf):
+    """Two lakes through the loader: orders before 2026, then those from July 2025 on with a new status. The facts read back."""
+    flagged = _flagged(spark, sf)
+    layout = Layout(shared_folder(spark, "two-runs"))
+    orders = stage(clean_orders(flagged.valid("orders")), "clean_orders")
+    enrich_customers(clean_customers(flagged.valid("customers")), orders).write.parquet(layout.lake("dim_customers"))
+    enrich_products(clean_products(flagged.valid("products")), orders).write.parquet(layout.lake("dim_products"))
+    at = F.col("order_date")
+    first = orders.where(at < literal_time(datetime(2026, 1, 1)))
+    second = orders.where(at >= literal_time(datetime(2025, 7, 1))).withColumn("order_status", F.lit("Refunded"))
+    for run, batch in (("run-1", first), ("run-2", second)):
+        batch.write.mode("overwrite").partitionBy("year", "month").parquet(layout.lake("fact_orders"))
+        warehouse.load(spark, layout, run, AT)
+    return as_text(warehouse.read_table(spark, layout, "fact_orders").drop("loaded_at", "year", "month"))
+
+
+@query
+def lineage_of_run(spark, sf):
+    """What the customer dimension of a real run is made from, by the edges that publish and load recorded."""
+    layout, _ = _published(spark, sf)
+    warehouse.load(spark, layout, RUN, AT)
+    reached = lineage.trace_upstream(lineage.recorded(spark, layout), "dw_dim_customers")
+    return reached.join(lineage.nodes(spark).select("name", "tier"), "name")
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)
