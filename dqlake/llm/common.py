@@ -28,11 +28,22 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
 
 
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` and return it read back; ``release`` takes the returned frame."""
+    """Write ``df`` and return it read back; ``release`` takes the returned frame.
+
+    What the write shuffled is removed when it ends, instead of when the driver next collects its garbage.
+    """
     spark = df.sparkSession
     path = shared_folder(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN)
+    spark.conf.set(CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN, before)
     _written[path] = spark
     back = spark.read.schema(df.schema).parquet(path)
     back.staged_at = path
