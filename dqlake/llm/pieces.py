@@ -58,19 +58,26 @@ class Model:
         return cls(ids, [p.get_score(i) for i in range(len(names))], value, [by_byte[b] for b in range(256)])
 
 
+def skipped(key: int, left: int, stop: int, below: int) -> bool:
+    """Whether the candidate from ``left`` to ``stop`` is skipped; 28 bits of a hash against the rate."""
+    h = key ^ (left * 0x9E3779B97F4A7C15 + stop * 0xC2B2AE3D27D4EB4F)
+    return (h ^ h >> 31) * 0xD6E8FEB86659FD93 >> 36 & 0xFFFFFFF < below
+
+
 class Encoder:
     def __init__(self, model: Model, dropout: float, seed: int, variants: int) -> None:
         self.model, self.seed, self.variants = model, seed, variants if dropout > 0 else 1
-        self.skip_below = int(dropout * 2**32)
-        self.known: list[dict[str, list[int]]] = [{} for _ in range(self.variants)]
-        self.older: list[dict[str, list[int]]] = [{} for _ in range(self.variants)]
+        self.skip_below = int(dropout * 2**28)
+        self.ranks = {piece: -model.scores[i] for piece, i in model.ids.items()}  # lowest merges first
+        self.known: list[dict[str, tuple[int, ...]]] = [{} for _ in range(self.variants)]
+        self.older: list[dict[str, tuple[int, ...]]] = [{} for _ in range(self.variants)]
         self.size = 0
 
-    def unit(self, unit: str, variant: int) -> list[int]:
+    def unit(self, unit: str, variant: int) -> tuple[int, ...]:
         """Ids of one unit: the agenda, with candidates skipped by hash."""
-        ids, scores, below = self.model.ids, self.model.scores, self.skip_below
+        ids, ranks, below = self.model.ids, self.ranks, self.skip_below
         key = xxhash.xxh64_intdigest(f"{self.seed}:{variant}:{unit}") if below else 0
-        ends = self.short(unit, ids, scores, below, key) if len(unit) <= 48 else self.long(unit, ids, scores, below, key)
+        ends = (self.short if len(unit) <= 48 else self.long)(unit, ranks, below, key)
         out, at = [], 0
         for end in ends:
             symbol = unit[at:end]
@@ -80,34 +87,30 @@ class Encoder:
             else:
                 out.append(piece)
             at = end
-        return out
+        return tuple(out)  # which the garbage collector, unlike a list, need not visit
 
     @staticmethod
-    def short(unit: str, ids: dict[str, int], scores: list[float], below: int, key: int) -> list[int]:
+    def short(unit: str, ranks: dict[str, float], below: int, key: int) -> list[int]:
         """Ends of the symbols; the agenda is a list with one entry per neighbouring pair, the leftmost best is taken."""
         cut = list(range(len(unit) + 1))  # where symbols begin, and the end
-        found = map(ids.get, map(str.__add__, unit, unit[1:]))
-        agenda = [None if p is None else -scores[p] for p in found]
-        agenda = [NEVER if a is None else a for a in agenda]
-        while agenda:
-            best = min(agenda)
+        cost = [ranks.get(unit[i:i + 2], NEVER) for i in range(len(unit) - 1)]
+        while cost:
+            best = min(cost)
             if best == NEVER:
                 break
-            i = agenda.index(best)
-            if below and (((key ^ (cut[i] * 0x9E3779B97F4A7C15 + cut[i + 2] * 0xC2B2AE3D27D4EB4F)) * 0xD6E8FEB86659FD93) >> 24) & 0xFFFFFFFF < below:
-                agenda[i] = NEVER
+            i = cost.index(best)
+            if below and skipped(key, cut[i], cut[i + 2], below):
+                cost[i] = NEVER
                 continue
-            del cut[i + 1], agenda[i]
-            if i < len(agenda):
-                p = ids.get(unit[cut[i]:cut[i + 2]])
-                agenda[i] = NEVER if p is None else -scores[p]
+            del cut[i + 1], cost[i]
+            if i < len(cost):
+                cost[i] = ranks.get(unit[cut[i]:cut[i + 2]], NEVER)
             if i:
-                p = ids.get(unit[cut[i - 1]:cut[i + 1]])
-                agenda[i - 1] = NEVER if p is None else -scores[p]
+                cost[i - 1] = ranks.get(unit[cut[i - 1]:cut[i + 1]], NEVER)
         return cut[1:]
 
     @staticmethod
-    def long(unit: str, ids: dict[str, int], scores: list[float], below: int, key: int) -> list[int]:
+    def long(unit: str, ranks: dict[str, float], below: int, key: int) -> list[int]:
         """As ``short`` with a heap, for units without an early end."""
         n = len(unit)
         end = list(range(1, n + 1))  # of the symbol that starts here; 0: no symbol starts here
@@ -115,9 +118,9 @@ class Encoder:
         agenda: list[tuple[float, int, int, int]] = []
 
         def propose(left: int, right: int) -> None:
-            piece = ids.get(unit[left:end[right]])
-            if piece is not None:
-                heapq.heappush(agenda, (-scores[piece], left, right, end[right]))
+            cost = ranks.get(unit[left:end[right]])
+            if cost is not None:
+                heapq.heappush(agenda, (cost, left, right, end[right]))
 
         for i in range(n - 1):
             propose(i, i + 1)
@@ -125,7 +128,7 @@ class Encoder:
             _, left, right, stop = heapq.heappop(agenda)
             if end[left] != right or end[right] != stop:  # one of the two has merged meanwhile
                 continue
-            if below and (((key ^ (left * 0x9E3779B97F4A7C15 + stop * 0xC2B2AE3D27D4EB4F)) * 0xD6E8FEB86659FD93) >> 24) & 0xFFFFFFFF < below:
+            if below and skipped(key, left, stop, below):
                 continue
             end[left], end[right] = stop, 0
             if stop < n:
