@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +43,12 @@ def bucket(word: str) -> int:
 
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of words: the buckets, the grams of all end to end, and how many each has."""
-    lists = [grams(w) for w in words]
-    return np.array([bucket(w) for w in words]), np.array([g for gs in lists for g in gs]), np.array([len(g) for g in lists])
+    chars, sizes = [np.empty(0, np.int32)], []
+    for at in range(0, len(words), 4096):  # whole lists of numbers would take ten times the memory
+        lists = [grams(w) for w in words[at:at + 4096]]
+        chars.append(np.fromiter(chain.from_iterable(lists), dtype=np.int32))
+        sizes += map(len, lists)
+    return np.array([bucket(w) for w in words]), np.concatenate(chars), np.array(sizes)
 
 
 def windows_of(n: int) -> list[tuple[int, int]]:
@@ -144,8 +149,11 @@ class Network:
         return g, np.matmul(d_proj, p["w"].transpose(0, 2, 1)).sum(axis=0)
 
 
-def train(texts: list[str], labels: list[int], rounds: int = 6, batch: int = 256, rate: float = 0.01, seed: int = 1) -> Network:
-    """A network fitted to whole documents by their highest windows. Same input, same network."""
+def train(texts: list[str], labels: list[int], rounds: int = 6, steps: int = 120, batch: int = 256, rate: float = 0.01, seed: int = 1) -> Network:
+    """A network fitted to whole documents by their highest windows. Same input, same network.
+
+    Few documents are dealt to smaller batches and read in more rounds, so that about ``steps`` steps are made at least.
+    """
     net, random = Network(seed), np.random.default_rng(seed)
     if not texts:
         return net
@@ -165,6 +173,8 @@ def train(texts: list[str], labels: list[int], rounds: int = 6, batch: int = 256
     windows = np.diff(np.r_[first, len(doc)])
     state = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step = 0
+    batch = min(batch, max(32, len(texts) // 16))
+    rounds = max(rounds, steps * batch // len(texts))
 
     def adam(name: str, grad: np.ndarray, rows: np.ndarray | slice = slice(None)) -> None:
         m, v = state[name]
