@@ -2,23 +2,31 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
 FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")
-SHAPES = {FORMATS[0]: r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$", FORMATS[1]: r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"}
+PARTS = {"yyyy": 4, "MM": 2, "dd": 2, "HH": 2, "mm": 2, "ss": 2}  # with their digits
 
 
 def timestamp_of(c: Column, formats: Sequence[str] = FORMATS) -> Column:
-    """Text to timestamp in any of the listed formats (keys of ``SHAPES``); null when none fits.
+    """Text to timestamp in any of the listed formats, made of ``PARTS`` and fixed text; null when none fits.
 
     The text becomes a timestamp without zone directly, so an hour that some zone skips is an hour like any other.
     """
-    fits = F.lit(False)
-    for f in formats:
-        fits = fits | c.rlike(SHAPES[f])
-    return F.when(fits, c.try_cast("timestamp_ntz"))
+    return F.coalesce(*[_iso(c, f).try_cast("timestamp_ntz") for f in formats])
+
+
+def _iso(c: Column, fmt: str) -> Column:
+    """The text in the standard order of parts, null if it does not have the format's shape."""
+    pieces = re.split("(" + "|".join(PARTS) + ")", fmt)
+    order = [p for p in pieces if p in PARTS]
+    shape = "^" + "".join(f"([0-9]{{{PARTS[p]}}})" if p in PARTS else re.escape(p) for p in pieces) + "$"
+    at = {p: f"${order.index(p) + 1}" if p in order else "00" for p in PARTS}
+    standard = f"{at['yyyy']}-{at['MM']}-{at['dd']} {at['HH']}:{at['mm']}:{at['ss']}"
+    return F.when(c.rlike(shape), F.regexp_replace(c, shape, standard))
 
 
 def date_of(c: Column, formats: Sequence[str] = FORMATS) -> Column:
