@@ -45,7 +45,7 @@ CALENDAR = (date(2023, 1, 1), date(2027, 12, 31))
 def dim_date(spark: SparkSession, first: date = CALENDAR[0], last: date = CALENDAR[1]) -> DataFrame:
     """One row per day, both ends included."""
     count = (last - first).days + 1
-    days = spark.range(max(0, count)).select(F.date_add(F.lit(first), F.col("id").cast("int")).alias("full_date"))
+    days = spark.range(max(0, count)).select(F.date_add(F.lit(first.isoformat()).cast("date"), F.col("id").cast("int")).alias("full_date"))
     d = F.col("full_date")
     return days.select(
         date_key(d).alias("date_key"),

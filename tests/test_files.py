@@ -107,3 +107,12 @@ def test_files_with_other_columns_are_read_by_name(spark, incoming):
 def test_extension_fills_nulls(table):
     both = evolution.extend(table("a", [("1",)]), table("a b", [("2", "x")]))
     assert rows(both) == [("1", None), ("2", "x")]
+
+
+def test_every_file_is_read_by_its_own_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('\ufeffid,v\r\n1,"x, ""y"""\r\n\r\n2,NA\r\n', encoding="utf-8")
+    (tmp_path / "b.csv").write_text('"v","extra, col",id\nz,e,3\nw,,4\n')
+    (tmp_path / "c.csv").write_text("id\n5\n")
+    (tmp_path / "d.csv").write_text("")
+    got = {r["id"]: (r["v"], r["extra, col"]) for r in read_csv(spark, str(tmp_path)).collect()}
+    assert got == {"1": ('x, "y"', None), "2": (None, None), "3": ("z", "e"), "4": ("w", None), "5": (None, None)}
