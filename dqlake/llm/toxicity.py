@@ -86,6 +86,14 @@ class Network:
         """[2, words, 3 * HIDDEN]: what each direction's gates get from a word."""
         return np.matmul(x, self.p["w"]) + self.p["b"]
 
+    def project_all(self, word: np.ndarray, chars: np.ndarray, sizes: np.ndarray, part: int = 8192) -> np.ndarray:
+        """``project`` of very many words; the embeddings of all their grams at once would take far more memory."""
+        edge, out = np.r_[0, np.cumsum(sizes)], np.empty((2, len(word), 3 * HIDDEN), np.float32)
+        for at in range(0, len(word), part):
+            end = min(at + part, len(word))
+            out[:, at:end] = self.project(self.embed(word[at:end], chars[edge[at]:edge[end]], sizes[at:end]))
+        return out
+
     def read(self, proj: np.ndarray, index: np.ndarray, length: np.ndarray, keep: bool = False) -> tuple[np.ndarray, dict]:
         """Logits of windows; ``index`` [n, WINDOW] are rows of ``proj``, those beyond ``length`` are not read."""
         p, (n, steps) = self.p, index.shape
@@ -162,13 +170,13 @@ def train(texts: list[str], labels: list[int], rounds: int = 6, steps: int = 120
     for d, text in enumerate(texts):
         words = [vocabulary.setdefault(w, len(vocabulary)) for w in text.lower().split()]
         for s, n in windows_of(len(words)):
-            index.append(words[s:s + n] + [0] * (WINDOW - n))
+            index.append(np.array(words[s:s + n] + [0] * (WINDOW - n), dtype=np.int32))
             length.append(n)
             doc.append(d)
     vocabulary.setdefault("", len(vocabulary))
     words, flat, sizes = features(list(vocabulary))
     start = np.cumsum(sizes) - sizes
-    index, length, doc, label = np.array(index), np.array(length), np.array(doc), np.array(labels, dtype=np.float32)
+    index, length, doc, label = np.array(index, dtype=np.int32), np.array(length), np.array(doc), np.array(labels, dtype=np.float32)
     first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
     windows = np.diff(np.r_[first, len(doc)])
     state = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
@@ -185,7 +193,7 @@ def train(texts: list[str], labels: list[int], rounds: int = 6, steps: int = 120
     for round_ in range(rounds):
         pick = first + random.integers(0, windows)
         if round_:
-            proj = net.project(net.embed(words, flat, sizes))
+            proj = net.project_all(words, flat, sizes)
             logit = np.concatenate([net.read(proj, index[i:i + BATCH], length[i:i + BATCH])[0] for i in range(0, len(doc), BATCH)])
             order = np.lexsort((logit, doc))
             top = order[np.r_[first[1:], len(doc)] - 1]
