@@ -363,13 +363,13 @@ def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8,
     Sets of that similarity J have cosine 2J / (1 + J), and so differ in a share of arccos / pi of their fingerprints' bits. That
     share is too large for a guarantee at a bearable number of candidates; fingerprints are made long instead (384 bits and
     more), and partitions many and narrow enough that 95 of 100 pairs at the very threshold agree in one (98 at 0.85, 99.8 at
-    0.9). Pairs count as similar up to half a standard deviation above the expected distance. Rows as in ``near_duplicates``.
+    0.9). Pairs count as similar up to three quarters of a standard deviation above the expected distance. Rows as in ``near_duplicates``.
     """
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
     width = max(14, math.ceil(math.log2(max(2, docs.count()))) - 10)
     bits = 64 * math.ceil(math.log(0.05) / math.log(1 - (1 - share) ** width) * width / 64)
     parts = bits // width
-    distance = round(share * bits + 0.5 * math.sqrt(share * (1 - share) * bits))
+    distance = round(share * bits + 0.75 * math.sqrt(share * (1 - share) * bits))
     rows = stage(fingerprints(docs, words, bits, False, id_col, text_col), "fingerprints")
     return grouped(rows, lambda nodes: links(nodes, bits, parts, parts, distance, 1)).select("doc_id", "component_id")
 
