@@ -96,7 +96,7 @@ class Piece:
         stop = np.r_[at[1:], n]
         fine = valid[at]
         self.at, self.stop = at[fine], stop[fine]
-        self.rep = rep[self.at]
+        self.rep = mixed(rep[self.at])  # least values are small ones; mixed anew they spread over the buckets
         total = np.r_[np.uint64(0), np.cumsum(mixed(self.names[:, 0] + C1))]
         first, last = self.phrase[self.at], self.phrase[self.stop - 1]
         self.tag = total[last + 1] - total[first]  # of all words that the stretch runs through
