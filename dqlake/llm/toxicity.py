@@ -1,6 +1,7 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
-Inputs of a word are an embedding of the word and the mean of embeddings of its character 3- and 5-grams, both hashed. The
+Inputs of a word are an embedding of the word and the mean of embeddings of its character 3- and 5-grams, both hashed. A word
+over 40 characters is read as its overlapping parts, each like a word, so that texts without blanks are read whole too. The
 network reads every window of 64 words, half overlapping the next; a document's score is that of its most toxic window.
 Documents are labelled, windows are not: training repeats rounds in which a document is represented by its currently
 highest window (and, if it is clean, by a random one too).
@@ -24,15 +25,23 @@ WINDOW, STEP = 64, 32
 BUCKETS = 1 << 15
 INPUT, HIDDEN, ATTEND = 16, 8, 8
 ROWS = (3500, 1500)  # at most so many clean and toxic documents train the network
-WORDS = 1500  # of a document that trains it
+WORDS = 1500  # of a document that trains it, and at most LONGEST times as many characters
+LONGEST, PART, STRIDE = 40, 20, 10  # characters of a word read as one; of a part of a longer word; from part to part
 KNOWN = 150_000  # words whose inputs a task remembers
 BATCH = 1024
 
 
+def inputs_of(text: str) -> list[str]:
+    """The words of a text in lower case; in place of one over ``LONGEST`` characters its overlapping parts, end to end."""
+    words = text.lower().split()
+    if not words or len(max(words, key=len)) <= LONGEST:
+        return words
+    parts = (((w,) if len(w) <= LONGEST else (w[at:at + PART] for at in range(0, len(w) - PART + STRIDE, STRIDE))) for w in words)
+    return list(chain.from_iterable(parts))
+
+
 def grams(word: str) -> list[int]:
-    """Hashed character 3- and 5-grams of a word between its marks; of a word over 40 characters, both its ends."""
-    if len(word) > 40:
-        word = word[:20] + word[-20:]
+    """Hashed character 3- and 5-grams of a word between its marks."""
     w = f"<{word}>".encode()
     return [zlib.crc32(w[i:i + n], n) % BUCKETS for n in (3, 5) for i in range(max(1, len(w) - n + 1))]
 
@@ -168,7 +177,7 @@ def train(texts: list[str], labels: list[int], rounds: int = 6, steps: int = 120
     vocabulary: dict[str, int] = {}
     index, length, doc = [], [], []
     for d, text in enumerate(texts):
-        words = [vocabulary.setdefault(w, len(vocabulary)) for w in text.lower().split()]
+        words = [vocabulary.setdefault(w, len(vocabulary)) for w in inputs_of(text)]
         for s, n in windows_of(len(words)):
             index.append(np.array(words[s:s + n] + [0] * (WINDOW - n), dtype=np.int32))
             length.append(n)
@@ -221,7 +230,7 @@ def train(texts: list[str], labels: list[int], rounds: int = 6, steps: int = 120
 def score(docs: DataFrame, net: Network, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """``docs`` with ``score_col``, the greatest of its windows' (0 to 1; a column of that name is replaced).
 
-    Every word of every text is in one or two of the windows scored. Null and empty texts are one empty window. Equal texts get
+    Every word of every text, or every part of a long one, is in one or two of the windows scored. Null and empty texts are one empty window. Equal texts get
     equal scores. A task remembers the inputs of a bounded number of words and reads a bounded number of windows at once.
     """
     rows = docs.drop(score_col)
@@ -253,7 +262,7 @@ def score(docs: DataFrame, net: Network, text_col: str = "text", score_col: str
                     held.clear()
 
             for d, text in enumerate(batch.column(names.index(text_col))):
-                words = (text.as_py() or "").lower().split()
+                words = inputs_of(text.as_py() or "")
                 for at in range(0, max(1, len(words) - STEP), 512 * STEP):  # windows of a stretch of words
                     last = at + 512 * STEP >= len(words) - STEP
                     part = words[at:] if last else words[at:at + 511 * STEP + WINDOW]
@@ -276,8 +285,11 @@ def score(docs: DataFrame, net: Network, text_col: str = "text", score_col: str
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: tuple[int, int] = ROWS, words: int = WORDS) -> Network:
-    """A network from labels of documents whose crc32 modulo 4 is not 2: at most ``rows`` clean and toxic ones of at most ``words`` words."""
-    sample = sorted(labelled_sample(docs, labels, "toxic", 4, 2, rows, words).collect())
+    """A network from labels of documents whose crc32 modulo 4 is not 2: at most ``rows`` clean and toxic ones of at most ``words`` words.
+
+    Documents of more than ``LONGEST * words`` characters do not train either: their parts would fill the driver.
+    """
+    sample = sorted(labelled_sample(docs, labels, "toxic", 4, 2, rows, words).filter(F.length("text") <= LONGEST * words).collect())
     return train([r.text for r in sample], [r.label for r in sample])
 
 

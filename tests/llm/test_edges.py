@@ -286,6 +286,32 @@ def test_toxic_words_are_learnt():
     assert right >= 90
 
 
+def test_texts_without_blanks_are_read_whole(spark):
+    for n in (39, 40, 41, 59, 60, 61, 1000):
+        word = "".join(chr(0x4E00 + i) for i in range(n))
+        parts = toxicity.inputs_of(f"a {word} b")[1:-1]
+        assert all(len(p) <= 40 for p in parts) and (parts == [word] if n <= 40 else len(parts) > 1)
+        assert all(any(word[i:i + 11] in p for p in parts) for i in range(n - 10))
+    r = np.random.default_rng(6)
+    syllables = [f"{a}{b}" for a in ("ba", "ko", "mi", "tu") for b in ("ra", "lo", "ne", "si", "vu")]
+
+    def text(bad):
+        words = r.choice(syllables, 150).tolist()
+        if bad:
+            words[int(r.integers(50, 100))] = "scumbag"
+        return "".join(words)
+
+    labels = [i % 2 for i in range(400)]
+    net = toxicity.train([text(b) for b in labels[:300]], labels[:300])
+    held = spark.createDataFrame([(b, text(b)) for b in labels[300:]], "label int, text string")
+    rows = toxicity.score(held, net).collect()
+    assert sum((r.score >= 0.3) == bool(r.label) for r in rows) >= 90
+    clean = text(False)
+    pair = spark.createDataFrame([(0, clean), (1, clean[:300] + "scumbag" + clean[307:])], "bad int, text string")
+    scores = {r.bad: r.score for r in toxicity.score(pair, net).collect()}
+    assert scores[1] > scores[0]
+
+
 def test_passages_are_learnt():
     r = np.random.default_rng(5)
 
