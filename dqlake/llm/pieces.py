@@ -2,10 +2,10 @@
 
 A text is cut before each run of spaces; pieces of the model never hold a space after another character, so no merge crosses a
 cut. A unit's merges wait in an agenda by score, then by place. A candidate that is taken from it is skipped when a keyed hash
-of seed, variant, unit and candidate falls below the dropout rate; as in the published method it may come back when a
-neighbour merges. Each occurrence of a unit draws one of ``variants`` by a keyed hash of seed, document and place, so one word
-is cut in several ways within and across documents, and a result depends on neither partitioning nor run. Units and variants
-that were cut before come from a cache.
+of seed, document, place of the occurrence and candidate falls below the dropout rate; as in the published method it may come
+back when a neighbour merges. So every occurrence of a unit draws its own cut, and a result depends on neither partitioning
+nor run. The candidates that the undropped agenda takes are remembered by unit with its ids: an occurrence whose hash skips
+none of them has that cut, as both agendas go the same way until the first skip; any other is cut anew.
 
 A character that the model lacks becomes byte pieces, and so does a literal U+2581, which the model would read as a space:
 decoding gives every text back exactly.
@@ -58,26 +58,30 @@ class Model:
         return cls(ids, [p.get_score(i) for i in range(len(names))], value, [by_byte[b] for b in range(256)])
 
 
+def place(left: int, stop: int) -> int:
+    return left * 0x9E3779B97F4A7C15 + stop * 0xC2B2AE3D27D4EB4F & 0xFFFFFFFFFFFFFFFF
+
+
 def skipped(key: int, left: int, stop: int, below: int) -> bool:
     """Whether the candidate from ``left`` to ``stop`` is skipped; 28 bits of a hash against the rate."""
-    h = key ^ (left * 0x9E3779B97F4A7C15 + stop * 0xC2B2AE3D27D4EB4F)
+    h = key ^ place(left, stop)
     return (h ^ h >> 31) * 0xD6E8FEB86659FD93 >> 36 & 0xFFFFFFF < below
 
 
 class Encoder:
-    def __init__(self, model: Model, dropout: float, seed: int, variants: int) -> None:
-        self.model, self.seed, self.variants = model, seed, variants if dropout > 0 else 1
+    def __init__(self, model: Model, dropout: float, seed: int, variants: int | None = None) -> None:
+        """``variants`` limits the draws of a unit to so many keys; None: each occurrence has its own."""
+        self.model, self.seed, self.variants = model, seed, variants
         self.skip_below = int(dropout * 2**28)
         self.ranks = {piece: -model.scores[i] for piece, i in model.ids.items()}  # lowest merges first
-        self.known: list[dict[str, tuple[int, ...]]] = [{} for _ in range(self.variants)]
-        self.older: list[dict[str, tuple[int, ...]]] = [{} for _ in range(self.variants)]
-        self.size = 0
-
-    def unit(self, unit: str, variant: int) -> tuple[int, ...]:
-        """Ids of one unit: the agenda, with candidates skipped by hash."""
-        ids, ranks, below = self.model.ids, self.ranks, self.skip_below
-        key = xxhash.xxh64_intdigest(f"{self.seed}:{variant}:{unit}") if below else 0
-        ends = (self.short if len(unit) <= 48 else self.long)(unit, ranks, below, key)
+        self.known: dict[str, tuple[tuple[int, ...], tuple[int, ...]]] = {}
+        self.older: dict[str, tuple[tuple[int, ...], tuple[int, ...]]] = {}
+        self.places: dict[int, int] = {}  # one object per hashed place of a short unit
+
+    def unit(self, unit: str, key: int, taken: list[int] | None = None) -> tuple[int, ...]:
+        """Ids of one unit: the agenda, with candidates skipped by hash; with ``taken`` none is, and it gets the places hashed."""
+        ids, ranks, below = self.model.ids, self.ranks, self.skip_below if taken is None else 0
+        ends = (self.short if len(unit) <= 48 else self.long)(unit, ranks, below, key, taken)
         out, at = [], 0
         for end in ends:
             symbol = unit[at:end]
@@ -90,7 +94,7 @@ class Encoder:
         return tuple(out)  # which the garbage collector, unlike a list, need not visit
 
     @staticmethod
-    def short(unit: str, ranks: dict[str, float], below: int, key: int) -> list[int]:
+    def short(unit: str, ranks: dict[str, float], below: int, key: int, taken: list[int] | None = None) -> list[int]:
         """Ends of the symbols; the agenda is a list with one entry per neighbouring pair, the leftmost best is taken."""
         cut = list(range(len(unit) + 1))  # where symbols begin, and the end
         cost = [ranks.get(unit[i:i + 2], NEVER) for i in range(len(unit) - 1)]
@@ -102,6 +106,8 @@ class Encoder:
             if below and skipped(key, cut[i], cut[i + 2], below):
                 cost[i] = NEVER
                 continue
+            if taken is not None:
+                taken.append(place(cut[i], cut[i + 2]))
             del cut[i + 1], cost[i]
             if i < len(cost):
                 cost[i] = ranks.get(unit[cut[i]:cut[i + 2]], NEVER)
@@ -110,7 +116,7 @@ class Encoder:
         return cut[1:]
 
     @staticmethod
-    def long(unit: str, ranks: dict[str, float], below: int, key: int) -> list[int]:
+    def long(unit: str, ranks: dict[str, float], below: int, key: int, taken: list[int] | None = None) -> list[int]:
         """As ``short`` with a heap, for units without an early end."""
         n = len(unit)
         end = list(range(1, n + 1))  # of the symbol that starts here; 0: no symbol starts here
@@ -130,6 +136,8 @@ class Encoder:
                 continue
             if below and skipped(key, left, stop, below):
                 continue
+            if taken is not None:
+                taken.append(place(left, stop))
             end[left], end[right] = stop, 0
             if stop < n:
                 before[stop] = left
@@ -143,34 +151,46 @@ class Encoder:
             return []
         units = UNIT.findall(" " + text)
         out: list[int] = []
-        if self.variants == 1:
-            drawn = [0] * len(units)
-        else:
+        below, known = self.skip_below, self.known
+        if below:
             x = np.arange(len(units), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ np.uint64(xxhash.xxh64_intdigest(f"{self.seed}:{key}"))
             x = (x ^ (x >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
-            drawn = ((x >> np.uint64(32)) % np.uint64(self.variants)).tolist()
-        known = self.known
-        for unit, variant in zip(units, drawn, strict=True):
-            found = known[variant].get(unit)
+            x ^= x >> np.uint64(32)
+            drawn = (x if self.variants is None else x % np.uint64(self.variants)).tolist()
+        else:
+            drawn = [0] * len(units)
+        for unit, draw in zip(units, drawn, strict=True):
+            if below and self.variants is not None:
+                draw = xxhash.xxh64_intdigest(f"{self.seed}:{draw}:{unit}")
+            found = known.get(unit)
             if found is None:
-                found = self.older[variant].get(unit) or self.unit(unit, variant)
+                found = self.older.get(unit)
+                if found is None:
+                    taken: list[int] = []
+                    plain = self.unit(unit, 0, taken)
+                    found = plain, tuple(self.places.setdefault(at, at) for at in taken) if below and len(unit) <= 64 else tuple(taken) if below else ()
                 if len(unit) <= 64:
-                    known[variant][unit] = found
-                    self.size += 1
-            out += found
-        if self.size > CACHED:
-            self.older, self.known, self.size = known, [{} for _ in range(self.variants)], 0
+                    known[unit] = found
+            for at in found[1]:
+                h = draw ^ at
+                if (h ^ h >> 31) * 0xD6E8FEB86659FD93 >> 36 & 0xFFFFFFF < below:
+                    out += self.unit(unit, draw)
+                    break
+            else:
+                out += found[0]
+        if len(known) > CACHED:
+            self.older, self.known = known, {}
         return out
 
 
 def encode(
-    docs: DataFrame, model: str = MODEL, dropout: float = 0.1, seed: int = 7, variants: int = 4,
+    docs: DataFrame, model: str = MODEL, dropout: float = 0.1, seed: int = 7, variants: int | None = None,
     id_col: str = "doc_id", text_col: str = "text", ids_col: str = "ids",
 ) -> DataFrame:
     """``docs`` with the piece ids of ``text_col`` in ``ids_col`` (array of int; a column of that name is replaced).
 
-    Null text gives null, empty text no ids. Documents that share an id draw the same variants, as do all rows without id, so
-    repeated rows get equal ids. With ``dropout`` 0 the ids are the model's own. An empty table gives an empty table. Texts are
+    Null text gives null, empty text no ids. Every occurrence of a word draws a cut of its own, unless ``variants`` limits
+    the draws. Documents that share an id draw alike, as do all rows without id, so repeated rows get equal ids. With ``dropout`` 0 the ids are the model's own. An empty table gives an empty table. Texts are
     worked on one by one, whole; a batch leaves as soon as it holds a million ids.
     """
     rows = docs.drop(ids_col)

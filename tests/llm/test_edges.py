@@ -49,6 +49,23 @@ def test_pieces_without_dropout_are_the_models_own_and_with_it_vary():
             assert some.short(unit, some.ranks, below, 9) == some.long(unit, some.ranks, below, 9)
 
 
+def test_every_occurrence_draws_its_own_cut():
+    model = pieces.Model.load()
+    encoder = pieces.Encoder(model, 0.1, 7)
+    unit, plain = " unbelievable", pieces.Encoder(model, 0.0, 7).text("unbelievable", "")
+    ways = Counter(tuple(encoder.text("unbelievable", str(k))) for k in range(5000))
+    assert len(ways) > 8 and {b"".join(map(model.bytes_of.__getitem__, w)).decode() for w in ways} == {unit}
+    taken = []
+    assert list(encoder.unit(unit, 0, taken)) == plain and len(ways) > len(taken)
+    assert ways[tuple(plain)] / 5000 >= 0.9 ** len(taken) - 0.03
+    for text in (unit, " brown", "x" * 50 + "unbelievable" * 3):
+        taken = []
+        whole = encoder.unit(text, 0, taken)
+        for key in range(0, 2**64, 2**64 // 200 + 1):
+            none = not any(((h := key ^ at) ^ h >> 31) * 0xD6E8FEB86659FD93 >> 36 & 0xFFFFFFF < encoder.skip_below for at in taken)
+            assert not none or encoder.unit(text, key) == whole
+
+
 def test_top_k(spark):
     nan = float("nan")
     rows = [(0, [1.0, 0.5]), (100, [1.0, 0.5]), (1, [1.0, 0.5]), (2, None), (3, [nan, 1.0]), (4, [None, 1.0]), (5, []), (6, [-1.0]), (1, [1.0, 0.5]),
