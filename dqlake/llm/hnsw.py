@@ -18,9 +18,10 @@ DEGREE = 16  # neighbours kept above the ground layer; twice as many on it
 BUILD_BEAM = 64
 BEAM = 64  # first beam of a lookup
 TOP = 128  # vectors of the top layer, which a search scans whole
-AUDIT = 128  # lookups of a task that brute force repeats
-RECALL = 0.98  # share of an audit's links that must be found before beams stop widening
+AUDIT = 128  # true links that an audit sees at least, or it repeats all lookups of its task by brute force
+RECALL = 0.98  # share of an audit's true links that must be found before beams stop widening
 CHUNK = 256
+COUNTS = ("there", "true", "checked", "beam")  # of a task's audit: links found, true links, lookups checked, the last beam
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -186,12 +187,13 @@ class Graph:
         return out.getvalue()
 
 
-def lookups(graph: Graph, exact: np.ndarray, queries: np.ndarray, least: float, seed: int = 1) -> tuple[list[np.ndarray], dict[str, float]]:
+def lookups(graph: Graph, exact: np.ndarray, queries: np.ndarray, least: float, seed: int = 1, own: np.ndarray | None = None) -> tuple[list[np.ndarray], dict[str, float]]:
     """Per query the positions in the graph with cosine of at least ``least``, and what the audit saw.
 
-    A beam filled with links is doubled for its query. Then a sample of queries, half of them from those with links, is
-    repeated by brute force; while fewer than ``RECALL`` of its links are found, all beams are doubled and searched anew. Beams
-    as wide as the graph compare everything, so this ends.
+    A beam filled with links is doubled for its query. Then queries in an order drawn once, whatever was found, are repeated by
+    brute force until ``AUDIT`` true links are seen or all queries are checked; while fewer than ``RECALL`` of these links are
+    found, all beams are doubled and searched anew. ``own`` is the position of a query's own vector in the graph (-1: not there),
+    which counts neither as found nor as true. Beams as wide as the graph compare everything, so this ends.
     """
     def find(some: np.ndarray, width: int) -> None:
         for at in range(0, len(some), CHUNK):
@@ -211,16 +213,22 @@ def lookups(graph: Graph, exact: np.ndarray, queries: np.ndarray, least: float,
     found: list[np.ndarray] = [np.empty(0, np.int64)] * len(queries)
     width, rng = BEAM, np.random.default_rng(seed)
     everything = np.arange(len(queries))
+    own = np.full(len(queries), -1) if own is None else own
+    order = rng.permutation(everything)
     while True:
         find(everything, width)
-        linked = np.flatnonzero([len(f) > 1 for f in found])
-        sample = np.unique(np.r_[rng.permutation(linked)[:AUDIT // 2], rng.permutation(everything)[:AUDIT // 2]]).astype(np.int64)
-        there, true = 0, 0
-        for q in sample:
-            links = np.flatnonzero(exact @ queries[q] >= least)
-            there, true = there + len(np.intersect1d(links, found[q])), true + len(links)
+        there = true = checked = 0
+        for at in range(0, len(order), CHUNK):
+            some = order[at:at + CHUNK]
+            links = queries[some] @ exact.T >= least
+            mine = np.flatnonzero(own[some] >= 0)
+            links[mine, own[some[mine]]] = False
+            true, checked = true + int(links.sum()), checked + len(some)
+            there += sum(int(links[i, found[q]].sum()) for i, q in enumerate(some))
+            if true >= AUDIT:
+                break
         if there >= RECALL * true or width >= len(exact):
-            return found, {"beam": width, "recall": there / max(true, 1)}
+            return found, {"beam": width, "recall": there / max(true, 1), "there": there, "true": true, "checked": checked}
         width *= 2
 
 
@@ -231,7 +239,7 @@ def matrix(column: pa.ChunkedArray) -> np.ndarray:
 
 def near_duplicates(
     vectors: DataFrame, least: float = 0.98, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
-    shard: int = SHARD, queries: int = QUERIES,
+    shard: int = SHARD, queries: int = QUERIES, audits: list[dict[str, int]] | None = None,
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept), a row per row of ``vectors``.
 
@@ -245,7 +253,7 @@ def near_duplicates(
     Equal vectors of a label are one class with a size, so copies cost nothing. Classes are dealt to shards of about
     ``shard``, so a label with a third of all rows has many. Every class is looked up in every shard of its label, ``queries``
     to a task, against the stored graph. A lookup returns the number of links and one of them, and a shard joins vectors that
-    share a lookup once, so pairs within a group are never written out.
+    share a lookup once, so pairs within a group are never written out. ``audits`` gets each task's ``COUNTS``.
     """
     vector = F.col(vector_col)
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
@@ -279,7 +287,9 @@ def near_duplicates(
         layers = [held[f"layer{i}"].astype(np.int64) for i in range(sum(k.startswith("layer") for k in held.files))]
         graph = Graph(exact.astype(np.float32), layers, held["top"])
         own = asked["node"].to_numpy()
-        found, _ = lookups(graph, exact, unit(matrix(asked["vector"])), least)
+        order = np.argsort(node, kind="stable")
+        at = order[np.minimum(np.searchsorted(node, own, sorter=order), len(node) - 1)]
+        found, seen = lookups(graph, exact, unit(matrix(asked["vector"])), least, own=np.where(node[at] == own, at, -1))
         label = np.arange(len(node))
 
         def root(i: int) -> int:
@@ -300,16 +310,20 @@ def near_duplicates(
         some = np.flatnonzero(linked >= 0)
         inner = np.flatnonzero(label != np.arange(len(label)))
         return pa.table({
-            "a": np.r_[own[some], node[inner]], "n_links": np.r_[count[some], np.zeros(len(inner), np.int64)],
-            "b": np.r_[node[linked[some]], node[label[inner]]],
+            "a": np.r_[own[some], node[inner], own[:1]], "n_links": np.r_[count[some], np.zeros(len(inner) + 1, np.int64)],
+            "b": np.r_[node[linked[some]], node[label[inner]], own[:1]],
+            **{k: pa.array([None] * (len(some) + len(inner)) + [seen[k]], pa.int64()) for k in COUNTS},  # the last row tells the audit
         })
 
     asked = placed.withColumn("block", spread("blocks", 2)).select("space", "block", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), "node", "vector")
     offered = graphs.select("space", "shard", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "graph")
     by = ["space", "shard", "block"]
-    found = stage(asked.groupBy(*by).cogroup(offered.groupBy(*by)).applyInArrow(look, "a long, n_links long, b long"), "vector-links")
-    tree = components(found.select("a", "b"))
-    counts = found.groupBy("a").agg(F.sum("n_links").alias("n_links"))
+    found = stage(asked.groupBy(*by).cogroup(offered.groupBy(*by)).applyInArrow(look, "a long, n_links long, b long, there long, true long, checked long, beam long"), "vector-links")
+    if audits is not None:
+        audits.extend(r.asDict() for r in found.filter("checked IS NOT NULL").select(*COUNTS).collect())
+    links = found.filter("checked IS NULL")
+    tree = components(links.select("a", "b"))
+    counts = links.groupBy("a").agg(F.sum("n_links").alias("n_links"))
     named = (
         classes.join(counts, classes.node == counts.a, "left").join(tree.withColumnRenamed("node", "child"), F.col("node") == F.col("child"), "left")
         .select("key", "least", (F.coalesce("n_links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "node").alias("root"))

@@ -227,6 +227,33 @@ def test_hnsw_shards_and_recall(spark):
     assert 0.98 * near.sum() <= found <= near.sum() and all(got[i] <= near[i].sum() for i in range(len(x)))
 
 
+def test_hnsw_audit_sees_missed_pairs(spark, monkeypatch):
+    r = np.random.default_rng(5)
+    x = hnsw.unit(r.standard_normal((3000, 24)))
+    x[:300:2] = hnsw.unit(x[1:300:2] + 0.01 * r.standard_normal((150, 24)))  # a tenth have one partner
+    own, near = np.arange(len(x)), hnsw.unit(x) @ hnsw.unit(x).T >= 0.98
+    search = hnsw.Graph.search
+
+    def blind(self, queries, width):  # the first beam sees the vector itself, and the partner of every second pair
+        ids, score = search(self, queries, len(self.x))
+        if width == hnsw.BEAM:
+            at = np.argmax(score, axis=1)
+            hide = (at < 300) & (at // 2 % 2 == 0)
+            score = np.where(hide[:, None] & (np.arange(len(self.x)) != at[:, None]), -1, score)
+        order = np.argsort(-score, axis=1)[:, :width]
+        return np.take_along_axis(ids, order, axis=1), np.take_along_axis(score, order, axis=1)
+
+    monkeypatch.setattr(hnsw.Graph, "search", blind)
+    found, seen = hnsw.lookups(hnsw.Graph(x.astype(np.float32), [], own[:1]), x, x, 0.98, own=own)
+    assert seen["beam"] > hnsw.BEAM and seen["true"] >= hnsw.AUDIT and [set(f) for f in found] == [set(np.flatnonzero(n)) for n in near]
+    monkeypatch.undo()
+    audits = []
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {q.vec_id: q.n_links for q in hnsw.near_duplicates(df, shard=1500, queries=1500, audits=audits).collect()}
+    assert len(audits) == 4 and all(a["true"] >= hnsw.AUDIT or a["checked"] >= 1400 for a in audits)
+    assert sum(a["there"] for a in audits) >= 0.98 * sum(a["true"] for a in audits) and sum(got.values()) >= 0.98 * 300
+
+
 def test_gradients_of_both_networks():
     r = np.random.default_rng(0)
     net = toxicity.Network(3)
