@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dqlake.llm import hnsw, line_dedup, mixing, pieces, quality, simhash, suffix, topk, toxicity, warc
+from dqlake.llm import exact, hnsw, line_dedup, merkle, mixing, phrases, pieces, quality, simhash, suffix, topk, toxicity, warc
 
 QUERIES = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_simhash": simhash.op9_simhash,
     "op10_hnsw": hnsw.op10_hnsw,
+    "op11_exact_dedup": exact.op11_exact_dedup,
+    "op12_collocations": phrases.op12_collocations,
+    "op13_merkle": merkle.op13_merkle,
 }
 
 ORACLE_SQL = {
@@ -22,4 +25,7 @@ ORACLE_SQL = {
     "op5_warc": warc.SQL,
     "op6_mix_sources": mixing.SQL,
     "op8_line_dedup": line_dedup.SQL,
+    "op11_exact_dedup": exact.SQL,
+    "op12_collocations": phrases.SQL,
+    "op13_merkle": merkle.SQL,
 }

@@ -90,7 +90,7 @@ def test_top_k_in_many_blocks(spark):
 
 
 def test_suffix_repeats(spark, docs, none):
-    from test_queries import brute_repeats
+    from test_llm_queries import brute_repeats
 
     rows = suffix.remove_repeats(docs).collect()
     assert len(rows) == len(TEXTS) and sum(r.n_bytes for r in rows if r.doc_id == 4) == 2 * len(LONG)
@@ -179,7 +179,7 @@ def test_simhash_cells_lose_no_link(spark):
     fps = sorted({b ^ sum(1 << x for x in r.sample(range(64), r.randrange(6))) for b in base for _ in range(30)})
     rows = [(i, bytearray(f.to_bytes(8, "big"))) for i, f in enumerate(fps)]
     nodes = spark.createDataFrame(rows, "node long, fp binary")
-    from test_queries import roots
+    from test_llm_queries import roots
 
     want = roots(range(len(fps)), [(a, b) for a in range(len(fps)) for b in range(a) if (fps[a] ^ fps[b]).bit_count() <= 3])
     for parts, cell in ((4, 7), (3, 4096), (2, 5)):
