@@ -51,7 +51,12 @@ def judge(headers: DataFrame, dataset: str) -> DataFrame:
 
 def file_drift(spark: SparkSession, path: str, dataset: str) -> DataFrame:
     """One report row per CSV file below ``path``."""
-    return judge(csv_headers(spark, path), dataset).select("path", *REPORT_COLUMNS)
+    return header_drift(csv_headers(spark, path), dataset)
+
+
+def header_drift(headers: DataFrame, dataset: str) -> DataFrame:
+    """One report row per file whose header is known."""
+    return judge(headers, dataset).select("path", *REPORT_COLUMNS)
 
 
 def frame_drift(df: DataFrame, dataset: str) -> DataFrame:

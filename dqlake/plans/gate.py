@@ -14,6 +14,7 @@ from dqlake.plans.layout import Layout
 from dqlake.sources.files import (
     exists, read_csv, read_documents, read_if_there, read_parquet, write_document, write_parquet,
 )
+from dqlake.sources.headers import CsvFiles
 
 BLOCKED = "BLOCKED_BY_QUALITY_GATE"
 
@@ -33,9 +34,11 @@ def as_column(at: datetime | None) -> Column:
     return F.lit(now() if at is None else at).cast("timestamp_ntz")
 
 
-def ingest_csv(spark: SparkSession, paths: dict[str, str], layout: Layout, run_id: str) -> dict[str, DataFrame]:
-    """Read the raw CSV files and keep them as the run's snapshot."""
-    return snapshot({d: read_csv(spark, paths[d]) for d in DATASETS}, layout, run_id)
+def ingest_csv(
+    spark: SparkSession, paths: dict[str, str], layout: Layout, run_id: str, files: dict[str, CsvFiles] | None = None,
+) -> dict[str, DataFrame]:
+    """Read the raw CSV files and keep them as the run's snapshot. ``files``: what is known of them already."""
+    return snapshot({d: read_csv(spark, paths[d], files=files[d] if files else None) for d in DATASETS}, layout, run_id)
 
 
 def snapshot(raw: dict[str, DataFrame], layout: Layout, run_id: str, keep: bool = False) -> dict[str, DataFrame]:

@@ -13,6 +13,7 @@ from dqlake.plans.gate import BLOCKED, evaluate_batch, ingest_csv, judge_frames,
 from dqlake.plans.lake import publish_if_passed
 from dqlake.plans.layout import Layout
 from dqlake.session import prepare
+from dqlake.sources.headers import csv_files
 
 
 def run_batch(
@@ -32,12 +33,16 @@ def run_files(
     spark: SparkSession, paths: dict[str, str], root: str, run_id: str, threshold: float = DEFAULT_THRESHOLD,
     at: datetime | None = None,
 ) -> dict:
-    """``run_batch`` over raw CSV files; halts when one lacks a required column."""
+    """``run_batch`` over raw CSV files; halts when one lacks a required column.
+
+    Quoted values may hold line breaks. A file is read once for its header and once for its rows.
+    """
+    files = {d: csv_files(spark, paths[d]) for d in DATASETS}
     for d in DATASETS:
-        if evolution.must_halt(evolution.file_drift(spark, paths[d], d)):
+        if evolution.must_halt(evolution.header_drift(files[d].headers, d)):
             raise ValueError(f"breaking schema change in {d}: a required column is missing")
     layout = Layout(root)
-    return _from_gate(ingest_csv(spark, paths, layout, run_id), layout, run_id, threshold, at)
+    return _from_gate(ingest_csv(spark, paths, layout, run_id, files), layout, run_id, threshold, at)
 
 
 def replay(

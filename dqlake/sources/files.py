@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from dqlake.sources.headers import csv_headers, csv_lines
+from dqlake.sources.headers import CsvFiles, csv_files, csv_lines
 
 # Texts that a CSV reader takes as null.
 NULL_TOKENS = [
@@ -21,32 +21,32 @@ def null_tokens(df: DataFrame) -> DataFrame:
     return df.select(*[F.when(~F.col(c).isin(NULL_TOKENS), F.col(c)).alias(c) for c in df.columns])
 
 
-def read_csv(spark: SparkSession, path: str | list[str], multiline: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str], multiline: bool | None = None, files: CsvFiles | None = None) -> DataFrame:
     """CSV files of one or several folders as one table of texts, columns matched by name in every file.
 
     A column that a file lacks is null in its rows; columns that only some files have are kept. The headers alone come to the
-    driver, each distinct one once. Lines are parsed to as many texts as the longest header has names and then named by the
-    header of their file; a line equal to its file's header is no row. Quoted line breaks need ``multiline``: such files must
-    share one header and are not splittable.
+    driver, each distinct one once. Records are parsed to as many texts as the longest header has names and then named by the
+    header of their file; a record equal to its file's header is no row, nor is an empty line. Quoted values may hold line breaks,
+    in files of any header and size; a quote that is never closed is an error. ``multiline`` and ``files``: what ``csv_files``
+    should not find out, or has found out already.
     """
-    if multiline:
-        return null_tokens(spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path))
-    headers = csv_headers(spark, path)
-    known = [r[0] for r in headers.select("columns").distinct().collect()]
+    files = csv_files(spark, path, multiline) if files is None else files
+    known = [r[0] for r in files.headers.select("columns").distinct().collect()]
     names = sorted({c for columns in known for c in columns}, key=lambda n: min((h.index(n), h) for h in known if n in h))
     if not names:
         return spark.createDataFrame([], T.StructType([]))
     widest = max(map(len, known))
-    lines = csv_lines(spark, path).join(headers.withColumnRenamed("path", "_of"), F.col("path") == F.col("_of"))
-    lines = lines.where((F.col("line") != F.col("header")) & (F.length("line") > 0))
-    cells = F.from_csv("line", ", ".join(f"c{i} string" for i in range(widest)), {"escape": '"'})
-    parsed = lines.select("columns", cells.alias("cells"))
+    records = csv_lines(spark, path).select("path", F.col("line").alias("record")) if files.records is None else files.records
+    records = records.join(files.headers.withColumnRenamed("path", "_of"), F.col("path") == F.col("_of"))
+    records = records.where((F.col("record") != F.col("header")) & (F.length("record") > 0))
+    cells = F.from_csv("record", ", ".join(f"c{i} string" for i in range(widest)), {"escape": '"', "maxCharsPerColumn": "-1"})
+    parsed = records.select("columns", cells.alias("cells"))
     values = parsed.select("columns", F.array(*[f"cells.c{i}" for i in range(widest)]).alias("values"))
     place = {n: F.array_position("columns", F.lit(n)) for n in names}
     return null_tokens(values.select(*[F.when(place[n] > 0, F.get("values", (place[n] - 1).cast("int"))).alias(n) for n in names]))
 
 
-def read_csv_batches(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def read_csv_batches(spark: SparkSession, path: str, multiline: bool | None = None) -> DataFrame:
     """A folder whose files need not share a header."""
     return read_csv(spark, path, multiline)
 

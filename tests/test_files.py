@@ -1,3 +1,6 @@
+import csv
+import random
+
 import pytest
 
 from dqlake import schemas
@@ -5,7 +8,7 @@ from dqlake.plans import evolution
 from dqlake.sources.files import (
     read_csv, read_csv_batches, read_documents, read_parquet, write_csv, write_document, write_parquet,
 )
-from dqlake.sources.headers import csv_headers
+from dqlake.sources.headers import csv_files, csv_headers
 from dqlake.sources.staging import shared_folder
 
 
@@ -117,3 +120,55 @@ def test_every_file_is_read_by_its_own_header(spark, tmp_path):
     (tmp_path / "d.csv").write_text("")
     got = {r["id"]: (r["v"], r["extra, col"]) for r in read_csv(spark, str(tmp_path)).collect()}
     assert got == {"1": ('x, "y"', None), "2": (None, None), "3": ("z", "e"), "4": ("w", None), "5": (None, None)}
+
+
+def written(folder, name, columns, data, end="\n"):
+    """A CSV file as Python's own writer makes it."""
+    with open(folder / name, "w", newline="", encoding="utf-8") as f:
+        out = csv.writer(f, lineterminator=end)
+        out.writerows([columns, *[[r[c] for c in columns] for r in data]])
+
+
+@pytest.mark.parametrize("size", ["97", "1000", "128m"])
+def test_line_breaks_in_quotes_across_splits_and_headers(spark, tmp_path, size):
+    """Files cut at any byte, with different headers: as Python's own reader takes them."""
+    r = random.Random(5)
+    bits = ["x", "\n", '"', ",", ' 5" pipe', "\n\n", '""', "é", '",', ',"', "word " * 9, "\n,\n"]
+    made = [{"id": str(i), "a": "".join(r.choices(bits, k=r.randrange(1, 6))) + "." if i % 3 else f"plain{i}", "b": "." + "".join(r.choices(bits, k=3)) + "."} for i in range(150)]
+    written(tmp_path, "one.csv", ["id", "a", "b"], made[:60])
+    written(tmp_path, "two.csv", ["b", "id"], made[60:110], "\r\n")
+    written(tmp_path, "three.csv", ["a", "id"], made[110:])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        got = {x["id"]: (x["a"], x["b"]) for x in read_csv(spark, str(tmp_path)).collect()}
+        lines = spark.read.option("pathGlobFilter", "*.csv").text(str(tmp_path)).rdd.getNumPartitions()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert lines > 40 or size != "97"
+    want = {x["id"]: (x["a"] if k < 60 or k >= 110 else None, x["b"] if k < 110 else None) for k, x in enumerate(made)}
+    assert got == want
+
+
+def test_literal_quotes_are_no_breaks_and_open_ones_are_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,v\n1,5" pipe\n2,"a ""b"""\n3,"c"d\n')
+    files = csv_files(spark, str(tmp_path))
+    assert files.records is None
+    assert {r["id"]: r["v"] for r in read_csv(spark, str(tmp_path), files=files).collect()}.keys() == {"1", "2", "3"}
+    (tmp_path / "b.csv").write_text('id,v\n1,"never closed\n2,x\n')
+    with pytest.raises(ValueError, match="never closed.*b.csv"):
+        read_csv(spark, str(tmp_path))
+
+
+def test_a_header_may_hold_a_line_break(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('\ufeff"the\nid",v\r\n1,"x\r\ny"\r\n\r\n2,\r\n', encoding="utf-8", newline="")
+    assert rows(read_csv(spark, str(tmp_path))) == [("1", "x\ny"), ("2", None)]
+    assert csv_headers(spark, str(tmp_path)).first()["columns"] == ["the\nid", "v"]
+
+
+def test_drift_of_files_with_line_breaks(spark, tmp_path):
+    header = schemas.RAW["orders"].fieldNames()
+    written(tmp_path, "a.csv", [*header, "note"], [{c: f"{c}\n!" for c in [*header, "note"]}] * 3)
+    files = csv_files(spark, str(tmp_path))
+    report = evolution.header_drift(files.headers, "orders").collect()
+    assert [(r["verdict"], r["added_columns"]) for r in report] == [("COMPATIBLE_EXTENSION", ["note"])]
+    assert read_csv(spark, str(tmp_path), files=files).select("note").distinct().collect() == [("note\n!",)]

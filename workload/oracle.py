@@ -583,6 +583,11 @@ UNION ALL SELECT 'replay', 'SUCCESS', overall_quality_score, (SELECT count(*) FR
              "CASE WHEN order_status NOT IN ('Completed', 'Pending', 'Cancelled') THEN 'C-' || order_status END AS coupon_code")
     out["csv_mixed_headers"] = sql(
         f"SELECT {mixed}, nullif({_reasons('orders')}, '') AS error_reasons FROM orders_flagged")
+    out["csv_line_breaks"] = sql(
+        "SELECT order_id, customer_id, quantity, order_date, 'status \"' || order_status || '\",' || chr(10) || chr(10) || 'by ' || payment_method || chr(10) AS note, "
+        f"nullif({_reasons('orders')}, '') AS error_reasons FROM orders_flagged")
+    out["csv_documents"] = (
+        "SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, CASE WHEN lang = 'en' THEN source END AS source, nullif(text, '') AS text FROM documents")
     mended = joined((f, t) for f, t in zip(_flags("orders"), REASONS["orders"]) if f != "f8")
     parts = [f"SELECT '{d}' AS dataset, {mended if d == 'orders' else _reasons(d)} AS error_reasons FROM {d}_flagged" for d in CHECKS]
     out["replay_mended_rows"] = sql(

@@ -567,6 +567,34 @@ def csv_mixed_headers(spark, sf):
     return valid.unionByName(read_quarantine(spark, layout, "orders", RUN).select(*columns, "error_reasons"))
 
 
+@query
+def csv_line_breaks(spark, sf):
+    """Orders with a note of several lines, in CSV folders whose columns differ, through the whole job."""
+    raw = plain_tables(spark, sf)
+    root, incoming = shared_folder(spark, "breaks"), shared_folder(spark, "incoming")
+    note = F.concat(F.lit('status "'), "order_status", F.lit('",\n\nby '), "payment_method", F.lit("\n"))
+    orders, done = raw["orders"].withColumn("note", note), F.col("order_status") == "Completed"
+    write_csv(orders.where(done), f"{incoming}/orders/first")
+    write_csv(orders.where(~done).select(*orders.columns[::-1]), f"{incoming}/orders/swapped")
+    write_csv(raw["orders"].where(F.col("order_status").isNull()), f"{incoming}/orders/plain")
+    for d in ("customers", "products"):
+        write_csv(raw[d], f"{incoming}/{d}")
+    run_files(spark, {d: f"{incoming}/{d}" for d in DATASETS}, root, RUN, 0.0, AT)
+    columns = ["order_id", "customer_id", "quantity", "order_date", "note"]
+    valid = splits.valid_rows(spark.read.parquet(f"{Layout(root).flagged(RUN)}/orders")).select(*columns, F.lit(None).cast("string").alias("error_reasons"))
+    return valid.unionByName(read_quarantine(spark, Layout(root), "orders", RUN).select(*columns, "error_reasons"))
+
+
+@query
+def csv_documents(spark, sf):
+    """Whole documents, line breaks and quotes included, written as CSV with two headers and read back."""
+    docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "lang", "source", "text")
+    path, english = shared_folder(spark, "documents"), F.coalesce(F.col("lang") == "en", F.lit(False))
+    write_csv(docs.where(english), f"{path}/english")
+    write_csv(docs.where(~english).select("text", "doc_id", "lang"), f"{path}/others")
+    return read_csv(spark, path).select("doc_id", "lang", "source", "text")
+
+
 @query
 def replay_mended_rows(spark, sf):
     """A run, then the same run again with unknown statuses mended: quarantine audit by reasons."""
