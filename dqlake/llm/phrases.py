@@ -1,14 +1,16 @@
 """Phrase collocation mining with exact counts, by Toivonen's sampling method.
 
-A sample of the documents proposes the phrases that are probably frequent. One pass over everything then counts, exactly, the
-proposed phrases and their negative border: the phrases that were not proposed although what is left of them without the last
-and without the first word was. Together these are all phrases with both such parts proposed, so a task decides by itself
-what to count. A border phrase that turns out frequent was missed by the sample: it joins the proposed ones, and another pass
-counts what that adds, until nothing is added. Every part of a frequent phrase is frequent, so then all frequent phrases have
-been counted.
-
-The proposed phrases travel as a bitmap of fixed size with two bits a phrase (a Bloom filter), whatever their number. Bits that
-are set by chance only make tasks count more phrases than they must.
+A sample of the documents proposes the phrases that are probably frequent. A pass over everything then counts the proposed phrases
+and their negative border: the phrases that were not proposed although what is left of them without the last and without the first
+word was. Together these are all phrases with both such parts proposed, so a task decides by itself what to count. A border
+phrase that turns out frequent was missed by the sample: it joins the proposed ones, and another pass counts what that adds, until
+nothing is added. Every part of a frequent phrase is frequent, so then all frequent phrases have been counted.
+
+These passes count 64-bit keys of phrases, as nearly all of the border is rare and its texts are never needed. Two phrases that share
+a key can only make a rare one look frequent. A last pass therefore counts the texts of what was found, which makes every number exact.
+
+Sets of phrases travel as bitmaps of a fixed size with two bits a phrase (Bloom filters), whatever their number. Bits that are set
+by chance only make tasks count more phrases than they must.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ SAMPLE = 8  # one document in so many proposes
 CHUNK = 1_000_000  # words that a task counts at a time
 SLICE = 4_000_000  # bytes of a text that are split at a time, up to the end of a piece
 COUNTED = "lang string, k int, phrase string, f long"
+KEYS = "k int, key long, f long"
+MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0a\x0b\x0c\x0d\x09", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 10 + b" ")
 
 
@@ -76,56 +80,119 @@ class Chunk:
         self.size += len(found)
 
 
-def member(bits: np.ndarray | None, hashes: np.ndarray) -> np.ndarray:
-    """Whether both bits of each phrase are set."""
+def member(bits: np.ndarray | None, keys: np.ndarray) -> np.ndarray:
+    """Whether both bits of each key are set."""
     if bits is None:
-        return np.zeros(len(hashes), dtype=bool)
+        return np.zeros(len(keys), dtype=bool)
     mask = np.uint64(8 * len(bits) - 1)
-    out = np.ones(len(hashes), dtype=bool)
-    for place in (hashes & mask, hashes >> np.uint64(32) & mask):
+    out = np.ones(len(keys), dtype=bool)
+    for place in (keys & mask, keys >> np.uint64(32) & mask):
         out &= (bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
     return out
 
 
-def counted(chunk: Chunk, lang: str, known: np.ndarray | None, before: np.ndarray | None, shortest: int, longest: int) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
-    """(length, phrases, counts) of a chunk: all words, and longer phrases whose both parts are in ``known`` but not in ``before``."""
+def word_keys(chunk: Chunk, lang: str) -> np.ndarray:
+    """The keys of a chunk's distinct words; those of longer phrases are made of them."""
+    seed = xxhash.xxh64_intdigest(lang.encode(), 42)
+    return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in chunk.ids), dtype=np.uint64, count=len(chunk.ids))
+
+
+def longer(keys: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The keys of phrases with one more word."""
+    out = (keys * MIX1 ^ last) * MIX2
+    return out ^ (out >> np.uint64(29))
+
+
+def keys_of(chunk: Chunk, lang: str, known: np.ndarray | None, before: np.ndarray | None, shortest: int, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, keys, counts) of a chunk: all words, and longer phrases with both parts in ``known``, if they were not counted when
+    the set was ``before``."""
     words, piece = np.concatenate(chunk.words), np.concatenate(chunk.pieces)
-    texts, seed = list(chunk.ids), xxhash.xxh64_intdigest(lang.encode(), 42)
-    name, counts = words, np.bincount(words)  # of the phrase that starts at each word; -1: none that matters
+    distinct = word_keys(chunk, lang)
+    single = distinct[words]
     if shortest <= 1:
-        yield 1, texts, counts
-    fresh = np.zeros(len(texts), dtype=bool)  # phrases that no earlier pass looked at; their bits may be set by chance
+        yield 1, distinct, np.bincount(words)
+    keys, joined = single, piece[:-1] == piece[1:]
+    new, old = member(known, distinct)[words], member(before, distinct)[words]
     for k in range(2, longest + 1):
-        hashes = np.fromiter((xxhash.xxh64_intdigest(t, seed) for t in texts), dtype=np.uint64, count=len(texts))
-        new, old = member(known, hashes), member(before, hashes) & ~fresh
-        left, right = name[:-1], name[1:]
-        fits = (left >= 0) & (right >= 0)
-        fits &= new[left] & new[right]  # -1 takes the last entry, which ``fits`` has ruled out
+        counted, earlier = new[:-1] & new[1:] & joined[:len(new) - 1], old[:-1] & old[1:]
+        keys = longer(keys[:-1], single[k - 1:])
+        if not counted.any():
+            return
+        if k >= shortest:
+            found, counts = np.unique(keys[counted & ~earlier], return_counts=True)
+            yield k, found, counts
+        if k < longest:
+            new, old, at = np.zeros(len(keys), dtype=bool), np.zeros(len(keys), dtype=bool), np.flatnonzero(counted)
+            new[at], old[at] = member(known, keys[at]), earlier[at] & member(before, keys[at])
+
+
+def texts_of(chunk: Chunk, lang: str, wanted: np.ndarray, longest: int) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
+    """(length, phrases, counts) of a chunk, for the phrases in ``wanted`` whose parts are in it too. Told apart by their words."""
+    words, piece, texts = np.concatenate(chunk.words), np.concatenate(chunk.pieces), list(chunk.ids)
+    yield 0, [b""], np.array([len(words)])
+    distinct = word_keys(chunk, lang)
+    single, fits = distinct[words], member(wanted, distinct)
+    some, counts = np.flatnonzero(fits), np.bincount(words)
+    yield 1, [texts[i] for i in some.tolist()], counts[some]
+    name, keys, spelled = np.where(fits[words], words, -1), single, texts  # name: number of the phrase that starts here, or -1
+    for k in range(2, longest + 1):
+        fits = (name[:-1] >= 0) & (name[1:] >= 0)
         if k == 2:
             fits &= piece[:-1] == piece[1:]
+        keys = longer(keys[:-1], single[k - 1:])
         at = np.flatnonzero(fits)
+        at = at[member(wanted, keys[at])]
         if not len(at):
             return
-        last = words[at + k - 1]
-        distinct, first, inverse, counts = np.unique(left[at] * len(chunk.ids) + last, return_index=True, return_inverse=True, return_counts=True)
-        word = list(chunk.ids) if k == 2 else word
-        texts = [texts[a] + b" " + word[b] for a, b in zip(left[at[first]].tolist(), last[first].tolist())]
-        fresh = ~(old[left[at[first]]] & old[right[at[first]]])
-        if k >= shortest:
-            yield k, [t for t, f in zip(texts, fresh.tolist()) if f], counts[fresh]
-        name = np.full(len(words) - k + 1, -1, dtype=np.int64)
+        found, first, inverse, counts = np.unique(name[at] * len(texts) + words[at + k - 1], return_index=True, return_inverse=True, return_counts=True)
+        spelled = [spelled[a] + b" " + texts[b] for a, b in zip((found // len(texts)).tolist(), (found % len(texts)).tolist())]
+        yield k, spelled, counts
+        name = np.full(len(fits), -1, dtype=np.int64)
         name[at] = inverse
 
 
-def count(docs: DataFrame, known: bytes | None, before: bytes | None, shortest: int, longest: int) -> DataFrame:
-    """(lang, k, phrase, f) over all of ``docs`` (lang, text); k = 0 counts all words."""
+def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Chunk]]:
+    """The words of (lang, text), by language, about ``CHUNK`` at a time."""
+    held, size = {}, 0
+    for batch in batches:
+        for lang, text in zip(batch["lang"].to_pylist(), batch["text"]):
+            for part in slices(text.as_buffer().to_pybytes().translate(FOLD)):
+                chunk = held.setdefault(lang, Chunk())
+                size -= chunk.size
+                chunk.add(part)
+                size += chunk.size
+                if not chunk.size:
+                    del held[lang]
+                if size >= CHUNK:
+                    yield from held.items()
+                    held, size = {}, 0
+    yield from held.items()
+
+
+def count_keys(docs: DataFrame, known: bytes, before: bytes | None, shortest: int, longest: int) -> DataFrame:
+    """(k, key, f) over all of ``docs`` (lang, text)."""
     sent = docs.sparkSession.sparkContext.broadcast((known, before))  # two bitmaps of a fixed size
 
-    def emit(chunks: dict[str, Chunk]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = [None if b is None else np.frombuffer(b, dtype=np.uint8) for b in sent.value]
-        for lang, chunk in chunks.items():
-            made = [(0, [b""], np.array([chunk.size]))] if shortest <= 1 else []
-            for k, phrases, counts in (*made, *counted(chunk, lang, *bits, shortest, longest)):
+        for lang, chunk in chunks(batches):
+            for k, keys, counts in keys_of(chunk, lang, *bits, shortest, longest):
+                for i in range(0, len(keys), 100_000):
+                    part = keys[i:i + 100_000].view(np.int64)
+                    columns = [np.full(len(part), k, dtype=np.int32), part, counts[i:i + len(part)].astype(np.int64)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["k", "key", "f"])
+
+    return docs.mapInArrow(run, KEYS).groupBy("k", "key").agg(F.sum("f").alias("f"))
+
+
+def count_texts(docs: DataFrame, wanted: bytes, longest: int) -> DataFrame:
+    """(lang, k, phrase, f) over all of ``docs`` (lang, text); k = 0 counts all words."""
+    sent = docs.sparkSession.sparkContext.broadcast(wanted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(sent.value, dtype=np.uint8)
+        for lang, chunk in chunks(batches):
+            for k, phrases, counts in texts_of(chunk, lang, bits, longest):
                 for i in range(0, len(phrases), 50_000):
                     part = pa.array(phrases[i:i + 50_000], pa.binary()).cast(pa.string())
                     n = len(part)
@@ -134,30 +201,13 @@ def count(docs: DataFrame, known: bytes | None, before: bytes | None, shortest:
                         names=["lang", "k", "phrase", "f"],
                     )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks, size = {}, 0
-        for batch in batches:
-            for lang, text in zip(batch["lang"].to_pylist(), batch["text"]):
-                for part in slices(text.as_buffer().to_pybytes().translate(FOLD)):
-                    chunk = chunks.setdefault(lang, Chunk())
-                    size -= chunk.size
-                    chunk.add(part)
-                    size += chunk.size
-                    if not chunk.size:
-                        del chunks[lang]
-                    if size >= CHUNK:
-                        yield from emit(chunks)
-                        chunks, size = {}, 0
-        yield from emit(chunks)
-
     return docs.mapInArrow(run, COUNTED).groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f"))
 
 
-def bitmap(phrases: DataFrame, bits: int, earlier: bytes | None = None) -> bytes:
-    """The bitmap of (lang, phrase), with the bits of ``earlier``. It has a fixed size and is made of pieces of 4 KB on the executors."""
-    h = F.xxhash64("lang", "phrase")
-    places = F.array(h.bitwiseAND(2**bits - 1), F.shiftrightunsigned(h, 32).bitwiseAND(2**bits - 1))
-    at = phrases.select(F.explode(places).alias("at")).select((F.col("at") + 1).alias("at"))  # Spark numbers bits from 1
+def bitmap(keys: DataFrame, bits: int, earlier: bytes | None = None) -> bytes:
+    """The bitmap of (key), with the bits of ``earlier``. It has a fixed size and is made of pieces of 4 KB on the executors."""
+    places = F.array(F.col("key").bitwiseAND(2**bits - 1), F.shiftrightunsigned("key", 32).bitwiseAND(2**bits - 1))
+    at = keys.select(F.explode(places).alias("at")).select((F.col("at") + 1).alias("at"))  # Spark numbers bits from 1
     parts = at.groupBy(F.bitmap_bucket_number("at").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
     out = np.zeros(2**bits // 8, dtype=np.uint8)
     for row in parts.collect():  # at most 2 ** bits / 8 bytes
@@ -169,23 +219,23 @@ def bitmap(phrases: DataFrame, bits: int, earlier: bytes | None = None) -> bytes
 
 
 def frequent_phrases(docs: DataFrame, min_count: int, longest: int, sample: int = SAMPLE, bits: int = BITS) -> tuple[DataFrame, DataFrame, int]:
-    """((lang, k, phrase, f) of all phrases with f >= min_count, (lang, n), number of passes) of ``docs`` (lang, text)."""
+    """((lang, k, phrase, f) of all phrases with f >= min_count, (lang, n), passes until closed) of ``docs`` (lang, text)."""
     fewer = max(2, 4 * min_count // (10 * sample))  # wanted in the sample: well below the share that is expected there
     drawn = stage(docs.filter(F.pmod(F.xxhash64("text"), F.lit(sample)) == 0), "phrases-sample")
     known = bytes(2**bits // 8)
     for k in range(1, longest):
-        proposed = stage(count(drawn, known, None, k, k).filter((F.col("k") == k) & (F.col("f") >= fewer)), "phrases-proposed")
+        proposed = stage(count_keys(drawn, known, None, k, k).filter((F.col("k") == k) & (F.col("f") >= fewer)).select("key"), "phrases-proposed")
         known = bitmap(proposed, bits, known)
         release(proposed)
     release(drawn)
-    before, found, passes, totals = None, None, 0, None
+    before, wanted, passes = None, None, 0
     while before != known:
-        made = stage(count(docs, known, before, 1 if before is None else 2, longest).filter((F.col("f") >= min_count) | (F.col("k") == 0)), "phrases-counted")
-        totals = made.filter("k = 0").select("lang", F.col("f").alias("n")) if totals is None else totals
-        more = made.filter((F.col("k") > 0) & (F.col("f") >= min_count))
-        found = more if found is None else found.union(more)
-        before, known, passes = known, bitmap(more.filter(F.col("k") < longest), bits, known), passes + 1
-    return found, totals, passes
+        found = stage(count_keys(docs, known, before, 1 if before is None else 2, longest).filter(F.col("f") >= min_count).select("k", "key"), "phrases-found")
+        before, known, passes = known, bitmap(found.filter(F.col("k") < longest), bits, known), passes + 1
+        wanted = bitmap(found, bits, wanted)
+        release(found)
+    counted = stage(count_texts(docs, wanted, longest).filter((F.col("f") >= min_count) | (F.col("k") == 0)), "phrases-counted")
+    return counted.filter((F.col("k") > 0) & (F.col("f") >= min_count)), counted.filter("k = 0").select("lang", F.col("f").alias("n")), passes
 
 
 def words_of(phrase: Column) -> Column:

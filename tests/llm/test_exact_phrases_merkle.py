@@ -113,6 +113,14 @@ def test_phrases_by_brute_force(spark, monkeypatch, bits, sample, chunk):
     assert phrases.collocations(df.limit(0)).count() == 0
 
 
+def test_phrases_that_share_a_key_are_counted_apart(spark, monkeypatch):
+    """Keys that nearly all phrases share: only the texts tell them apart."""
+    monkeypatch.setattr(phrases, "longer", lambda keys, last: (keys ^ last) & np.uint64(3))
+    rows = [("en", "a b c. b a d! d c a b")] * 6 + [("de", "a b c")] * 5 + [("en", "x y z w v u. y x")] * 3
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    assert {tuple(x) for x in phrases.collocations(df, min_count=5, sample=2).collect()} == brute_phrases(rows, 5)
+
+
 def test_scores_beyond_64_bits(spark):
     a, n, left, right = 3 * 10**12, 10**14, 5 * 10**12, 7 * 10**12
     whole = [F.lit(x).cast("decimal(38,0)") for x in (a, n, left, right)]
