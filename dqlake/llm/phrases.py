@@ -16,6 +16,7 @@ by chance only make tasks count more phrases than they must.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +27,9 @@ from pyspark.sql import functions as F
 from dqlake.llm.common import release, stage, table
 
 BITS = 26  # the bitmap has two to the power of this many bits: 8 MB
-SAMPLE = 8  # one document in so many proposes
+SAMPLE = 4  # one document in so many proposes
 CHUNK = 1_000_000  # words that a task counts at a time
-SLICE = 4_000_000  # bytes of a text that are split at a time, up to the end of a piece
+SLICE = 1_000_000  # bytes of a text that are split at a time, up to the end of a piece
 COUNTED = "lang string, k int, phrase string, f long"
 KEYS = "k int, key long, f long"
 MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -57,27 +58,55 @@ def slices(data: bytes) -> Iterator[bytes]:
     yield data[at:]
 
 
+@lru_cache(4)
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of an odd number, modulo 2 to the 64, and of its inverse."""
+    base = 0x9E3779B97F4A7C15
+    return tuple(np.cumprod(np.r_[np.uint64(1), np.full(n - 1, b, dtype=np.uint64)], dtype=np.uint64) for b in (base, pow(base, -1, 2**64)))
+
+
+@lru_cache(1)
+def byte_values() -> np.ndarray:
+    return np.random.default_rng(11).integers(0, 2**64, 256, dtype=np.uint64)
+
+
+def words_in(data: bytes, lang: str) -> tuple[np.ndarray, np.ndarray]:
+    """Of the words of a folded text (blanks are spaces, ends of pieces are line feeds): their keys, and the number of each one's piece.
+
+    A key is a polynomial in the word's bytes, a difference of two running sums, mixed with the language.
+    """
+    raw = np.frombuffer(data, dtype=np.uint8)
+    ends = raw == 10
+    inside = np.zeros(len(raw) + 2, dtype=bool)
+    inside[1:-1] = ~ends & (raw != 32)
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    start, stop = edges[::2], edges[1::2]
+    up, down = powers(1 << max(SLICE.bit_length(), len(raw).bit_length()))
+    total = np.zeros(len(raw) + 1, dtype=np.uint64)
+    np.cumsum(byte_values()[raw] * up[:len(raw)], out=total[1:])
+    keys = (total[stop] - total[start]) * down[start] ^ np.uint64(xxhash.xxh64_intdigest(lang.encode(), 42))
+    keys = (keys ^ (keys >> np.uint64(32))) * MIX2
+    return keys ^ (keys >> np.uint64(29)), np.cumsum(ends, dtype=np.int64)[start]
+
+
 class Chunk:
-    """Words of one language: their numbers, and the number of the piece each stands in."""
+    """Words of one language: their keys, the number of the piece each stands in and, if wanted, their numbers among distinct ones."""
 
-    def __init__(self) -> None:
-        self.ids, self.words, self.pieces, self.size, self.last = Ids(), [], [], 0, 0
+    def __init__(self, lang: str, texts: bool) -> None:
+        self.lang, self.texts, self.size, self.last = lang, texts, 0, 0
+        self.ids, self.words, self.keys, self.pieces = Ids(), [], [], []
 
     def add(self, data: bytes) -> None:
-        """Take a stretch that is folded: blanks are spaces, ends of pieces are line feeds."""
-        found = data.split()
-        if not found:
+        keys, piece = words_in(data, self.lang)
+        if not len(keys):
             return
-        raw = np.frombuffer(data, dtype=np.uint8)
-        ends = raw == 10
-        inside = ~ends & (raw != 32)
-        starts = inside.copy()
-        starts[1:] &= ~inside[:-1]
-        piece = np.cumsum(ends, dtype=np.int64)[starts] + self.last + 1
+        piece += self.last + 1
         self.last = int(piece[-1])
-        self.words.append(np.fromiter(map(self.ids.__getitem__, found), dtype=np.int64, count=len(found)))
+        self.keys.append(keys)
         self.pieces.append(piece)
-        self.size += len(found)
+        self.size += len(keys)
+        if self.texts:
+            self.words.append(np.fromiter(map(self.ids.__getitem__, data.split()), dtype=np.int64, count=len(keys)))
 
 
 def member(bits: np.ndarray | None, keys: np.ndarray) -> np.ndarray:
@@ -91,28 +120,20 @@ def member(bits: np.ndarray | None, keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def word_keys(chunk: Chunk, lang: str) -> np.ndarray:
-    """The keys of a chunk's distinct words; those of longer phrases are made of them."""
-    seed = xxhash.xxh64_intdigest(lang.encode(), 42)
-    return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in chunk.ids), dtype=np.uint64, count=len(chunk.ids))
-
-
 def longer(keys: np.ndarray, last: np.ndarray) -> np.ndarray:
     """The keys of phrases with one more word."""
     out = (keys * MIX1 ^ last) * MIX2
     return out ^ (out >> np.uint64(29))
 
 
-def keys_of(chunk: Chunk, lang: str, known: np.ndarray | None, before: np.ndarray | None, shortest: int, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def keys_of(chunk: Chunk, known: np.ndarray | None, before: np.ndarray | None, shortest: int, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(length, keys, counts) of a chunk: all words, and longer phrases with both parts in ``known``, if they were not counted when
     the set was ``before``."""
-    words, piece = np.concatenate(chunk.words), np.concatenate(chunk.pieces)
-    distinct = word_keys(chunk, lang)
-    single = distinct[words]
+    single, piece = np.concatenate(chunk.keys), np.concatenate(chunk.pieces)
     if shortest <= 1:
-        yield 1, distinct, np.bincount(words)
+        yield 1, *np.unique(single, return_counts=True)
     keys, joined = single, piece[:-1] == piece[1:]
-    new, old = member(known, distinct)[words], member(before, distinct)[words]
+    new, old = member(known, single), member(before, single)
     for k in range(2, longest + 1):
         counted, earlier = new[:-1] & new[1:] & joined[:len(new) - 1], old[:-1] & old[1:]
         keys = longer(keys[:-1], single[k - 1:])
@@ -126,15 +147,16 @@ def keys_of(chunk: Chunk, lang: str, known: np.ndarray | None, before: np.ndarra
             new[at], old[at] = member(known, keys[at]), earlier[at] & member(before, keys[at])
 
 
-def texts_of(chunk: Chunk, lang: str, wanted: np.ndarray, longest: int) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
+def texts_of(chunk: Chunk, wanted: np.ndarray, longest: int) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
     """(length, phrases, counts) of a chunk, for the phrases in ``wanted`` whose parts are in it too. Told apart by their words."""
     words, piece, texts = np.concatenate(chunk.words), np.concatenate(chunk.pieces), list(chunk.ids)
     yield 0, [b""], np.array([len(words)])
-    distinct = word_keys(chunk, lang)
-    single, fits = distinct[words], member(wanted, distinct)
-    some, counts = np.flatnonzero(fits), np.bincount(words)
+    single = np.concatenate(chunk.keys)
+    name = np.where(member(wanted, single), words, -1)  # number of the phrase that starts here, or -1
+    counts = np.bincount(name[name >= 0], minlength=1)
+    some = np.flatnonzero(counts)
     yield 1, [texts[i] for i in some.tolist()], counts[some]
-    name, keys, spelled = np.where(fits[words], words, -1), single, texts  # name: number of the phrase that starts here, or -1
+    keys, spelled = single, texts
     for k in range(2, longest + 1):
         fits = (name[:-1] >= 0) & (name[1:] >= 0)
         if k == 2:
@@ -151,22 +173,25 @@ def texts_of(chunk: Chunk, lang: str, wanted: np.ndarray, longest: int) -> Itera
         name[at] = inverse
 
 
-def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Chunk]]:
+def chunks(batches: Iterator[pa.RecordBatch], texts: bool) -> Iterator[Chunk]:
     """The words of (lang, text), by language, about ``CHUNK`` at a time."""
     held, size = {}, 0
     for batch in batches:
+        alike: dict[str, list[bytes]] = {}
         for lang, text in zip(batch["lang"].to_pylist(), batch["text"]):
-            for part in slices(text.as_buffer().to_pybytes().translate(FOLD)):
-                chunk = held.setdefault(lang, Chunk())
+            alike.setdefault(lang, []).append(text.as_buffer().to_pybytes())
+        for lang, some in alike.items():
+            for part in slices(b"\n".join(some).translate(FOLD)):
+                chunk = held.get(lang) or held.setdefault(lang, Chunk(lang, texts))
                 size -= chunk.size
                 chunk.add(part)
                 size += chunk.size
                 if not chunk.size:
                     del held[lang]
                 if size >= CHUNK:
-                    yield from held.items()
+                    yield from held.values()
                     held, size = {}, 0
-    yield from held.items()
+    yield from held.values()
 
 
 def count_keys(docs: DataFrame, known: bytes, before: bytes | None, shortest: int, longest: int) -> DataFrame:
@@ -175,8 +200,8 @@ def count_keys(docs: DataFrame, known: bytes, before: bytes | None, shortest: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = [None if b is None else np.frombuffer(b, dtype=np.uint8) for b in sent.value]
-        for lang, chunk in chunks(batches):
-            for k, keys, counts in keys_of(chunk, lang, *bits, shortest, longest):
+        for chunk in chunks(batches, False):
+            for k, keys, counts in keys_of(chunk, *bits, shortest, longest):
                 for i in range(0, len(keys), 100_000):
                     part = keys[i:i + 100_000].view(np.int64)
                     columns = [np.full(len(part), k, dtype=np.int32), part, counts[i:i + len(part)].astype(np.int64)]
@@ -191,13 +216,13 @@ def count_texts(docs: DataFrame, wanted: bytes, longest: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(sent.value, dtype=np.uint8)
-        for lang, chunk in chunks(batches):
-            for k, phrases, counts in texts_of(chunk, lang, bits, longest):
+        for chunk in chunks(batches, True):
+            for k, phrases, counts in texts_of(chunk, bits, longest):
                 for i in range(0, len(phrases), 50_000):
                     part = pa.array(phrases[i:i + 50_000], pa.binary()).cast(pa.string())
                     n = len(part)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * n), pa.array(np.full(n, k, dtype=np.int32)), part, pa.array(counts[i:i + n].astype(np.int64))],
+                        [pa.array([chunk.lang] * n), pa.array(np.full(n, k, dtype=np.int32)), part, pa.array(counts[i:i + n].astype(np.int64))],
                         names=["lang", "k", "phrase", "f"],
                     )
 
@@ -221,7 +246,8 @@ def bitmap(keys: DataFrame, bits: int, earlier: bytes | None = None) -> bytes:
 def frequent_phrases(docs: DataFrame, min_count: int, longest: int, sample: int = SAMPLE, bits: int = BITS) -> tuple[DataFrame, DataFrame, int]:
     """((lang, k, phrase, f) of all phrases with f >= min_count, (lang, n), passes until closed) of ``docs`` (lang, text)."""
     fewer = max(2, 4 * min_count // (10 * sample))  # wanted in the sample: well below the share that is expected there
-    drawn = stage(docs.filter(F.pmod(F.xxhash64("text"), F.lit(sample)) == 0), "phrases-sample")
+    # Row by row: copies of a text are drawn independently, or a phrase of one large group of copies would be missed.
+    drawn = stage(docs.filter(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(sample)) == 0), "phrases-sample")
     known = bytes(2**bits // 8)
     for k in range(1, longest):
         proposed = stage(count_keys(drawn, known, None, k, k).filter((F.col("k") == k) & (F.col("f") >= fewer)).select("key"), "phrases-proposed")
