@@ -194,8 +194,8 @@ def descend(forest: Forest, requests: DataFrame, wanted: DataFrame) -> DataFrame
         if tier:
             first = first & (F.col("n") > width**tier)
         asked = asked.union(requests.filter(first))
-        store = forest.tiers[tier].select(F.col("digest").alias("_key"), "records").dropDuplicates(["_key"])
-        found = asked.join(store, F.col("digest") == F.col("_key")).drop("_key")
+        # By digest; the place only picks one of several equal segments.
+        found = asked.join(forest.tiers[tier].select("digest", "tree", "idx", "records"), ["digest", "tree", "idx"])
         if not tier:
             return found.join(wanted.withColumnRenamed("block", "idx"), ["tree", "idx"])
         children = below[tier - 1].groupBy("tree", F.expr(f"idx div {width}").alias("_up")).agg(F.collect_list("idx").alias("below"))
