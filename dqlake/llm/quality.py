@@ -20,7 +20,7 @@ from dqlake.llm.labelled import labelled_sample, remainder
 PASSAGE = 64
 ENCODED, GATE = 32, 16
 ROWS = (2000, 3000)  # at most so many documents of low and high quality train the classifier
-WORDS = 1500  # of a document that trains it
+CHARS = 12_000  # of a document that trains it: fewer
 CLASSES = 8
 
 
@@ -158,9 +158,9 @@ def score(docs: DataFrame, model: Bags, text_col: str = "text") -> DataFrame:
     return rows.mapInArrow(run, rows.withColumn("score", F.lit(0.0)).schema)
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: tuple[int, int] = ROWS, words: int = WORDS) -> Bags:
-    """A classifier from labels of documents whose crc32 modulo 5 is not 0: at most ``rows`` of each label and ``words`` words each."""
-    sample = sorted(labelled_sample(docs, labels, "quality", 5, 0, rows, words).collect())
+def fit(docs: DataFrame, labels: DataFrame, rows: tuple[int, int] = ROWS, chars: int = CHARS) -> Bags:
+    """A classifier from labels of documents whose crc32 modulo 5 is not 0: at most ``rows`` of each label, each of fewer than ``chars`` characters."""
+    sample = sorted(labelled_sample(docs, labels, "quality", 5, 0, rows, chars).collect())
     return train([r.text for r in sample], [r.label for r in sample])
 
 

@@ -25,7 +25,7 @@ WINDOW, STEP = 64, 32
 BUCKETS = 1 << 15
 INPUT, HIDDEN, ATTEND = 16, 8, 8
 ROWS = (3500, 1500)  # at most so many clean and toxic documents train the network
-WORDS = 1500  # of a document that trains it, and at most LONGEST times as many characters
+CHARS = 12_000  # of a document that trains it: fewer
 LONGEST, PART, STRIDE = 40, 20, 10  # characters of a word read as one; of a part of a longer word; from part to part
 KNOWN = 150_000  # words whose inputs a task remembers
 BATCH = 1024
@@ -108,7 +108,9 @@ class Network:
         p, (n, steps) = self.p, index.shape
         h = np.zeros((2, n, HIDDEN), np.float32)
         states, kept = np.empty((steps, 2, n, HIDDEN), np.float32), []
-        for t in range(steps):
+        if not keep:
+            self.follow(proj, index, length, states)
+        for t in range(steps) if keep else ():
             at = (t, steps - 1 - t)
             x = np.stack([proj[d][index[:, at[d]]] for d in (0, 1)])
             m = np.stack([(length > at[d])[:, None] for d in (0, 1)])
@@ -117,8 +119,7 @@ class Network:
             z, r = zr[:, :, :HIDDEN], zr[:, :, HIDDEN:]
             new = np.tanh(x[:, :, 2 * HIDDEN:] + r * g[:, :, 2 * HIDDEN:])
             after = np.where(m, new + z * (h - new), h)
-            if keep:
-                kept.append((h, z, r, new, g[:, :, 2 * HIDDEN:], m))
+            kept.append((h, z, r, new, g[:, :, 2 * HIDDEN:], m))
             h = after
             states[at[0], 0], states[at[1], 1] = h[0], h[1]
         both = np.concatenate([states[:, 0], states[:, 1]], axis=2).transpose(1, 0, 2)  # [n, steps, 2 * HIDDEN]
@@ -131,6 +132,34 @@ class Network:
         logit = pooled @ p["o"] + p["c"][0]
         return logit, {"kept": kept, "both": both, "act": act, "weight": weight, "pooled": pooled} if keep else {}
 
+    def follow(self, proj: np.ndarray, index: np.ndarray, length: np.ndarray, states: np.ndarray) -> None:
+        """The states of ``read`` where nothing is kept for training: in place, without masks where all windows are full."""
+        n, steps = index.shape
+        u, rows = self.p["u"], np.ascontiguousarray(index.T)
+        h, x, g = np.zeros((2, n, HIDDEN), np.float32), np.empty((2, n, 3 * HIDDEN), np.float32), np.empty((2, n, 3 * HIDDEN), np.float32)
+        zr, new, shortest = np.empty((2, n, 2 * HIDDEN), np.float32), np.empty((2, n, HIDDEN), np.float32), int(length.min(initial=steps))
+        for t in range(steps):
+            at = (t, steps - 1 - t)
+            for d in (0, 1):
+                np.take(proj[d], rows[at[d]], axis=0, out=x[d], mode="clip")
+                np.matmul(h[d], u[d], out=g[d])
+            np.add(x[:, :, :2 * HIDDEN], g[:, :, :2 * HIDDEN], out=zr)
+            zr *= 0.5  # the logistic function is half of one plus the tangent of half
+            np.tanh(zr, out=zr)
+            zr += 1
+            zr *= 0.5
+            np.multiply(zr[:, :, HIDDEN:], g[:, :, 2 * HIDDEN:], out=new)
+            new += x[:, :, 2 * HIDDEN:]
+            np.tanh(new, out=new)
+            after = h - new
+            after *= zr[:, :, :HIDDEN]
+            after += new
+            for d in (0, 1):
+                if at[d] >= shortest:
+                    after[d] = np.where((length > at[d])[:, None], after[d], h[d])
+                states[at[d], d] = after[d]
+            h = after
+
     def gradients(self, proj: np.ndarray, x: np.ndarray, index: np.ndarray, length: np.ndarray, label: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
         """Of the mean logistic loss: by parameter, and by the input vectors ``x``."""
         p, n, steps = self.p, len(index), index.shape[1]
@@ -284,12 +313,9 @@ def score(docs: DataFrame, net: Network, text_col: str = "text", score_col: str
     return rows.mapInArrow(run, rows.withColumn(score_col, F.lit(0.0)).schema)
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: tuple[int, int] = ROWS, words: int = WORDS) -> Network:
-    """A network from labels of documents whose crc32 modulo 4 is not 2: at most ``rows`` clean and toxic ones of at most ``words`` words.
-
-    Documents of more than ``LONGEST * words`` characters do not train either: their parts would fill the driver.
-    """
-    sample = sorted(labelled_sample(docs, labels, "toxic", 4, 2, rows, words).filter(F.length("text") <= LONGEST * words).collect())
+def fit(docs: DataFrame, labels: DataFrame, rows: tuple[int, int] = ROWS, chars: int = CHARS) -> Network:
+    """A network from labels of documents whose crc32 modulo 4 is not 2: at most ``rows`` clean and toxic ones of fewer than ``chars`` characters."""
+    sample = sorted(labelled_sample(docs, labels, "toxic", 4, 2, rows, chars).collect())
     return train([r.text for r in sample], [r.label for r in sample])
 
 
