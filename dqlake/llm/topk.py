@@ -40,7 +40,7 @@ def block_top(candidates: pa.Table, queries: pa.Table, k: int) -> pa.Table:
     """The k best candidates of one block for each query of one block."""
     ids = candidates["vec_id"].to_numpy()
     row, term, value = rows_of(candidates["weights"])
-    q_ids = queries["vec_id"].to_numpy()
+    q_ids, own, q_own = queries["vec_id"].to_numpy(), candidates["row"].to_numpy(), queries["row"].to_numpy()
     q_row, q_term, q_value = rows_of(queries["weights"])
     n, n_terms = len(ids), int(max(term.max(initial=-1), q_term.max(initial=-1))) + 1
     most = lambda x: max(abs(int(x.min(initial=0))), abs(int(x.max(initial=0))))
@@ -50,7 +50,7 @@ def block_top(candidates: pa.Table, queries: pa.Table, k: int) -> pa.Table:
     row, value = row[order], value[order]
     start = np.searchsorted(term[order], np.arange(n_terms + 1))
     q_start = np.searchsorted(q_row, np.arange(len(q_ids) + 1))
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    found: list[tuple[np.ndarray, ...]] = []
     for q, query_id in enumerate(q_ids):
         scores = np.zeros(n, dtype=value.dtype)
         for t, w in zip(q_term[q_start[q]:q_start[q + 1]], q_value[q_start[q]:q_start[q + 1]], strict=True):
@@ -59,7 +59,7 @@ def block_top(candidates: pa.Table, queries: pa.Table, k: int) -> pa.Table:
                 scores += value[a:b] * w
             else:
                 scores[row[a:b]] += value[a:b] * w
-        others = np.flatnonzero(ids != query_id)
+        others = np.flatnonzero(own != q_own[q])
         score = scores[others]
         if len(others) > k:
             least = np.partition(score, len(score) - k)[len(score) - k]
@@ -68,35 +68,36 @@ def block_top(candidates: pa.Table, queries: pa.Table, k: int) -> pa.Table:
         if score.dtype == object:
             score = np.array([min(max(int(s), -LONG - 1), LONG) for s in score], dtype=np.int64)
         best = np.lexsort((ids[others], -score.astype(object) if len(score) and score.min() == -LONG - 1 else -score))[:k]
-        found.append((np.full(len(best), query_id, dtype=np.int64), ids[others][best], score[best].astype(np.int64)))
-    joined = [np.concatenate([f[i] for f in found]) if found else np.empty(0, np.int64) for i in range(3)]
-    return pa.table(dict(zip(("query_id", "vec_id", "score"), joined, strict=True)))
+        found.append((*(np.full(len(best), v, dtype=np.int64) for v in (query_id, q_own[q])), ids[others][best], score[best].astype(np.int64)))
+    joined = [np.concatenate([f[i] for f in found]) if found else np.empty(0, np.int64) for i in range(4)]
+    return pa.table(dict(zip(("query_id", "row", "vec_id", "score"), joined, strict=True)))
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding",
           scale: int = 1024, block: int = BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
-    """query_id, rank (from 1), vec_id, score: the ``k`` highest integer inner products of each query row with all other rows.
+    """query_id, row, rank (from 1), vec_id, score: the ``k`` highest integer inner products of each query row with all other rows.
 
     Ties go to the smaller id. Vectors that are null or hold null or non-finite components, and rows without id, take no
-    part. Components that a shorter vector lacks are zero; an empty vector scores 0 with all. Rows that share an id count
-    once, with the smallest weights. Scores beyond the long range saturate. Columns besides id and vector are ignored, so
+    part. Components that a shorter vector lacks are zero; an empty vector scores 0 with all. Rows that share an id are rows
+    of their own, as candidates and as queries: only the query's own row is left out, and each such query has ranks of its own
+    (column ``row`` tells them apart). Scores beyond the long range saturate. Columns besides id and vector are ignored, so
     their names cannot clash. An empty table gives an empty table.
 
     Every (candidate block, query block) cell is one task's group: at most about ``block`` candidates as postings by term and
-    ``query_block`` queries, whatever the table's size. Rows fall into blocks by a hash of their id, which is unique by then,
-    so no block is hot. A cell returns k rows a query; the merge keeps k of each query's rows before and after the shuffle.
+    ``query_block`` queries, whatever the table's size. Rows fall into blocks by a hash of their number, so no block is
+    hot. A cell returns k rows a query; the merge keeps k of each query's rows before and after the shuffle.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), weights(F.col(vector_col), scale).alias("weights"), is_query.alias("asks"))
     rows = rows.filter("vec_id IS NOT NULL AND weights IS NOT NULL")
-    rows = stage(rows.groupBy("vec_id").agg(F.min("weights").alias("weights"), F.max("asks").alias("asks")), "weights")
+    rows = stage(rows.withColumn("row", F.monotonically_increasing_id()), "weights")
     total, asking = rows.agg(F.count(F.lit(1)), F.count(F.when(F.col("asks"), 1))).first()
     blocks = max(1, math.ceil(total / block), min(tasks(spark), total // 256))
     query_blocks = max(1, math.ceil(asking / query_block))
 
     def cells(df: DataFrame, own: int, other: int, names: tuple[str, str]) -> DataFrame:
-        at = F.pmod(F.xxhash64("vec_id"), F.lit(own)).cast("int")
-        return df.select("vec_id", "weights", at.alias(names[0]), F.explode(F.sequence(F.lit(0), F.lit(other - 1))).alias(names[1]))
+        at = F.pmod(F.xxhash64("row"), F.lit(own)).cast("int")
+        return df.select("vec_id", "row", "weights", at.alias(names[0]), F.explode(F.sequence(F.lit(0), F.lit(other - 1))).alias(names[1]))
 
     candidates = cells(rows, blocks, query_blocks, ("c", "q")).groupBy("c", "q")
     queries = cells(rows.filter("asks"), query_blocks, blocks, ("q", "c")).groupBy("c", "q")
@@ -104,14 +105,14 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         return block_top(left, right, k)
 
-    best = candidates.cogroup(queries).applyInArrow(run, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
-    return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    best = candidates.cogroup(queries).applyInArrow(run, "query_id long, row long, vec_id long, score long")
+    order = Window.partitionBy("row").orderBy(F.desc("score"), F.asc("vec_id"))
+    return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "row", "rank", "vec_id", "score")
 
 
 def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    return top_k(vectors, F.col("vec_id") % 100 == 0)
+    return top_k(vectors, F.col("vec_id") % 100 == 0).drop("row")
 
 
 SQL = """

@@ -76,13 +76,13 @@ def records(date: str, size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterat
     """Rows of pages to rows that are one archive record each, without the final separator."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, urls, digests, others = (batch.column(c).to_pylist() for c in ("page_id", "url", "digest", "refers"))
+            ids, urls, digests, others, numbers = (batch.column(c).to_pylist() for c in ("page_id", "url", "digest", "refers", "number"))
             payloads, out, held = batch.column("payload"), [], 0
-            for i, (page_id, url, digest, other) in enumerate(zip(ids, urls, digests, others, strict=True)):
+            for i, (page_id, url, digest, other, number) in enumerate(zip(ids, urls, digests, others, numbers, strict=True)):
                 buffer = payloads[i].as_buffer()
                 payload = memoryview(buffer or b"")
                 target = line_safe(url) if url else f"urn:x-page:{page_id}"
-                name = f"{'' if page_id is None else page_id}:{digest}:{hashlib.sha1(target.encode()).hexdigest()[:16]}"
+                name = f"{'' if page_id is None else page_id}:{digest}:{number}"
                 base = [("WARC-Record-ID", f"<urn:x-page:{name}>"), ("WARC-Date", date), ("WARC-Target-URI", target),
                         ("WARC-Payload-Digest", f"sha1:{digest}"), ("X-Payload-Length", str(len(payload)))]
                 if url is None:
@@ -116,15 +116,15 @@ def write_archives(
 
     Of pages with equal payloads of at least ``min_bytes`` bytes, that with the largest id is a response and the others are
     revisits of it; smaller payloads are all responses. A null payload is an empty one, a null url becomes a name made from the
-    id, a page without id is never the largest. Rows repeated whole (id, url, payload) are one record when read back. Other
-    columns of ``pages`` are ignored. An empty table gives a folder without records.
+    id, a page without id is never the largest. Every row is a record with a name of its own, also when rows repeat; the rows of the
+    largest id are all responses. Other columns of ``pages`` are ignored. An empty table gives a folder without records.
 
     Payloads are not shuffled unless the table of repeated digests is too large to broadcast; then they move once, and a payload
     that a third of all pages share is split as a skewed join.
     """
     spark = pages.sparkSession
     typed = with_types(pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(payload_col).cast("binary").alias("payload")), "page_id", "payload", min_bytes)
-    rows = typed.select("page_id", "url", F.col("_payload_digest").alias("digest"), F.col("_refers").alias("refers"), "payload")
+    rows = typed.select("page_id", "url", F.col("_payload_digest").alias("digest"), F.col("_refers").alias("refers"), "payload", F.monotonically_increasing_id().alias("number"))
     out = rows.mapInArrow(records(date, chunk), "record binary")
     (out.select(F.col("record").cast("string")).write.option("lineSep", END.decode()).option("compression", "gzip")
         .option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
@@ -312,7 +312,7 @@ def read_records(spark: SparkSession, path: str, size: int = CHUNK) -> DataFrame
     """
     rows = archives(spark, path).mapInArrow(parse(size, False), CHUNKS)
     names = [c.split()[0] for c in RECORDS.split(", ")]
-    whole = rows.filter("data IS NULL").select(*names).distinct()
+    whole = rows.filter("data IS NULL").select(*names)
     parts = rows.filter("data IS NOT NULL").repartition("record_id").sortWithinPartitions("record_id", "chunk", "part")
     return whole.unionByName(parts.mapInArrow(carried, RECORDS))
 
