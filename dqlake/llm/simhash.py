@@ -357,21 +357,58 @@ def near_duplicates(docs: DataFrame, words: int = 3, distance: int = 3, id_col:
     return out.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
-def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, component_id): documents whose sets of word shingles have a Jaccard similarity of about ``similarity`` or more.
+def shingle_sets(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
+    """(node, shingles): the sorted 64-bit hashes of each text's distinct shingles, as ``fingerprint`` takes them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = []
+            for text in batch.column(1):
+                tokens = text.as_buffer().to_pybytes().lower().split() if text.is_valid else []
+                shingles = map(b" ".join, zip(*(tokens[i:] for i in range(words)), strict=False)) if len(tokens) > words else [b" ".join(tokens)] if tokens else []
+                sets.append(np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(42)), dtype=np.uint64)).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
+
+    rows = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).cast("binary").alias("text"))
+    return rows.mapInArrow(run, "node long, shingles array<long>")
+
+
+def similar_links(found: DataFrame, docs: DataFrame, words: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
+    """The links (a, b) whose texts' sets of shingles have a Jaccard similarity of ``similarity`` or more, by the sets themselves.
+
+    A node without a document of its id (the fingerprint of rows without id) keeps its links.
+    """
+    ends = stage(found.select(F.explode(F.array("a", "b")).alias("end")).distinct(), "link-ends")
+    some = docs.join(ends, F.col(id_col).cast("long") == F.col("end"), "left_semi")
+    sets = stage(shingle_sets(some, words, id_col, text_col), "link-sets")
+    pairs = found.distinct().join(sets.toDF("a", "left"), "a", "left").join(sets.toDF("b", "right"), "b", "left")
+    both = F.size(F.array_intersect("left", "right"))
+    alike = both >= similarity * (F.size("left") + F.size("right") - both) - 1e-9
+    out = stage(pairs.filter(F.col("left").isNull() | F.col("right").isNull() | alike).select("a", "b").distinct(), "similar-links")
+    release(ends, sets, found)
+    return out
+
+
+def similar_documents(
+    docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", width: int = 14, missed: float = 0.02,
+) -> DataFrame:
+    """(doc_id, component_id): documents whose sets of word shingles have a Jaccard similarity of ``similarity`` or more, chained.
 
     Sets of that similarity J have cosine 2J / (1 + J), and so differ in a share of arccos / pi of their fingerprints' bits. That
-    share is too large for a guarantee at a bearable number of candidates; fingerprints are made long instead (384 bits and
-    more), and partitions many and narrow enough that 95 of 100 pairs at the very threshold agree in one (98 at 0.85, 99.8 at
-    0.9). Pairs count as similar up to three quarters of a standard deviation above the expected distance. Rows as in ``near_duplicates``.
+    share is too large for a guarantee at a bearable number of candidates. Fingerprints are made long enough, and partitions of
+    ``width`` bits many enough, that a pair at the very threshold agrees in one but for a share ``missed``; candidates lie up to
+    two standard deviations above the expected distance. What they link is then compared by the sets themselves, so nothing less
+    similar is linked, but for equal fingerprints. None of this depends on the number of documents. Rows as in ``near_duplicates``.
     """
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    width = max(14, math.ceil(math.log2(max(2, docs.count()))) - 10)
-    bits = 64 * math.ceil(math.log(0.05) / math.log(1 - (1 - share) ** width) * width / 64)
+    bits = 64 * math.ceil(math.log(missed) / math.log(1 - (1 - share) ** width) * width / 64)
     parts = bits // width
-    distance = round(share * bits + 0.75 * math.sqrt(share * (1 - share) * bits))
+    distance = round(share * bits + 2 * math.sqrt(share * (1 - share) * bits))
     rows = stage(fingerprints(docs, words, bits, False, id_col, text_col), "fingerprints")
-    return grouped(rows, lambda nodes: links(nodes, bits, parts, parts, distance, 1)).select("doc_id", "component_id")
+
+    def find(nodes: DataFrame) -> DataFrame:
+        return similar_links(links(nodes, bits, parts, parts, distance, 1), docs, words, similarity, id_col, text_col)
+
+    return grouped(rows, find).select("doc_id", "component_id")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

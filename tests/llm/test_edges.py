@@ -71,10 +71,12 @@ def test_top_k(spark):
     rows = [(0, [1.0, 0.5]), (100, [1.0, 0.5]), (1, [1.0, 0.5]), (2, None), (3, [nan, 1.0]), (4, [None, 1.0]), (5, []), (6, [-1.0]), (1, [1.0, 0.5]),
             (None, [1.0, 1.0]), (7, [1e300, 0.0])]
     df = spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<double>, score int")
-    got = [tuple(r) for r in topk.top_k(df, F.col("vec_id") % 100 == 0, k=3).orderBy("query_id", "rank").collect()]
+    got = [tuple(r) for r in topk.top_k(df, F.col("vec_id") % 100 == 0, k=3).drop("row").orderBy("query_id", "rank").collect()]
     one = 1024 * 1024 + 512 * 512
     most = 2**63 - 1
-    assert got == [(0, 1, 7, most), (0, 2, 1, one), (0, 3, 100, one), (100, 1, 7, most), (100, 2, 0, one), (100, 3, 1, one)]
+    assert got == [(0, 1, 7, most), (0, 2, 1, one), (0, 3, 1, one), (100, 1, 7, most), (100, 2, 0, one), (100, 3, 1, one)]
+    many = topk.top_k(df, F.col("vec_id") == 1, k=20).collect()  # two queries of one id, each with all rows but its own
+    assert Counter(r.rank for r in many) == Counter({i: 2 for i in range(1, 7)}) and sum(r.vec_id == 1 for r in many) == 2
     assert topk.top_k(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
@@ -112,7 +114,9 @@ def test_warc(spark):
     for chunk in (7, 64 * 1024):
         path = shared_folder(spark, "warc-test")
         warc.write_archives(pages, path, chunk=chunk)
-        got = {r.page_id: (r.payload_bytes, r.record_type, r.refers_to) for r in warc.read_records(spark, path).collect()}
+        read = warc.read_records(spark, path).collect()
+        assert Counter(r.page_id for r in read) == Counter(r[0] for r in rows)  # a row per row, repeated ones too
+        got = {r.page_id: (r.payload_bytes, r.record_type, r.refers_to) for r in read}
         long = len("é\r\n\r\nWARC/1.1\r\n".encode()) * 3000
         assert got == {1: (1, "revisit", 2), 2: (1, "response", None), None: (1, "revisit", 2), 3: (0, "revisit", 4), 4: (0, "response", None),
                        5: (long, "response", None), 6: (4000, "response", None)}
@@ -369,3 +373,72 @@ def test_passages_are_learnt():
     model = quality.train([text(g) for g in labels[:200]], labels[:200])
     scores = [quality.sigmoid(model.read(np.stack(list(quality.passages(text(g)))), np.array([0]))[0])[0] for g in labels[200:]]
     assert sum((s >= 0.3) == bool(g) for s, g in zip(scores, labels[200:])) >= 98
+
+
+def pair(k, same, other):
+    """Two texts with ``same`` shingles of five words in common and ``other`` more in each."""
+    head = [f"w{k}x{i}" for i in range(same + 4)]
+    return " ".join(head + [f"a{k}x{i}" for i in range(other)]), " ".join(head + [f"b{k}x{i}" for i in range(other)])
+
+
+def test_near_copies_are_linked_at_the_stated_similarity_and_not_below(spark):
+    rows, kind = [], {}
+    for name, same, other, n in (("above", 180, 22, 80), ("below", 170, 29, 60), ("far", 165, 36, 40)):
+        for _ in range(n):
+            a, b = pair(len(rows), same, other)
+            kind[len(rows)] = name
+            rows += [(len(rows), a), (len(rows) + 1, b)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    root = {r.doc_id: r.component_id for r in simhash.similar_documents(df).collect()}
+    found = Counter(name for i, name in kind.items() if root[i] == root[i + 1])
+    assert 180 / 224 > 0.8 > 170 / 228 and found["above"] >= 76 and found["below"] == found["far"] == 0
+
+
+def test_the_sample_is_drawn_among_documents_that_fit(spark):
+    from dqlake.llm.labelled import labelled_sample
+
+    docs = spark.createDataFrame([(i, "x " * (5000 if i < 900 else 5), "e") for i in range(1000)], "doc_id long, text string, _label string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(2000)] + [(None, 1), (950, None)], "doc_id long, toxic int")
+    got = labelled_sample(docs, labels, "toxic", 4, 2, (20, 20), 100).collect()
+    assert Counter(r.label for r in got) == {0: 20, 1: 20} and all(r.doc_id >= 900 for r in got)
+
+
+def test_reading_in_place_gives_what_training_reads():
+    r = np.random.default_rng(2)
+    net = toxicity.Network()
+    proj = net.project(net.inputs([f"w{i}" for i in range(300)]))
+    index = r.integers(0, 300, (50, toxicity.WINDOW))
+    for length in (np.full(50, toxicity.WINDOW), r.integers(0, toxicity.WINDOW + 1, 50)):
+        assert np.allclose(net.read(proj, index, length)[0], net.read(proj, index, length, keep=True)[0], atol=1e-4)
+
+
+def test_scores_are_those_of_the_plain_network(spark):
+    """Word by word, window by window, one step at a time."""
+    net = toxicity.Network(4)
+    sig = lambda x: 1 / (1 + math.exp(-x))
+
+    def window(words):
+        x = net.inputs(words)
+        both = []
+        for d, order in ((0, range(len(words))), (1, range(len(words) - 1, -1, -1))):
+            h, states = np.zeros(toxicity.HIDDEN), {}
+            for t in order:
+                g, own = h @ net.p["u"][d], x[t] @ net.p["w"][d] + net.p["b"][d][0]
+                n = toxicity.HIDDEN
+                z, q = np.array([sig(v) for v in own[:n] + g[:n]]), np.array([sig(v) for v in own[n:2 * n] + g[n:2 * n]])
+                new = np.tanh(own[2 * n:] + q * g[2 * n:])
+                h = (1 - z) * new + z * h
+                states[t] = h
+            both.append(states)
+        if not words:
+            return sig(net.p["c"][0])
+        all_states = [np.concatenate([both[0][t], both[1][t]]) for t in range(len(words))]
+        e = np.array([np.tanh(s @ net.p["a"]) @ net.p["v"] for s in all_states])
+        weight = np.exp(e - e.max())
+        return sig(sum(w * s for w, s in zip(weight / weight.sum(), all_states)) @ net.p["o"] + net.p["c"][0])
+
+    texts = ["", "one", " ".join(f"w{i}" for i in range(64)), " ".join(f"v{i % 9}" for i in range(65)), " ".join(f"u{i}" for i in range(200)), "y" * 100]
+    got = toxicity.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), net).collect()
+    for r in got:
+        words = toxicity.inputs_of(r.text)
+        assert abs(r.score - max(window(words[s:s + n]) for s, n in toxicity.windows_of(len(words)))) < 1e-4
