@@ -15,11 +15,12 @@ from dqlake import schemas
 from dqlake.functions import is_blank, number, timestamp_of
 from dqlake.functions.dates import FORMATS
 from dqlake.functions.numbers import MAX_INT, MONEY_BOUND, net_amount
-from dqlake.operators.keyed import PREFIX, ROW_ID, mark_members, repeated_keys, with_row_id
+from dqlake.operators.keyed import PREFIX, ROW_ID, SPREAD, mark_members, repeated_keys, with_row_id
 from dqlake.sources.staging import stage
 
 
 KEYED = ("unique", "referential_integrity")
+COPIES = f"{PREFIX}copies"
 MONEY_PARTS = ("quantity", "unit_price", "discount_rate")
 
 
@@ -137,14 +138,56 @@ def referential_integrity(rows: DataFrame, column: str, parent_keys: DataFrame,
     return marked.withColumn(flag, ~F.col(flag))
 
 
+def failing_keys(rows: DataFrame, keyed: dict[str, Check], parents: dict[str, DataFrame] | None) -> DataFrame:
+    """The key tuples that fail a keyed check, each once, with one flag per check. Only key columns move.
+
+    The tuples are counted first; what is looked up, and what is counted per key, are tuples. A null key fails none here.
+    """
+    keys = list(dict.fromkeys(c.column for c in keyed.values()))
+    tuples = rows.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias(COPIES))
+    out = with_row_id(tuples)
+    for flag, check in keyed.items():
+        key = [check.column]
+        if check.kind == "unique":
+            counted = tuples.where(F.col(check.column).isNotNull()).groupBy(*key).agg(F.sum(COPIES).alias("_n"))
+            out = mark_members(out, counted.where("_n > 1"), key, flag)
+        else:
+            out = mark_members(out, parents[check.parent].toDF(*key), key, flag)
+            out = out.withColumn(flag, ~F.col(flag) & F.col(check.column).isNotNull())
+    failed = F.lit(False)
+    for flag in keyed:
+        failed = failed | F.col(flag)
+    return out.where(failed).select(*keys, *keyed)
+
+
+def mark_failing(rows: DataFrame, failing: DataFrame, keyed: dict[str, Check]) -> DataFrame:
+    """Add the flags of ``failing_keys`` to whole rows (with a row id), which move at most once, and not at all when few keys fail."""
+    keys = [c for c in failing.columns if c not in keyed]
+    none = F.lit(True)
+    for c in keys:
+        none = none & F.col(c).isNull()
+    # Rows without any key match nothing; they take their row id as partitioning value.
+    left = rows.withColumn(SPREAD, F.when(none, F.col(ROW_ID)).otherwise(F.lit(0).cast("long")))
+    right = failing.select(*[F.col(c).alias(f"{PREFIX}of_{c}") for c in keys], *keyed, F.lit(0).cast("long").alias(f"{PREFIX}of"))
+    on = F.col(SPREAD) == F.col(f"{PREFIX}of")
+    for c in keys:
+        on = on & F.col(c).eqNullSafe(F.col(f"{PREFIX}of_{c}"))
+    flags = {
+        f: F.coalesce(F.col(f), F.lit(False)) | (F.col(c.column).isNull() if c.kind == "referential_integrity" else F.lit(False))
+        for f, c in keyed.items()
+    }
+    return left.join(right, on, "left").select(*rows.columns, *[v.alias(f) for f, v in flags.items()])
+
+
 def flag_rows(
     rows: DataFrame, checks: Sequence[Check], parents: dict[str, DataFrame] | None = None, store: bool = False,
 ) -> DataFrame:
     """Add one boolean column per check, named by ``flag_name``.
 
     ``rows`` must come straight from a scan or a staged table; columns with the reserved prefix are refused, but for the row id.
-    ``parents`` maps a parent name to its valid keys. With ``store`` the repeated keys are written first: Spark then knows their
-    size and needs no shuffle of the rows when they are few.
+    ``parents`` maps a parent name to its valid keys. Uniqueness and foreign keys are found on the key columns alone; the keys
+    that fail come back to the rows in one join. With ``store`` these keys are written first: Spark then knows their size and needs
+    no shuffle of the rows when they are few.
     """
     taken = [c for c in rows.columns if c.startswith(PREFIX) and c != ROW_ID]
     if taken:
@@ -157,19 +200,27 @@ def flag_rows(
         elif check.column not in have:
             simple[flag_name(i)] = F.lit(True)
         elif check.kind in KEYED:
-            keyed[i] = check
+            keyed[flag_name(i)] = check
         else:
             simple[flag_name(i)] = _row_level(check, have)
 
     out = with_row_id(rows).withColumns(simple)
-    for i, check in keyed.items():
-        column, flag = check.column, flag_name(i)
-        if check.kind == "unique":
-            repeated = repeated_keys(rows, [column]).select(column)
-            out = mark_members(out, stage(repeated, "repeated") if store else repeated, [column], flag)
-        else:
-            out = referential_integrity(out, column, parents[check.parent], flag)
-    return out
+    if not keyed:
+        return out
+    failing = failing_keys(rows, keyed, parents)
+    return mark_failing(out, stage(failing, "failing") if store else failing, keyed)
+
+
+def valid_keys(rows: DataFrame, checks: Sequence[Check], key: str) -> DataFrame:
+    """The keys of the rows that pass all checks, from one aggregate: a key that repeats fails. ``key`` is the only keyed column."""
+    have, failed = set(rows.columns), F.lit(False)
+    for check in checks:
+        if check.kind not in KEYED:
+            failed = failed | (_row_level(check, have) if check.column in have else F.lit(True))
+        elif (check.kind, check.column) != ("unique", key):
+            raise ValueError(f"not a check of one row or of {key}: {check.name}")
+    per_key = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.bool_or(failed).alias("_failed"))
+    return per_key.where("_n = 1 AND NOT _failed").select(key)
 
 
 def any_failed(n: int) -> Column:

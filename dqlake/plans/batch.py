@@ -7,11 +7,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from dqlake.operators import splits
+from dqlake.operators import rules, splits
 from dqlake.operators.rules import CHECKS, flag_rows
 from dqlake.sources.staging import stage
 
 DATASETS = ("customers", "products", "orders")
+PARENT_KEYS = {"customers": "customer_id", "products": "product_id"}
 
 
 @dataclass
@@ -52,12 +53,8 @@ def valid_keys(flagged: DataFrame, key: str) -> DataFrame:
 def flag_batch(raw: dict[str, DataFrame]) -> Flagged:
     """The flagged rows as lazy plans. For one use; several uses should start from ``stage_batch``."""
     customers, products = (flag_rows(raw[d], CHECKS[d]) for d in ("customers", "products"))
-    return Flagged(customers, products, _flag_orders(raw["orders"], customers, products))
-
-
-def _flag_orders(orders: DataFrame, customers: DataFrame, products: DataFrame, store: bool = False) -> DataFrame:
-    parents = {"customers": valid_keys(customers, "customer_id"), "products": valid_keys(products, "product_id")}
-    return flag_rows(orders, CHECKS["orders"], parents, store)
+    parents = {d: rules.valid_keys(raw[d], CHECKS[d], key) for d, key in PARENT_KEYS.items()}
+    return Flagged(customers, products, flag_rows(raw["orders"], CHECKS["orders"], parents))
 
 
 def stage_batch(raw: dict[str, DataFrame], folder: str) -> Flagged:
@@ -65,5 +62,6 @@ def stage_batch(raw: dict[str, DataFrame], folder: str) -> Flagged:
     done = {}
     for d in ("customers", "products"):
         done[d] = stage(flag_rows(raw[d], CHECKS[d], store=True), d, f"{folder}/{d}")
-    done["orders"] = stage(_flag_orders(raw["orders"], done["customers"], done["products"], store=True), "orders", f"{folder}/orders")
+    parents = {d: valid_keys(done[d], key) for d, key in PARENT_KEYS.items()}
+    done["orders"] = stage(flag_rows(raw["orders"], CHECKS["orders"], parents, store=True), "orders", f"{folder}/orders")
     return Flagged(**done)
