@@ -272,24 +272,27 @@ def score(docs: DataFrame, net: Network, text_col: str = "text", score_col: str
         known: dict[str, int] = {}
         proj = np.empty((2, KNOWN + (1 << 16), 3 * HIDDEN), np.float32)
 
-        def numbers(words: list[str]) -> list[int]:
-            fresh = list(dict.fromkeys(w for w in words if w not in known))
+        def numbers(words: list[str]) -> np.ndarray:
+            fresh = [w for w in dict.fromkeys(words) if w not in known]
             for at in range(0, len(fresh), 4096):
                 part = fresh[at:at + 4096]
                 proj[:, len(known):len(known) + len(part)] = model.project(model.inputs(part))
                 known.update(zip(part, range(len(known), len(known) + len(part)), strict=True))
-            return [known[w] for w in words]
+            return np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
 
         for batch in batches:
             best = np.full(batch.num_rows, -np.inf)
-            index, length, doc = [], [], []
+            index, length, doc = [], [], []  # arrays of windows, their lengths, their documents
 
             def read() -> None:
-                logit, _ = model.read(proj, np.array(index, dtype=np.int64), np.array(length))
-                np.maximum.at(best, np.array(doc), logit)
-                for held in (index, length, doc):
-                    held.clear()
-
+                windows, sizes, of = np.concatenate(index), np.concatenate(length), np.concatenate(doc)
+                for at in range(0, len(of), BATCH):
+                    logit, _ = model.read(proj, windows[at:at + BATCH], sizes[at:at + BATCH])
+                    np.maximum.at(best, of[at:at + BATCH], logit)
+                for kept in (index, length, doc):
+                    kept.clear()
+
+            held = 0
             for d, text in enumerate(batch.column(names.index(text_col))):
                 words = inputs_of(text.as_py() or "")
                 for at in range(0, max(1, len(words) - STEP), 512 * STEP):  # windows of a stretch of words
@@ -298,14 +301,19 @@ def score(docs: DataFrame, net: Network, text_col: str = "text", score_col: str
                     if len(known) + len(part) > KNOWN:
                         if index:
                             read()
+                            held = 0
                         known.clear()
                     ids = numbers(part)
-                    for s, n in windows_of(len(ids)):
-                        index.append(ids[s:s + n] + [0] * (WINDOW - n))
-                        length.append(n)
-                        doc.append(d)
-                    if len(index) >= BATCH:
+                    starts = np.arange(0, max(1, len(ids) - STEP), STEP)
+                    padded = np.zeros(starts[-1] + WINDOW, dtype=np.int64)
+                    padded[:len(ids)] = ids[:len(padded)]
+                    index.append(np.lib.stride_tricks.sliding_window_view(padded, WINDOW)[starts])
+                    length.append(np.minimum(WINDOW, len(ids) - starts))
+                    doc.append(np.full(len(starts), d))
+                    held += len(starts)
+                    if held >= BATCH:
                         read()
+                        held = 0
             if index:
                 read()
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sigmoid(best).astype(np.float64))], [*names, score_col])
