@@ -67,6 +67,12 @@ def read_snapshot(spark: SparkSession, layout: Layout, run_id: str) -> dict[str,
     return {d: read_parquet(spark, layout.raw(run_id, d)) for d in DATASETS}
 
 
+def read_history(spark: SparkSession, layout: Layout, dataset: str) -> DataFrame:
+    """The kept raw rows of all runs as one table with ``run_id``; a column that a run did not have is null in its rows."""
+    reader = spark.read.option("mergeSchema", True).option("basePath", f"{layout.root}/raw")
+    return reader.parquet(f"{layout.root}/raw/*/{dataset}")
+
+
 def run_summary(
     flagged: Flagged, run_id: str, threshold: float | None, start: datetime, end: datetime
 ) -> DataFrame:

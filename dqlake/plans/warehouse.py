@@ -1,7 +1,8 @@
 """The star schema: calendar, dimensions and facts kept by key, quality and quarantine audits.
 
 Dimensions are written as new snapshots; a load log names the current one, so a reader never sees a half-written
-table. Facts lie by year and month and only the months a batch touches are rewritten. Audits lie by run.
+table. Facts lie by year and month; a load writes the months it touches anew, beside the old ones, and then names them, so a load
+that fails leaves the facts as they were. Audits lie by run.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from dqlake import schemas
 from dqlake.functions import date_key, strip
@@ -36,6 +37,7 @@ TABLES = {
 LOADED = [("lake_fact_orders", "dw_fact_orders"), ("lake_dim_customers", "dw_dim_customers"), ("lake_dim_products", "dw_dim_products")]
 SNAPSHOTS = ("dim_customers", "dim_products")
 LOAD_LOG = "table string, load_id int, path string, run_id string, records bigint"
+FACT_MONTHS = "year int, month int, load_id int, path string, run_id string"  # no path: the month holds no order any more
 MONTHS_SENT = 10_000  # months that a load may broadcast; more meet in a shuffle
 CALENDAR = (date(2023, 1, 1), date(2027, 12, 31))
 
@@ -141,6 +143,8 @@ def read_table(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
     """The current rows; empty before the first load. ``dim_date`` is computed."""
     if table == "dim_date":
         return dim_date(spark)
+    if table == "fact_orders":
+        return _facts_at(spark, layout, fact_months(spark, layout))
     if table not in SNAPSHOTS:
         return read_if_there(spark, layout.warehouse(table), TABLES[table])
     return _at(spark, table, _current(spark, layout, table))
@@ -176,27 +180,62 @@ def _load_dimension(
     return rows.count()
 
 
+def fact_months(spark: SparkSession, layout: Layout) -> list[Row]:
+    """(year, month, load_id, path) of the months that hold facts now; one row a month comes to the driver."""
+    named = read_if_there(spark, f"{layout.warehouse('fact_orders')}_months", FACT_MONTHS)
+    last = named.groupBy(*PARTITION).agg(F.max(F.struct("load_id", "path")).alias("last"))
+    return last.select(*PARTITION, "last.load_id", "last.path").where("path IS NOT NULL").collect()
+
+
+def _facts_at(spark: SparkSession, layout: Layout, months: list[Row]) -> DataFrame:
+    if not months:
+        return empty_table(spark, TABLES["fact_orders"])
+    reader = spark.read.schema(TABLES["fact_orders"] + ", load int").option("basePath", layout.warehouse("fact_orders"))
+    return reader.parquet(*sorted(m["path"] for m in months)).drop("load")
+
+
+def _publish_months(spark: SparkSession, layout: Layout, months: DataFrame, emptied: DataFrame, load_id: int, run_id: str) -> None:
+    """Name the months of a finished write, all in one file: before it is there readers see the old ones, after it the new."""
+    folder = f"{layout.warehouse('fact_orders')}/load={load_id}"
+    path = F.concat(F.lit(f"{folder}/year="), F.col("year").cast("string"), F.lit("/month="), F.col("month").cast("string"))
+    rows = months.select(*PARTITION, path.alias("path")).unionByName(emptied.select(*PARTITION, F.lit(None).cast("string").alias("path")))
+    named = rows.select("year", "month", F.lit(load_id).alias("load_id"), "path", F.lit(run_id).alias("run_id"))
+    named.coalesce(1).write.mode("append").parquet(f"{layout.warehouse('fact_orders')}_months")
+
+
+def _check_keys(batch: DataFrame, held: DataFrame) -> None:
+    """Stop when two orders share a key: a hash of 60 bits makes that unlikely, not impossible."""
+    both = batch.select("order_key", "order_id").unionByName(held.select("order_key", "order_id"))
+    shared = both.groupBy("order_key").agg(F.min("order_id").alias("one"), F.max("order_id").alias("other")).where("one <> other").limit(1).collect()
+    if shared:
+        raise ValueError(f"orders {shared[0]['one']!r} and {shared[0]['other']!r} have the same key")
+
+
 def _load_facts(spark: SparkSession, layout: Layout, run_id: str, at, full_refresh: bool) -> int:
-    """Replace the batch's orders. Months that hold or held one of them are rewritten, the others stay as they are.
+    """Replace the batch's orders. Months that hold or held one of them are written anew, the others stay as they are.
 
     The key of a fact is a hash of its order id, so no row of the history is read to number the batch. One semi join finds the
-    held orders; what they need later is their months. A month that loses its last order loses its folder.
+    held orders by key; what they need later is their months. Nothing that readers see is changed before all is written.
     """
-    path = layout.warehouse("fact_orders")
+    current = fact_months(spark, layout)
+    load_id = 1 + max((m["load_id"] for m in current), default=0)
+    path = f"{layout.warehouse('fact_orders')}/load={load_id}"
     batch = fact_rows(read_parquet(spark, layout.lake("fact_orders"))).withColumns({"order_key": fact_key(), "loaded_at": at})
-    target = read_table(spark, layout, "fact_orders")
-    if full_refresh or target.isEmpty():
-        write_parquet(by_date(_typed(batch, "fact_orders")), path, PARTITION)
-        return read_table(spark, layout, "fact_orders").count()
     keyed = stage(_typed(batch, "fact_orders"), "fact_batch")
-    held = target.select("order_id", *PARTITION).join(keyed.select("order_id"), "order_id", "left_semi").select(*PARTITION)
-    months = stage(held.union(keyed.select(*PARTITION)).distinct(), "fact_months")
-    touched = target.join(F.broadcast(months) if months.count() <= MONTHS_SENT else months, PARTITION, "left_semi")
-    rewritten = stage(replace_by_key(touched.select(*keyed.columns), keyed, "order_id"), "fact_rewritten")
-    emptied = months.join(rewritten.select(*PARTITION), PARTITION, "left_anti")
-    write_parquet(by_date(rewritten), path, PARTITION, touched_only=True)
-    for year, month in emptied.toLocalIterator():
-        remove(spark, f"{path}/year={year}/month={month}")
+    target = _facts_at(spark, layout, current)
+    old_months = spark.createDataFrame([(m["year"], m["month"]) for m in current], "year int, month int")
+    if full_refresh or not current:
+        _check_keys(keyed, keyed.limit(0))
+        months, rewritten = stage(old_months.union(keyed.select(*PARTITION)).distinct(), "fact_months"), keyed
+    else:
+        held = stage(target.select("order_key", "order_id", *PARTITION).join(keyed.select("order_key"), "order_key", "left_semi"), "fact_held")
+        _check_keys(keyed, held)
+        months = stage(held.select(*PARTITION).union(keyed.select(*PARTITION)).distinct(), "fact_months")
+        touched = target.join(F.broadcast(months) if months.count() <= MONTHS_SENT else months, PARTITION, "left_semi")
+        rewritten = replace_by_key(touched.select(*keyed.columns), keyed, "order_id")
+    write_parquet(by_date(rewritten), path, PARTITION)
+    written = read_if_there(spark, path, TABLES["fact_orders"]).select(*PARTITION).distinct()
+    _publish_months(spark, layout, written, months.join(written, PARTITION, "left_anti"), load_id, run_id)
     return keyed.count()
 
 

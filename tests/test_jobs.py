@@ -9,7 +9,7 @@ from dqlake import schemas
 from dqlake.operators.clean import clean_customers, clean_orders, clean_products
 from dqlake.operators.enrich import enrich_customers, enrich_products, tier
 from dqlake.plans import lake, marts, warehouse
-from dqlake.plans.gate import evaluate_batch, quarantine_page, read_quarantine
+from dqlake.plans.gate import evaluate_batch, quarantine_page, read_history, read_quarantine, snapshot
 from dqlake.plans.job import replay, run_batch, run_files
 from dqlake.plans.layout import Layout
 from dqlake.sources.files import read_documents, write_csv
@@ -135,7 +135,7 @@ def test_upsert_keeps_old_rows_and_moves_months(spark, make, tmp_path):
     assert {k: (r["date_key"], r["order_key"]) for k, r in facts.items()} == {
         "O-1": (20240509, keys["O-1"]), "O-2": (20240501, keys["O-2"]), "O-3": (20240601, facts["O-3"]["order_key"])}
     assert len({r["order_key"] for r in facts.values()}) == 3
-    assert not (tmp_path / "warehouse/fact_orders/year=2024/month=3").exists()
+    assert {m["month"] for m in warehouse.fact_months(spark, layout)} == {5, 6}
     customers = {r["customer_id"]: r["customer_key"] for r in warehouse.read_table(spark, layout, "dim_customers").collect()}
     assert customers == {"C-1": 1, "C-2": 2}
     # A later batch that keeps every month occupied rewrites only the months it touches.
@@ -148,6 +148,51 @@ def test_upsert_keeps_old_rows_and_moves_months(spark, make, tmp_path):
     assert warehouse.read_table(spark, layout, "fact_orders").count() == 1
 
 
+@pytest.mark.parametrize("full_refresh", [False, True])
+def test_a_load_that_dies_leaves_the_facts_as_they_were(spark, make, tmp_path, monkeypatch, full_refresh):
+    layout = Layout(str(tmp_path))
+    run_batch(make([order("O-1"), order("O-2", when="2024-05-01")]), layout.root, "r1", 0.0, AT)
+    before = snapshot_of(spark, layout, "fact_orders")
+
+    def killed(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(warehouse, "_publish_months", killed)  # all months are written, none is named yet
+        with pytest.raises(RuntimeError, match="killed"):
+            run_batch(make([order("O-1", when="2024-05-09"), order("O-3", when="2024-06-01")]), layout.root, "r2", 0.0, AT)
+    assert snapshot_of(spark, layout, "fact_orders") == before
+    warehouse.load(spark, layout, "r2", AT, full_refresh)  # the next attempt writes over what the dead one left
+    left = ["O-1", "O-3"] if full_refresh else ["O-1", "O-2", "O-3"]
+    assert sorted(r["order_id"] for r in warehouse.read_table(spark, layout, "fact_orders").collect()) == left
+
+
+def test_orders_that_share_a_key_stop_the_load(spark, make, tmp_path, monkeypatch):
+    layout = Layout(str(tmp_path))
+    run_batch(make([order("O-1")]), layout.root, "r1", 0.0, AT)
+    monkeypatch.setattr(warehouse, "fact_key", lambda: warehouse.hash_key(F.lit("O-1")))
+    with pytest.raises(ValueError, match="'O-1' and 'O-9' have the same key"):
+        run_batch(make([order("O-9")]), layout.root, "r2", 0.0, AT)
+    assert [r["order_id"] for r in warehouse.read_table(spark, layout, "fact_orders").collect()] == ["O-1"]
+
+
+def test_a_month_filter_reads_its_own_files_only(spark, make, tmp_path):
+    layout = Layout(str(tmp_path))
+    run_batch(make([order("O-1"), order("O-2", when="2024-05-01")]), layout.root, "r1", 0.0, AT)
+    facts = warehouse.read_table(spark, layout, "fact_orders")
+    assert "PartitionFilters: [isnotnull(year" in facts.where("year = 2024 AND month = 5").select("order_id")._jdf.queryExecution().executedPlan().toString()
+    assert "load" not in facts.columns and facts.where("month = 5").count() == 1
+
+
+def test_raw_rows_of_all_runs_are_one_table(spark, make, tmp_path):
+    layout = Layout(str(tmp_path))
+    for n, extra in enumerate(("a", "b")):
+        raw = make([order(f"O-{n}")])
+        snapshot({**raw, "orders": raw["orders"].withColumn(extra, F.lit(n).cast("string"))}, layout, f"r{n}")
+    rows = read_history(spark, layout, "orders").select("run_id", "order_id", "a", "b").collect()
+    assert sorted(map(tuple, rows), key=repr) == [("r0", "O-0", "0", None), ("r1", "O-1", None, "1")]
+
+
 def test_keys_that_collide_after_trimming_load_once(spark, make, tmp_path):
     layout = Layout(str(tmp_path))
     run_batch(make([order("O-1", when="2024-03-02"), order(" O-1 ", when="2024-03-01")]), layout.root, "r1", 0.0, AT)

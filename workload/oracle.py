@@ -583,6 +583,10 @@ UNION ALL SELECT 'replay', 'SUCCESS', overall_quality_score, (SELECT count(*) FR
              "CASE WHEN order_status NOT IN ('Completed', 'Pending', 'Cancelled') THEN 'C-' || order_status END AS coupon_code")
     out["csv_mixed_headers"] = sql(
         f"SELECT {mixed}, nullif({_reasons('orders')}, '') AS error_reasons FROM orders_flagged")
+    out["raw_history"] = sql(
+        "SELECT CASE order_status WHEN 'Completed' THEN 'run-0' WHEN 'Pending' THEN 'run-1' ELSE 'run-2' END AS run_id, order_id, order_status, "
+        "CASE WHEN order_status <> 'Shipped' THEN payment_method END AS payment_method, CASE WHEN order_status = 'Pending' THEN 'C-' || payment_method END AS coupon, "
+        "CASE WHEN order_status = 'Shipped' THEN 'web' END AS channel FROM raw_orders WHERE order_status IN ('Completed', 'Pending', 'Shipped')")
     out["csv_line_breaks"] = sql(
         "SELECT order_id, customer_id, quantity, order_date, 'status \"' || order_status || '\",' || chr(10) || chr(10) || 'by ' || payment_method || chr(10) AS note, "
         f"nullif({_reasons('orders')}, '') AS error_reasons FROM orders_flagged")

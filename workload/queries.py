@@ -18,7 +18,7 @@ from dqlake.operators.rules import CHECKS, EMAIL_FORMAT, Check, flag_name, flag_
 from dqlake.operators.upsert import keep_or_number, replace_by_key
 from dqlake.plans import evolution, lake, lineage, marts, warehouse
 from dqlake.plans.batch import DATASETS, Flagged, flag_batch, stage_batch, valid_keys
-from dqlake.plans.gate import evaluate_batch, quarantine_page, read_quarantine, snapshot
+from dqlake.plans.gate import evaluate_batch, quarantine_page, read_history, read_quarantine, snapshot
 from dqlake.plans.job import replay, run_batch, run_files
 from dqlake.plans.layout import Layout
 from dqlake.sources.files import NULL_TOKENS, empty_table, read_csv, read_csv_batches, write_csv
@@ -567,6 +567,22 @@ def csv_mixed_headers(spark, sf):
     return valid.unionByName(read_quarantine(spark, layout, "orders", RUN).select(*columns, "error_reasons"))
 
 
+@query
+def raw_history(spark, sf):
+    """Three runs whose orders have other added columns, read as one table."""
+    orders, root = plain_tables(spark, sf)["orders"], shared_folder(spark, "history")
+    layout, rest = Layout(root), plain_tables(spark, sf)
+    status = F.col("order_status")
+    runs = [
+        orders.where(status == "Completed"),
+        orders.where(status == "Pending").withColumn("coupon", F.concat(F.lit("C-"), "payment_method")),
+        orders.where(status == "Shipped").withColumn("channel", F.lit("web")).drop("payment_method"),
+    ]
+    for n, rows in enumerate(runs):
+        snapshot({**rest, "orders": rows}, layout, f"run-{n}")
+    return read_history(spark, layout, "orders").select("run_id", "order_id", "order_status", "payment_method", "coupon", "channel")
+
+
 @query
 def csv_line_breaks(spark, sf):
     """Orders with a note of several lines, in CSV folders whose columns differ, through the whole job."""
