@@ -4,8 +4,8 @@ A text is cut before each run of spaces; pieces of the model never hold a space
 cut. A unit's merges wait in an agenda by score, then by place. A candidate that is taken from it is skipped when a keyed hash
 of seed, document, place of the occurrence and candidate falls below the dropout rate; as in the published method it may come
 back when a neighbour merges. So every occurrence of a unit draws its own cut, and a result depends on neither partitioning
-nor run. The candidates that the undropped agenda takes are remembered by unit with its ids: an occurrence whose hash skips
-none of them has that cut, as both agendas go the same way until the first skip; any other is cut anew.
+nor run. The agendas of a block of occurrences run side by side, a step of each at a time, on arrays; the pieces of a unit's
+parts are looked up once and remembered. Units over 48 characters have a heap each.
 
 A character that the model lacks becomes byte pieces, and so does a literal U+2581, which the model would read as a space:
 decoding gives every text back exactly.
@@ -32,7 +32,11 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNIT = re.compile(r" *[^ ]+| +")
 NEVER = float("inf")
-CACHED = 400_000  # units in a generation of a task's cache; the one before it is kept too
+KEPT = 16_000_000  # parts of units that a task remembers; past it they are looked up anew
+WIDTHS = (4, 6, 8, 12, 16, 24, 48)  # characters of the units whose agendas run side by side
+SHORT = WIDTHS[-1]
+BLOCK = 16_384  # units of a block
+GROUP = 65_536  # characters of neighbouring texts that are cut together
 
 
 @dataclass
@@ -74,12 +78,27 @@ class Encoder:
         self.model, self.seed, self.variants = model, seed, variants
         self.skip_below = int(dropout * 2**28)
         self.ranks = {piece: -model.scores[i] for piece, i in model.ids.items()}  # lowest merges first
-        self.known: dict[str, tuple[tuple[int, ...], tuple[int, ...]]] = {}
-        self.older: dict[str, tuple[tuple[int, ...], tuple[int, ...]]] = {}
-        self.places: dict[int, int] = {}  # one object per hashed place of a short unit
+        self.cost = np.array([*(-score for score in model.scores), NEVER])  # of a piece by id; the last for none
+        self.byte_ids = np.array(model.byte_ids, np.int32)
+        tree: dict[int, int] = {}  # the pieces by their characters: node and character -> node
+        ends = {}
+        for piece, i in model.ids.items():
+            node = 0
+            for c in piece:
+                node = tree.setdefault(node << 21 | ord(c), len(tree) + 1)
+            ends[node] = i
+        self.edges = np.array(sorted(tree), np.int64)
+        self.children = np.array([tree[edge] for edge in self.edges.tolist()], np.int64)
+        self.piece_at = np.array([ends.get(node, -1) for node in range(len(tree) + 1)], np.int32)
+        self.forget()
+
+    def forget(self) -> None:
+        """Begin the tables of the units' parts anew."""
+        self.known: dict[str, int] = {}  # where a unit's table begins
+        self.parts, self.used = np.empty(4096, np.int32), 0
 
     def unit(self, unit: str, key: int, taken: list[int] | None = None) -> tuple[int, ...]:
-        """Ids of one unit: the agenda, with candidates skipped by hash; with ``taken`` none is, and it gets the places hashed."""
+        """Ids of one occurrence by itself: the agenda, with candidates skipped by hash; with ``taken`` none is, and it gets the places."""
         ids, ranks, below = self.model.ids, self.ranks, self.skip_below if taken is None else 0
         ends = (self.short if len(unit) <= 48 else self.long)(unit, ranks, below, key, taken)
         out, at = [], 0
@@ -91,7 +110,7 @@ class Encoder:
             else:
                 out.append(piece)
             at = end
-        return tuple(out)  # which the garbage collector, unlike a list, need not visit
+        return tuple(out)
 
     @staticmethod
     def short(unit: str, ranks: dict[str, float], below: int, key: int, taken: list[int] | None = None) -> list[int]:
@@ -146,41 +165,145 @@ class Encoder:
                 propose(before[left], left)
         return [e for e in end if e]
 
+    def learn(self, units: list[str]) -> None:
+        """Keep the piece of every part of new units, by start, then end: its id, -1 for none, and -2 - c for a character c without.
+
+        The parts that begin at a character are followed in the tree of pieces, those of all units together, as far as it goes.
+        """
+        sizes = np.fromiter(map(len, units), np.int64, len(units))
+        rows = sizes * (sizes + 1) // 2
+        tables = self.used + np.cumsum(rows) - rows
+        self.used += int(rows.sum())
+        if self.used > len(self.parts):
+            self.parts = np.concatenate([self.parts, np.empty(self.used, np.int32)])
+        self.parts[tables[0]:self.used] = -1
+        self.known.update(zip(units, tables.tolist(), strict=True))
+        points = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).astype(np.int64)
+        size = np.repeat(sizes, sizes)
+        start = np.arange(len(points)) - np.repeat(np.cumsum(sizes) - sizes, sizes)  # of a character in its unit
+        at = np.repeat(tables, sizes) + start * (2 * size - start + 1) // 2  # of the part that is this character alone
+        live, node, depth = np.arange(len(points)), np.zeros(len(points), np.int64), 0
+        while len(live):
+            step = node << 21 | points[live + depth]
+            edge = np.minimum(np.searchsorted(self.edges, step), len(self.edges) - 1)
+            there = self.edges[edge] == step
+            live, node = live[there], self.children[edge[there]]
+            self.parts[at[live] + depth] = self.piece_at[node]
+            depth += 1
+            more = start[live] + depth < size[live]
+            live, node = live[more], node[more]
+        alone = (self.parts[at] < 0) | (points == ord(SPACE))
+        self.parts[at[alone]] = -2 - points[alone]
+
+    def agendas(self, tables: np.ndarray, sizes: np.ndarray, draws: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The agendas of many occurrences side by side, one step of each at a time: (occurrence, start, part) of all symbols.
+
+        The cheapest neighbours of an occurrence, the leftmost of equals, are merged, or skipped if the hash of its draw says so.
+        """
+        rows, width = len(tables), int(sizes.max())
+
+        def part(who: np.ndarray, left: np.ndarray, stop: np.ndarray) -> np.ndarray:
+            n = sizes[who]
+            return self.parts[tables[who] + left * (2 * n - left + 1) // 2 + stop - left - 1]
+
+        def price(who: np.ndarray, left: np.ndarray, stop: np.ndarray) -> np.ndarray:
+            return self.cost[np.maximum(part(who, left, stop), -1)]  # -1 is the last place, that of no piece
+
+        places = np.arange(width + 1)
+        end = np.where(places < sizes[:, None], places + 1, 0)  # of the symbol that starts here; 0: none starts here
+        start = np.broadcast_to(places - 1, (rows, width + 1)).copy()  # of the symbol that ends here
+        cost = np.full((rows, width), NEVER)  # of a symbol with its right neighbour
+        who, left = np.nonzero(places[:width] < sizes[:, None] - 1)
+        cost[who, left] = price(who, left, left + 2)
+        who = np.arange(rows)
+        while True:
+            left = cost[who].argmin(axis=1)
+            open_ = cost[who, left] < NEVER
+            who, left = who[open_], left[open_]
+            if not len(who):
+                break
+            right = end[who, left]
+            stop = end[who, right]
+            h = draws[who] ^ (left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + stop.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+            skip = (h ^ h >> np.uint64(31)) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(36) < np.uint64(self.skip_below)
+            cost[who[skip], left[skip]] = NEVER
+            w, i, j, k = (x[~skip] for x in (who, left, right, stop))
+            end[w, i], end[w, j], start[w, k] = k, 0, i
+            cost[w, i] = cost[w, j % width] = NEVER
+            more = k < sizes[w]
+            cost[w[more], i[more]] = price(w[more], i[more], end[w[more], k[more]])
+            more = i > 0
+            before = start[w[more], i[more]]
+            cost[w[more], before] = price(w[more], before, k[more])
+        who, left = np.nonzero(end[:, :width])
+        return who, left, part(who, left, end[who, left])
+
+    def draws(self, units: list[str], key: str) -> np.ndarray:
+        """The keys of a text's units, by seed, document and place."""
+        x = np.arange(len(units), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ np.uint64(xxhash.xxh64_intdigest(f"{self.seed}:{key}"))
+        x = (x ^ (x >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
+        x ^= x >> np.uint64(32)
+        if self.variants is None:
+            return x
+        few = (x % np.uint64(self.variants)).tolist()
+        return np.array([xxhash.xxh64_intdigest(f"{self.seed}:{d}:{u}") for d, u in zip(few, units, strict=True)], dtype=np.uint64)
+
+    def block(self, units: list[str], draws: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the units, one after the other, and how many each has."""
+        if self.used > KEPT:
+            self.forget()
+        known = self.known
+        sizes = np.fromiter(map(len, units), np.int64, len(units))
+        tables = np.array([known.get(unit, -1) for unit in units], dtype=np.int64)
+        new = np.flatnonzero((tables < 0) & (sizes <= SHORT)).tolist()
+        if new:
+            self.learn(list(dict.fromkeys(units[i] for i in new)))
+            tables[new] = [known[units[i]] for i in new]
+        first = np.cumsum(sizes) - sizes
+        flat = np.full(int(sizes.sum()), -1, np.int32)  # the symbol that starts at a character; -1: none does
+        low = 0
+        for width in WIDTHS:
+            chosen = np.flatnonzero((sizes > low) & (sizes <= width))
+            low = width
+            if len(chosen):
+                who, left, symbols = self.agendas(tables[chosen], sizes[chosen], draws[chosen])
+                flat[first[chosen][who] + left] = symbols
+        for i in np.flatnonzero(sizes > SHORT).tolist():
+            unit, at = units[i], 0
+            for end in self.long(unit, self.ranks, self.skip_below, int(draws[i])):
+                piece = self.model.ids.get(unit[at:end])
+                flat[first[i] + at] = -2 - ord(unit[at]) if piece is None else piece
+                at = end
+        owner = np.repeat(np.arange(len(units)), sizes)[flat != -1]
+        flat = flat[flat != -1]
+        lacking = flat < 0
+        if not lacking.any():
+            return flat, np.bincount(owner, minlength=len(units))
+        points = -2 - flat[lacking]
+        ids_of = np.ones(len(flat), np.int64)
+        ids_of[lacking] = 1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000)
+        out, as_bytes = np.repeat(flat, ids_of), np.repeat(lacking, ids_of)
+        out[as_bytes] = self.byte_ids[np.frombuffer("".join(map(chr, points.tolist())).encode(), np.uint8)]
+        return out, np.bincount(np.repeat(owner, ids_of), minlength=len(units))
+
+    def texts(self, texts: list[str], keys: list[str]) -> list[np.ndarray]:
+        """Ids of whole texts, whose units share blocks."""
+        units: list[str] = []
+        draws, ends = [], []
+        for text, key in zip(texts, keys, strict=True):
+            found = UNIT.findall(" " + text) if text else []
+            draws.append(self.draws(found, key))
+            units += found
+            ends.append(len(units))
+        if not units:
+            return [np.empty(0, np.int32) for _ in texts]
+        drawn = np.concatenate(draws)
+        blocks = [self.block(units[i:i + BLOCK], drawn[i:i + BLOCK]) for i in range(0, len(units), BLOCK)]
+        before = np.concatenate([[0], np.cumsum(np.concatenate([counts for _, counts in blocks]))])
+        return np.split(np.concatenate([ids for ids, _ in blocks]), before[ends[:-1]])
+
     def text(self, text: str, key: str) -> list[int]:
-        if not text:
-            return []
-        units = UNIT.findall(" " + text)
-        out: list[int] = []
-        below, known = self.skip_below, self.known
-        if below:
-            x = np.arange(len(units), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ np.uint64(xxhash.xxh64_intdigest(f"{self.seed}:{key}"))
-            x = (x ^ (x >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
-            x ^= x >> np.uint64(32)
-            drawn = (x if self.variants is None else x % np.uint64(self.variants)).tolist()
-        else:
-            drawn = [0] * len(units)
-        for unit, draw in zip(units, drawn, strict=True):
-            if below and self.variants is not None:
-                draw = xxhash.xxh64_intdigest(f"{self.seed}:{draw}:{unit}")
-            found = known.get(unit)
-            if found is None:
-                found = self.older.get(unit)
-                if found is None:
-                    taken: list[int] = []
-                    plain = self.unit(unit, 0, taken)
-                    found = plain, tuple(self.places.setdefault(at, at) for at in taken) if below and len(unit) <= 64 else tuple(taken) if below else ()
-                if len(unit) <= 64:
-                    known[unit] = found
-            for at in found[1]:
-                h = draw ^ at
-                if (h ^ h >> 31) * 0xD6E8FEB86659FD93 >> 36 & 0xFFFFFFF < below:
-                    out += self.unit(unit, draw)
-                    break
-            else:
-                out += found[0]
-        if len(known) > CACHED:
-            self.older, self.known = known, {}
-        return out
+        return self.texts([text], [key])[0].tolist()
 
 
 def encode(
@@ -201,11 +324,19 @@ def encode(
         encoder = Encoder(loaded, dropout, seed, variants)
         for batch in batches:
             texts, keys = batch.column(names.index(text_col)), batch.column(names.index(id_col)).to_pylist()
-            start, found, held = 0, [], 0
-            for i, key in enumerate(keys):
+            start, found, group, held, size = 0, [], [], 0, 0
+            for i in range(len(keys)):
                 text = texts[i].as_py()
-                found.append(None if text is None else np.array(encoder.text(text, str(key)), dtype=np.int32))
-                held += 0 if text is None else len(found[-1])
+                group.append(text)
+                size += len(text or "")
+                if size < GROUP and i < len(keys) - 1:
+                    continue
+                there = [j for j, text in enumerate(group) if text is not None]
+                first = i + 1 - len(group)
+                cuts = dict(zip(there, encoder.texts([group[j] for j in there], [str(keys[first + j]) for j in there]), strict=True))
+                found += [cuts.get(j) for j in range(len(group))]
+                held += sum(map(len, cuts.values()))
+                group, size = [], 0
                 if held > 1_000_000 or i == len(keys) - 1:
                     column = pa.array(found, pa.list_(pa.int32()))
                     yield pa.RecordBatch.from_arrays([*batch.slice(start, i + 1 - start).columns, column], [*names, ids_col])

@@ -66,6 +66,51 @@ def test_every_occurrence_draws_its_own_cut():
             assert not none or encoder.unit(text, key) == whole
 
 
+def plain_cut(model, unit, key, below):
+    """The published method on one unit, symbol by symbol: the best neighbours merge unless their hash skips them."""
+    cuts, dead = list(range(len(unit) + 1)), set()
+    while True:
+        pairs = [(-model.scores[model.ids[unit[a:c]]], a, c) for a, b, c in zip(cuts, cuts[1:], cuts[2:])
+                 if unit[a:c] in model.ids and (a, b, c) not in dead]
+        if not pairs:
+            break
+        _, a, c = min(pairs)
+        b = cuts[cuts.index(a) + 1]
+        h = (key ^ (a * 0x9E3779B97F4A7C15 + c * 0xC2B2AE3D27D4EB4F)) % 2**64
+        if ((h ^ h >> 31) * 0xD6E8FEB86659FD93 % 2**64) >> 36 < below:
+            dead.add((a, b, c))
+        else:
+            cuts.remove(b)
+            dead = {d for d in dead if b not in d}
+    out = []
+    for a, c in zip(cuts, cuts[1:]):
+        known = unit[a:c] in model.ids and unit[a:c] != pieces.SPACE
+        out += [model.ids[unit[a:c]]] if known else [model.byte_ids[b] for b in unit[a:c].encode()]
+    return out
+
+
+def test_pieces_equal_the_plain_method_on_whole_documents(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    model, below = pieces.Model.load(), int(0.1 * 2**28)
+    encoder = pieces.Encoder(model, 0.1, 7)
+    texts = [r.text for r in rows if r.text] + ["", "x" * 300 + " a", " ".join("unbelievable" * k for k in range(9)), "ä▁b 漢字 😀" * 30]
+    keys = [str(r.doc_id) for r in rows if r.text] + ["a", "b", "c", "d"]
+    for text, key, got in zip(texts, keys, encoder.texts(texts, keys), strict=True):
+        units = pieces.UNIT.findall(" " + text) if text else []
+        draws = encoder.draws(units, key).tolist()
+        assert got.tolist() == [i for u, d in zip(units, draws) for i in plain_cut(model, u, d, below)]
+        assert len(text) > 2000 or encoder.text(text, key) == got.tolist()
+
+
+def test_parts_of_units_may_be_forgotten(monkeypatch):
+    model = pieces.Model.load()
+    text = " ".join(f"word{i} other{i % 7}" for i in range(3000))
+    whole = pieces.Encoder(model, 0.2, 7).text(text, "1")
+    monkeypatch.setattr(pieces, "KEPT", 500)
+    monkeypatch.setattr(pieces, "BLOCK", 64)
+    assert pieces.Encoder(model, 0.2, 7).text(text, "1") == whole
+
+
 def test_top_k(spark):
     nan = float("nan")
     rows = [(0, [1.0, 0.5]), (100, [1.0, 0.5]), (1, [1.0, 0.5]), (2, None), (3, [nan, 1.0]), (4, [None, 1.0]), (5, []), (6, [-1.0]), (1, [1.0, 0.5]),
