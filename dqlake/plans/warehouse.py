@@ -36,7 +36,7 @@ TABLES = {
 }
 LOADED = [("lake_fact_orders", "dw_fact_orders"), ("lake_dim_customers", "dw_dim_customers"), ("lake_dim_products", "dw_dim_products")]
 SNAPSHOTS = ("dim_customers", "dim_products")
-LOAD_LOG = "table string, load_id int, path string, run_id string, records bigint"
+LOAD_LOG = "table string, load_id int, path string, run_id string, records bigint, renewed boolean"  # renewed: by a full refresh
 FACT_MONTHS = "year int, month int, load_id int, path string, run_id string"  # no path: the month holds no order any more
 MONTHS_SENT = 10_000  # months that a load may broadcast; more meet in a shuffle
 CALENDAR = (date(2023, 1, 1), date(2027, 12, 31))
@@ -139,12 +139,18 @@ def _current(spark: SparkSession, layout: Layout, table: str):
     return row[0] if row else None
 
 
+def keys_of(spark: SparkSession, layout: Layout) -> int:
+    """The full refresh that the customer keys date from: they only become more until the next one."""
+    log = _load_log(spark, layout).where((F.col("table") == "dim_customers") & F.col("renewed"))
+    return log.agg(F.coalesce(F.max("load_id"), F.lit(0))).first()[0]
+
+
 def read_table(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
     """The current rows; empty before the first load. ``dim_date`` is computed."""
     if table == "dim_date":
         return dim_date(spark)
     if table == "fact_orders":
-        return _facts_at(spark, layout, fact_months(spark, layout))
+        return facts_of(spark, layout, fact_months(spark, layout))
     if table not in SNAPSHOTS:
         return read_if_there(spark, layout.warehouse(table), TABLES[table])
     return _at(spark, table, _current(spark, layout, table))
@@ -175,19 +181,28 @@ def _load_dimension(
     write_parquet(_typed(merged, table), path)
     entry = _at(spark, table, {"path": path}).agg(F.count(F.lit(1)).alias("records")).select(
         F.lit(table).alias("table"), F.lit(load_id).alias("load_id"), F.lit(path).alias("path"),
-        F.lit(run_id).alias("run_id"), "records")
+        F.lit(run_id).alias("run_id"), "records", F.lit(full_refresh).alias("renewed"))
     entry.write.mode("append").parquet(layout.warehouse("load_log"))
     return rows.count()
 
 
+def _named_months(spark: SparkSession, layout: Layout) -> DataFrame:
+    return read_if_there(spark, f"{layout.warehouse('fact_orders')}_months", FACT_MONTHS)
+
+
+def _last_load(spark: SparkSession, layout: Layout) -> int:
+    """Of all loads so far, those included that left no order in any month."""
+    return _named_months(spark, layout).agg(F.coalesce(F.max("load_id"), F.lit(0))).first()[0]
+
+
 def fact_months(spark: SparkSession, layout: Layout) -> list[Row]:
     """(year, month, load_id, path) of the months that hold facts now; one row a month comes to the driver."""
-    named = read_if_there(spark, f"{layout.warehouse('fact_orders')}_months", FACT_MONTHS)
-    last = named.groupBy(*PARTITION).agg(F.max(F.struct("load_id", "path")).alias("last"))
+    last = _named_months(spark, layout).groupBy(*PARTITION).agg(F.max(F.struct("load_id", "path")).alias("last"))
     return last.select(*PARTITION, "last.load_id", "last.path").where("path IS NOT NULL").collect()
 
 
-def _facts_at(spark: SparkSession, layout: Layout, months: list[Row]) -> DataFrame:
+def facts_of(spark: SparkSession, layout: Layout, months: list[Row]) -> DataFrame:
+    """The facts of some of ``fact_months``; no file of another month is read."""
     if not months:
         return empty_table(spark, TABLES["fact_orders"])
     reader = spark.read.schema(TABLES["fact_orders"] + ", load int").option("basePath", layout.warehouse("fact_orders"))
@@ -218,11 +233,11 @@ def _load_facts(spark: SparkSession, layout: Layout, run_id: str, at, full_refre
     held orders by key; what they need later is their months. Nothing that readers see is changed before all is written.
     """
     current = fact_months(spark, layout)
-    load_id = 1 + max((m["load_id"] for m in current), default=0)
+    load_id = 1 + _last_load(spark, layout)
     path = f"{layout.warehouse('fact_orders')}/load={load_id}"
     batch = fact_rows(read_parquet(spark, layout.lake("fact_orders"))).withColumns({"order_key": fact_key(), "loaded_at": at})
     keyed = stage(_typed(batch, "fact_orders"), "fact_batch")
-    target = _facts_at(spark, layout, current)
+    target = facts_of(spark, layout, current)
     old_months = spark.createDataFrame([(m["year"], m["month"]) for m in current], "year int, month int")
     if full_refresh or not current:
         _check_keys(keyed, keyed.limit(0))

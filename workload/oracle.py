@@ -600,6 +600,14 @@ UNION ALL SELECT 'replay', 'SUCCESS', overall_quality_score, (SELECT count(*) FR
     new_status = "CASE WHEN order_date >= TIMESTAMP '2025-07-01' THEN 'Refunded' ELSE order_status END AS order_status"
     out["star_load_two_runs"] = sql(
         f"SELECT {_FACT.replace('order_status', new_status)} FROM fact")
+    out["mart_months_refreshed"] = out["mart_monthly_revenue"]
+    out["buyers_by_year"] = sql(
+        "SELECT d.year, count(*) AS total_orders, count(DISTINCT f.customer_id) AS distinct_customers, "
+        f"{msum('f.total_amount')} AS total_revenue, {mavg('f.total_amount')} AS avg_order_value "
+        "FROM fact f JOIN (SELECT order_id, cast(floor(date_key / 10000) AS INT) AS year FROM fact) d USING (order_id) GROUP BY GROUPING SETS ((d.year), ())")
+    out["retention_by_key"] = sql(
+        f"SELECT segment, customer_tier, count(DISTINCT customer_id) AS total_customers, {msum('total_spend')} AS aggregate_spend, "
+        f"{mavg('total_spend')} AS avg_customer_spend, {mavg('avg_order_value')} AS avg_order_value FROM ({_dim_customers()}) GROUP BY segment, customer_tier")
     out["lineage_of_run"] = (
         "SELECT * FROM (VALUES ('dw_dim_customers', 0, 'WAREHOUSE'), ('lake_dim_customers', 1, 'LAKEHOUSE'), ('raw_customers', 2, 'RAW'), "
         "('lake_fact_orders', 2, 'LAKEHOUSE'), ('quality_gate_orders', 3, 'QUALITY_GATE'), ('raw_orders', 4, 'RAW'), ('raw_products', 4, 'RAW')) t(name, depth, tier)")

@@ -16,7 +16,7 @@ from dqlake.operators.keyed import ROW_ID, with_row_id
 from dqlake.operators.numbering import number_rows
 from dqlake.operators.rules import CHECKS, EMAIL_FORMAT, Check, flag_name, flag_rows, joined_reasons, unique
 from dqlake.operators.upsert import keep_or_number, replace_by_key
-from dqlake.plans import evolution, lake, lineage, marts, warehouse
+from dqlake.plans import evolution, lake, lineage, marts, months, warehouse
 from dqlake.plans.batch import DATASETS, Flagged, flag_batch, stage_batch, valid_keys
 from dqlake.plans.gate import evaluate_batch, quarantine_page, read_history, read_quarantine, snapshot
 from dqlake.plans.job import replay, run_batch, run_files
@@ -624,9 +624,8 @@ def replay_mended_rows(spark, sf):
         F.count(F.lit(1)).alias("records"), F.count_distinct("quarantine_key").alias("audit_keys"))
 
 
-@query
-def star_load_two_runs(spark, sf):
-    """Two lakes through the loader: orders before 2026, then those from July 2025 on with a new status. The facts read back."""
+def _two_loads(spark: SparkSession, sf: str, between: Callable[[Layout], None] = lambda layout: None) -> Layout:
+    """Two lakes through the loader: orders before 2026, then those from July 2025 on with a new status."""
     flagged = _flagged(spark, sf)
     layout = Layout(shared_folder(spark, "two-runs"))
     orders = stage(clean_orders(flagged.valid("orders")), "clean_orders")
@@ -638,9 +637,39 @@ def star_load_two_runs(spark, sf):
     for run, batch in (("run-1", first), ("run-2", second)):
         batch.write.mode("overwrite").partitionBy("year", "month").parquet(layout.lake("fact_orders"))
         warehouse.load(spark, layout, run, AT)
+        between(layout)
+    return layout
+
+
+@query
+def star_load_two_runs(spark, sf):
+    """The facts read back after two loads."""
+    layout = _two_loads(spark, sf)
     return as_text(warehouse.read_table(spark, layout, "fact_orders").drop("loaded_at", "year", "month"))
 
 
+@query
+def mart_months_refreshed(spark, sf):
+    """The monthly mart from what is kept by month, brought up after each of two loads."""
+    layout = _two_loads(spark, sf, lambda layout: months.refresh(spark, layout))
+    return months.monthly_revenue(months.refresh(spark, layout), warehouse.dim_date(spark))
+
+
+@query
+def buyers_by_year(spark, sf):
+    """Years and the whole (year null) merged from kept months: orders, distinct customers, revenue."""
+    kept = months.refresh(spark, _two_loads(spark, sf))
+    whole = months.totals_by(kept, []).withColumn("year", F.lit(None).cast("int"))
+    return months.totals_by(kept, ["year"]).unionByName(whole)
+
+
+@query
+def retention_by_key(spark, sf):
+    """The retention mart over the numbered customer dimension."""
+    rows = stage(warehouse.customer_rows(_lake_customers(spark, sf)), "customer_rows")
+    return months.customer_retention(stage(number_rows(rows, [F.col("customer_id")], "customer_key", 1), "numbered"))
+
+
 @query
 def lineage_of_run(spark, sf):
     """What the customer dimension of a real run is made from, by the edges that publish and load recorded."""
