@@ -28,8 +28,8 @@ from dqlake.llm.common import release, stage, table
 
 BITS = 26  # the bitmap has two to the power of this many bits: 8 MB
 SAMPLE = 4  # one document in so many proposes
-CHUNK = 1_000_000  # words that a task counts at a time
-SLICE = 1_000_000  # bytes of a text that are split at a time, up to the end of a piece
+CHUNK = 700_000  # words that a task counts at a time
+SLICE = 250_000  # bytes of text that are split at a time, up to the end of a piece
 COUNTED = "lang string, k int, phrase string, f long"
 KEYS = "k int, key long, f long"
 MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -109,6 +109,20 @@ class Chunk:
             self.words.append(np.fromiter(map(self.ids.__getitem__, data.split()), dtype=np.int64, count=len(keys)))
 
 
+    def taken(self) -> tuple[np.ndarray, np.ndarray]:
+        """The keys, and whether each word and the next one stand in one piece. The chunk gives them up."""
+        keys, pieces = np.concatenate(self.keys), np.concatenate(self.pieces)
+        self.keys, self.pieces = [], []
+        return keys, pieces[:-1] == pieces[1:]
+
+
+def counts_of(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and how often each stands there; ``keys`` is sorted in place."""
+    keys.sort()
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][:len(keys)])
+    return keys[first], np.diff(first, append=len(keys))
+
+
 def member(bits: np.ndarray | None, keys: np.ndarray) -> np.ndarray:
     """Whether both bits of each key are set."""
     if bits is None:
@@ -129,10 +143,10 @@ def longer(keys: np.ndarray, last: np.ndarray) -> np.ndarray:
 def keys_of(chunk: Chunk, known: np.ndarray | None, before: np.ndarray | None, shortest: int, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(length, keys, counts) of a chunk: all words, and longer phrases with both parts in ``known``, if they were not counted when
     the set was ``before``."""
-    single, piece = np.concatenate(chunk.keys), np.concatenate(chunk.pieces)
+    single, joined = chunk.taken()
     if shortest <= 1:
-        yield 1, *np.unique(single, return_counts=True)
-    keys, joined = single, piece[:-1] == piece[1:]
+        yield 1, *counts_of(single.copy())
+    keys = single
     new, old = member(known, single), member(before, single)
     for k in range(2, longest + 1):
         counted, earlier = new[:-1] & new[1:] & joined[:len(new) - 1], old[:-1] & old[1:]
@@ -140,8 +154,7 @@ def keys_of(chunk: Chunk, known: np.ndarray | None, before: np.ndarray | None, s
         if not counted.any():
             return
         if k >= shortest:
-            found, counts = np.unique(keys[counted & ~earlier], return_counts=True)
-            yield k, found, counts
+            yield k, *counts_of(keys[counted & ~earlier])
         if k < longest:
             new, old, at = np.zeros(len(keys), dtype=bool), np.zeros(len(keys), dtype=bool), np.flatnonzero(counted)
             new[at], old[at] = member(known, keys[at]), earlier[at] & member(before, keys[at])
@@ -149,9 +162,9 @@ def keys_of(chunk: Chunk, known: np.ndarray | None, before: np.ndarray | None, s
 
 def texts_of(chunk: Chunk, wanted: np.ndarray, longest: int) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
     """(length, phrases, counts) of a chunk, for the phrases in ``wanted`` whose parts are in it too. Told apart by their words."""
-    words, piece, texts = np.concatenate(chunk.words), np.concatenate(chunk.pieces), list(chunk.ids)
+    words, texts = np.concatenate(chunk.words), list(chunk.ids)
     yield 0, [b""], np.array([len(words)])
-    single = np.concatenate(chunk.keys)
+    single, joined = chunk.taken()
     name = np.where(member(wanted, single), words, -1)  # number of the phrase that starts here, or -1
     counts = np.bincount(name[name >= 0], minlength=1)
     some = np.flatnonzero(counts)
@@ -160,7 +173,7 @@ def texts_of(chunk: Chunk, wanted: np.ndarray, longest: int) -> Iterator[tuple[i
     for k in range(2, longest + 1):
         fits = (name[:-1] >= 0) & (name[1:] >= 0)
         if k == 2:
-            fits &= piece[:-1] == piece[1:]
+            fits &= joined
         keys = longer(keys[:-1], single[k - 1:])
         at = np.flatnonzero(fits)
         at = at[member(wanted, keys[at])]
@@ -173,15 +186,27 @@ def texts_of(chunk: Chunk, wanted: np.ndarray, longest: int) -> Iterator[tuple[i
         name[at] = inverse
 
 
+def stretches(batch: pa.RecordBatch) -> Iterator[tuple[str, bytes]]:
+    """(language, folded texts) of a batch, about ``SLICE`` bytes at a time: a batch may hold very long texts, it is not copied whole."""
+    alike: dict[str, list[bytes]] = {}
+    sizes: dict[str, int] = {}
+    for lang, text in zip(batch["lang"].to_pylist(), batch["text"]):
+        data = text.as_buffer().to_pybytes()
+        alike.setdefault(lang, []).append(data)
+        sizes[lang] = sizes.get(lang, 0) + len(data)
+        if sizes[lang] >= SLICE:
+            del sizes[lang]
+            yield lang, b"\n".join(alike.pop(lang)).translate(FOLD)
+    for lang, some in alike.items():
+        yield lang, b"\n".join(some).translate(FOLD)
+
+
 def chunks(batches: Iterator[pa.RecordBatch], texts: bool) -> Iterator[Chunk]:
     """The words of (lang, text), by language, about ``CHUNK`` at a time."""
     held, size = {}, 0
     for batch in batches:
-        alike: dict[str, list[bytes]] = {}
-        for lang, text in zip(batch["lang"].to_pylist(), batch["text"]):
-            alike.setdefault(lang, []).append(text.as_buffer().to_pybytes())
-        for lang, some in alike.items():
-            for part in slices(b"\n".join(some).translate(FOLD)):
+        for lang, data in stretches(batch):
+            for part in slices(data):
                 chunk = held.get(lang) or held.setdefault(lang, Chunk(lang, texts))
                 size -= chunk.size
                 chunk.add(part)
