@@ -8,6 +8,7 @@ fewest estimated candidates for each fingerprint. Candidates are met by partitio
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Callable, Iterator
 from itertools import combinations, repeat
@@ -15,7 +16,7 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dqlake.llm.common import release, stage, table
@@ -24,6 +25,8 @@ from dqlake.llm.graph import components
 COUNTED = 16  # bits of a partition that the candidate estimate looks at
 CELL = 4096  # index entries that a task holds at once
 PROBE = 32  # what sending a probe costs, in verified candidates
+SAMPLE = 20_000  # documents whose shingles are counted to tell frequent ones; any order of shingles gives the same links
+FREQUENT = 2**18  # shingles that are known to be frequent, at most
 C1, C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -56,11 +59,27 @@ def fingerprint(text: bytes, words: int, bits: int = 64, repeats: bool = True) -
     return np.packbits(2 * ones > n, bitorder="little").view("<u8").astype(">u8").tobytes()
 
 
-def fingerprints(docs: DataFrame, words: int = 3, bits: int = 64, repeats: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): one row per row of ``docs``; fp is binary, the highest bit of each 64 first."""
+def shingle_set(text: bytes, words: int) -> np.ndarray:
+    """The distinct hashes of a text's shingles in order, as ``fingerprint`` takes them; none for a text without words."""
+    tokens = text.lower().split()
+    if not tokens:
+        return np.empty(0, dtype=np.uint64)
+    shingles = map(b" ".join, zip(*(tokens[i:] for i in range(words)), strict=False)) if len(tokens) > words else [b" ".join(tokens)]
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(42)), dtype=np.uint64))
+
+
+def digest_of(shingles: np.ndarray) -> bytes:
+    return hashlib.md5(shingles.tobytes()).digest()
+
+
+def fingerprints(
+    docs: DataFrame, words: int = 3, bits: int = 64, repeats: bool = True, id_col: str = "doc_id", text_col: str = "text", digest: bool = False,
+) -> DataFrame:
+    """(doc_id, fp): one row per row of ``docs``; fp is binary, the highest bit of each 64 first; ``digest`` appends that of the set of shingles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint(t.as_buffer().to_pybytes() if t.is_valid else b"", words, bits, repeats) for t in batch.column(1)]
+            texts = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in batch.column(1)]
+            fps = [fingerprint(t, words, bits, repeats) + (digest_of(shingle_set(t, words)) if digest else b"") for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.binary())], ["doc_id", "fp"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
@@ -321,13 +340,14 @@ def links(fps: DataFrame, bits: int, parts: int, units: int, distance: int, most
     return out
 
 
-def grouped(rows: DataFrame, find: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def grouped(rows: DataFrame, find: Callable[[DataFrame], DataFrame], spare: Column | None = None) -> DataFrame:
     """(doc_id, fp, component_id) of stored fingerprints; ``find`` links distinct ones.
 
     Copies and all others with one fingerprint are a single node of the graph, so groups of copies of any size cost nothing.
+    ``spare`` names the nodes of which no row has an id.
     """
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    nodes = stage(nodes.withColumn("node", F.coalesce("least", F.xxhash64("fp"))), "nodes")
+    nodes = stage(nodes.withColumn("node", F.coalesce("least", F.xxhash64("fp") if spare is None else spare)), "nodes")
     found = find(nodes)
     tree = components(found).withColumnRenamed("node", "child")
     roots = stage(nodes.join(tree, nodes.node == tree.child, "left").select("fp", F.coalesce("component", "node").alias("root"), "least"), "roots")
@@ -357,37 +377,95 @@ def near_duplicates(docs: DataFrame, words: int = 3, distance: int = 3, id_col:
     return out.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
-def shingle_sets(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
+def texts_of(docs: DataFrame, nodes: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
+    """The columns of ``nodes`` and ``text``: the texts of the documents by node; rows without id have the digest's hash as node."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [digest_of(shingle_set(t.as_buffer().to_pybytes() if t.is_valid else b"", words)) for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["text", "digest"])
+
+    rows = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).cast("binary").alias("text"))
+    spare = rows.filter("node IS NULL").select("text").distinct().mapInArrow(run, "text binary, digest binary")
+    return rows.filter("node IS NOT NULL").union(spare.select(F.xxhash64("digest"), "text")).join(nodes, "node").select(*nodes.columns, "text")
+
+
+def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
     """(node, shingles): the sorted 64-bit hashes of each text's distinct shingles, as ``fingerprint`` takes them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = []
-            for text in batch.column(1):
-                tokens = text.as_buffer().to_pybytes().lower().split() if text.is_valid else []
-                shingles = map(b" ".join, zip(*(tokens[i:] for i in range(words)), strict=False)) if len(tokens) > words else [b" ".join(tokens)] if tokens else []
-                sets.append(np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(42)), dtype=np.uint64)).view(np.int64))
+            sets = [shingle_set(t.as_buffer().to_pybytes() if t.is_valid else b"", words).view(np.int64) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, "node long, shingles array<long>")
+    return texts.select("node", "text").mapInArrow(run, "node long, shingles array<long>")
 
 
 def similar_links(found: DataFrame, docs: DataFrame, words: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
-    """The links (a, b) whose texts' sets of shingles have a Jaccard similarity of ``similarity`` or more, by the sets themselves.
-
-    A node without a document of its id (the fingerprint of rows without id) keeps its links.
-    """
-    ends = stage(found.select(F.explode(F.array("a", "b")).alias("end")).distinct(), "link-ends")
-    some = docs.join(ends, F.col(id_col).cast("long") == F.col("end"), "left_semi")
-    sets = stage(shingle_sets(some, words, id_col, text_col), "link-sets")
-    pairs = found.distinct().join(sets.toDF("a", "left"), "a", "left").join(sets.toDF("b", "right"), "b", "left")
+    """The links (a, b) whose texts' sets of shingles have a Jaccard similarity of ``similarity`` or more, by the sets themselves."""
+    ends = stage(found.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "link-ends")
+    sets = stage(shingle_sets(texts_of(docs, ends, words, id_col, text_col), words), "link-sets")
+    pairs = found.distinct().join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b")
     both = F.size(F.array_intersect("left", "right"))
     alike = both >= similarity * (F.size("left") + F.size("right") - both) - 1e-9
-    out = stage(pairs.filter(F.col("left").isNull() | F.col("right").isNull() | alike).select("a", "b").distinct(), "similar-links")
+    out = stage(pairs.filter(alike).select("a", "b").distinct(), "similar-links")
     release(ends, sets, found)
     return out
 
 
+def prefixes(words: int, similarity: float, frequent: np.ndarray, often: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Texts to rows of their sets' prefixes: the shingles that come first when rare ones precede frequent ones.
+
+    Two sets of the similarity share a shingle among the first n - ceil(similarity * n) + 1 of either, whatever the order is.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                tokens, sizes = [np.empty(0, np.uint64)], []
+                for text in part.column(2):
+                    found = shingle_set(text.as_buffer().to_pybytes() if text.is_valid else b"", words)
+                    sizes.append(len(found))
+                    if len(frequent):
+                        place = np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)
+                        found = found[np.argsort(np.where(frequent[place] == found, often[place], 0), kind="stable")]
+                    tokens.append(found[:len(found) - math.ceil(similarity * len(found) - 1e-9) + 1])
+                kept = np.array([len(t) for t in tokens[1:]], dtype=np.int64)
+                of = np.repeat(np.arange(len(kept)), kept)
+                place = np.arange(len(of)) - np.repeat(np.cumsum(kept) - kept, kept)
+                columns = [pa.array(np.concatenate(tokens).view(np.int64)), part.column(0).take(pa.array(of)), part.column(1).take(pa.array(of))]
+                rest = [pa.array(v.astype(np.int32)) for v in (np.array(sizes, dtype=np.int64)[of], place)]
+                yield pa.RecordBatch.from_arrays(columns + rest, ["token", "node", "component", "size", "place"])
+    return run
+
+
+def remaining_links(nodes: DataFrame, linked: DataFrame, docs: DataFrame, words: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
+    """(a, b): every link of the similarity between ``nodes`` that ``linked`` leaves in different components, by prefix filtering.
+
+    Shingles are ordered by their counts in a sample of at most about ``SAMPLE`` nodes. Nodes that share a shingle of their prefixes
+    are candidates when the sets' sizes and the shingle's places leave room for the overlap; the sets themselves decide.
+    """
+    tree = components(linked).withColumnRenamed("node", "child")
+    named = nodes.select("node").distinct().join(tree, F.col("node") == F.col("child"), "left").select("node", F.coalesce("component", "node").alias("component"))
+    named = stage(named, "node-components")
+    every = max(1, math.ceil(named.count() / SAMPLE))
+    sample = texts_of(docs, named.filter(F.pmod(F.xxhash64("node"), F.lit(every)) == 0), words, id_col, text_col)
+    counted = shingle_sets(sample, words).select(F.explode("shingles").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    seen = counted.filter("n > 2").orderBy(F.col("n").desc(), "token").limit(FREQUENT).toArrow()
+    token, n = seen["token"].to_numpy().view(np.uint64), seen["n"].to_numpy()
+    order = np.argsort(token)
+    rows = texts_of(docs, named, words, id_col, text_col).select("node", "component", "text")
+    rows = stage(rows.mapInArrow(prefixes(words, similarity, token[order], n[order]), "token long, node long, component long, size int, place int"), "prefixes")
+    mixed = rows.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("token")
+    met = stage(rows.join(mixed, "token", "left_semi").distinct(), "shared-prefixes")
+    a, b = met.alias("a"), met.alias("b")
+    need = (F.col("a.size") + F.col("b.size")) * (similarity / (1 + similarity)) - 1e-6
+    room = F.least(F.col("a.size") - F.col("a.place"), F.col("b.size") - F.col("b.place")) >= need
+    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component")) & room)
+    found = stage(pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct(), "prefix-pairs")
+    out = similar_links(found, docs, words, similarity, id_col, text_col)
+    release(named, rows, met)
+    return out
+
+
 def similar_documents(
     docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", width: int = 14, missed: float = 0.02,
 ) -> DataFrame:
@@ -397,18 +475,25 @@ def similar_documents(
     share is too large for a guarantee at a bearable number of candidates. Fingerprints are made long enough, and partitions of
     ``width`` bits many enough, that a pair at the very threshold agrees in one but for a share ``missed``; candidates lie up to
     two standard deviations above the expected distance. What they link is then compared by the sets themselves, so nothing less
-    similar is linked, but for equal fingerprints. None of this depends on the number of documents. Rows as in ``near_duplicates``.
+    similar is linked. The links that this misses between different components are found by ``remaining_links``, so none is lost
+    (but for equal 64-bit hashes of different shingles). Documents of one set of shingles are one node. Rows as in ``near_duplicates``.
     """
     share = math.acos(2 * similarity / (1 + similarity)) / math.pi
     bits = 64 * math.ceil(math.log(missed) / math.log(1 - (1 - share) ** width) * width / 64)
     parts = bits // width
     distance = round(share * bits + 2 * math.sqrt(share * (1 - share) * bits))
-    rows = stage(fingerprints(docs, words, bits, False, id_col, text_col), "fingerprints")
+    rows = stage(fingerprints(docs, words, bits, False, id_col, text_col, True), "fingerprints")
 
     def find(nodes: DataFrame) -> DataFrame:
-        return similar_links(links(nodes, bits, parts, parts, distance, 1), docs, words, similarity, id_col, text_col)
-
-    return grouped(rows, find).select("doc_id", "component_id")
+        fps = nodes.select("node", F.substring("fp", 1, bits // 8).alias("fp"))
+        near = similar_links(links(fps, bits, parts, parts, distance, 1), docs, words, similarity, id_col, text_col)
+        rest = remaining_links(nodes, near, docs, words, similarity, id_col, text_col)
+        out = stage(near.union(rest), "all-links")
+        release(near, rest)
+        return out
+
+    spare = F.xxhash64(F.substring("fp", bits // 8 + 1, 16))
+    return grouped(rows, find, spare).select("doc_id", "component_id")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -439,6 +439,39 @@ def test_near_copies_are_linked_at_the_stated_similarity_and_not_below(spark):
     assert 180 / 224 > 0.8 > 170 / 228 and found["above"] >= 76 and found["below"] == found["far"] == 0
 
 
+def test_no_link_of_the_stated_similarity_is_lost(spark):
+    """Short texts with noisy fingerprints, chains of variants, rows without id, against all pairs."""
+    r, rows = np.random.default_rng(5), []
+    for family in range(60):
+        n = int(r.integers(6, 60))
+        base = [f"w{family % 50}_{k}" for k in range(n)]
+        for _ in range(6):
+            text = list(base)
+            for _ in range(int(r.integers(0, 3))):
+                at = int(r.integers(0, 3)) if r.random() < 0.5 else int(r.integers(n - 3, n))
+                text[at] = f"x{r.integers(0, 4)}"
+            rows.append((len(rows) if r.random() < 0.95 else None, " ".join(text + ["a common ending of many texts"] * (family % 2))))
+    sets = [simhash.shingle_set(t.encode(), 5) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(np.intersect1d(a, sets[j]))
+            if both >= 0.8 * (len(a) + len(sets[j]) - both) - 1e-9:
+                root[top(i)] = top(j)
+    least = {}
+    for i, (name, _) in enumerate(rows):
+        least[top(i)] = min((x for x in (least.get(top(i)), name) if x is not None), default=None)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((x.doc_id, x.component_id) for x in simhash.similar_documents(df).collect())
+    assert got == Counter((name, least[top(i)]) for i, (name, _) in enumerate(rows))
+
+
 def test_the_sample_is_drawn_among_documents_that_fit(spark):
     from dqlake.llm.labelled import labelled_sample
 
