@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, functions as F
 
 FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")
+STANDARD = "yyyy-MM-dd HH:mm:ss"
 PARTS = {"yyyy": 4, "MM": 2, "dd": 2, "HH": 2, "mm": 2, "ss": 2}  # with their digits
 
 
@@ -24,6 +25,10 @@ def _iso(c: Column, fmt: str) -> Column:
     pieces = re.split("(" + "|".join(PARTS) + ")", fmt)
     order = [p for p in pieces if p in PARTS]
     shape = "^" + "".join(f"([0-9]{{{PARTS[p]}}})" if p in PARTS else re.escape(p) for p in pieces) + "$"
+    if STANDARD.startswith(fmt):  # what is missing is put where the shape ends; nothing has to be replaced
+        rest = re.sub("[A-Za-z]", "0", STANDARD[len(fmt):])
+        whole = F.concat(F.substring(c, 1, len(fmt)), F.lit(rest), c.substr(F.lit(len(fmt) + 1), F.length(c))) if rest else c
+        return F.when(c.rlike(shape), whole)
     at = {p: f"${order.index(p) + 1}" if p in order else "00" for p in PARTS}
     standard = f"{at['yyyy']}-{at['MM']}-{at['dd']} {at['HH']}:{at['mm']}:{at['ss']}"
     return F.when(c.rlike(shape), F.regexp_replace(c, shape, standard))

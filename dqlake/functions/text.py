@@ -32,8 +32,12 @@ TRUE_TEXTS = ["true", "1", "yes"]
 
 
 def strip(c: Column) -> Column:
-    """Remove white space at both ends. Plain ``trim`` removes only blanks."""
-    return F.btrim(c, F.lit(WHITESPACE))
+    """Remove white space at both ends. Plain ``trim`` removes only blanks.
+
+    A text that begins and ends with a visible ASCII character stays as it is, which is cheaper to see than to strip.
+    """
+    bare = F.ascii(c).between(33, 126) & F.ascii(F.substring(c, -1, 1)).between(33, 126)
+    return F.when(bare, c).otherwise(F.btrim(c, F.lit(WHITESPACE)))
 
 
 def title(c: Column) -> Column:

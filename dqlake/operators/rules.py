@@ -160,6 +160,27 @@ def failing_keys(rows: DataFrame, keyed: dict[str, Check], parents: dict[str, Da
     return out.where(failed).select(*keys, *keyed)
 
 
+def stored_failing_keys(rows: DataFrame, keyed: dict[str, Check], parents: dict[str, DataFrame] | None) -> DataFrame:
+    """What ``failing_keys`` gives, with the failing values of each key column written first.
+
+    Every column is counted on its own, so a foreign key moves as often as it has values. The values that fail are as a rule few; Spark knows
+    their size and marks the tuples where they are read.
+    """
+    keys = list(dict.fromkeys(c.column for c in keyed.values()))
+    out = with_row_id(rows).select(*keys, ROW_ID)
+    failed = F.lit(False)
+    for flag, check in keyed.items():
+        key = [check.column]
+        if check.kind == "unique":
+            bad = repeated_keys(rows, key).select(*key)
+        else:
+            held = rows.select(*key).where(F.col(check.column).isNotNull()).distinct()
+            bad = held.join(parents[check.parent].toDF(*key), key, "left_anti")
+        out = mark_members(out, stage(bad, "failing-values"), key, flag)
+        failed = failed | F.col(flag)
+    return out.where(failed).select(*keys, *keyed).distinct()
+
+
 def mark_failing(rows: DataFrame, failing: DataFrame, keyed: dict[str, Check]) -> DataFrame:
     """Add the flags of ``failing_keys`` to whole rows (with a row id), which move at most once, and not at all when few keys fail."""
     keys = [c for c in failing.columns if c not in keyed]
@@ -207,8 +228,8 @@ def flag_rows(
     out = with_row_id(rows).withColumns(simple)
     if not keyed:
         return out
-    failing = failing_keys(rows, keyed, parents)
-    return mark_failing(out, stage(failing, "failing") if store else failing, keyed)
+    failing = stage(stored_failing_keys(rows, keyed, parents), "failing") if store else failing_keys(rows, keyed, parents)
+    return mark_failing(out, failing, keyed)
 
 
 def valid_keys(rows: DataFrame, checks: Sequence[Check], key: str) -> DataFrame:

@@ -19,6 +19,11 @@ def test_strip_follows_text_strip(spark):
     assert values(spark, texts, X.strip) == [t if t is None else t.strip() for t in texts]
 
 
+def test_strip_sees_both_ends(spark):
+    texts = ["a", "a ", " a", "a\u2003", "\u00e9 ", " \u00e9", "a\u00e9", "\u00e9a", "~!", "\x7f", "x\x1f"]
+    assert values(spark, texts, X.strip) == [t.strip() for t in texts]
+
+
 def test_title_capitalises_after_any_non_letter(spark):
     texts = ["o'brien", "mary-jane SMITH", "3com", "customer#00a1b", "", None]
     assert values(spark, texts, X.title) == [t if t is None else t.title() for t in texts]

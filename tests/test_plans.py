@@ -2,7 +2,7 @@
 
 import pytest
 
-from dqlake.plans import marts, warehouse
+from dqlake.plans import lake, marts, warehouse
 from dqlake.plans.batch import flag_batch
 from workload.queries import queries
 from workload.raw import raw_tables
@@ -50,6 +50,12 @@ def test_whole_orders_move_at_most_once_to_be_checked(spark, name):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_publishing_does_not_compute_the_orders_twice_to_sample_them(spark):
+    orders = spark.range(9).selectExpr("cast(id % 2 as int) AS year", "1 AS month", "id")
+    text = plan(lake.by_date(orders))
+    assert "rangepartitioning" not in text and "REBALANCE" in text
+
+
 def test_masters_are_scanned_once_for_their_keys(spark):
     text = plan(flag_batch(raw_tables(spark, SF)).orders)
     assert text.count("/customer.parquet") == 1 and text.count("/part.parquet") == 1

@@ -1,11 +1,15 @@
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 from dqlake.operators import splits
+from dqlake.operators.keyed import ROW_ID
 from dqlake.operators.rules import (
     CHECKS, EMAIL_FORMAT, Check, any_failed, flag_name, flag_rows, joined_reasons, reasons,
 )
 from dqlake.plans.batch import flag_batch
+from dqlake.sources.staging import stage
 
 ORDER = "order_id customer_id product_id quantity unit_price discount_rate total_amount order_date order_status payment_method"
 
@@ -196,3 +200,16 @@ def test_no_zone_changes_a_time(spark, table):
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert got == ["2024-03-10 02:30:00", None, None, "2024-03-10 00:00:00", None]
+
+
+def test_stored_and_lazy_checks_of_keys_agree(spark):
+    """Nulls, copies and hot keys: the failing values of each column, found on their own, mark what the tuples mark."""
+    rows = [(f"o{i % 40}" if i % 7 else None, f"c{i % 5}" if i % 6 else None, "p1" if i % 3 else f"p{i}", i) for i in range(120)] * 2
+    rows += [(f"single{i}", "c1", "p1", i) for i in range(30)]
+    df = stage(spark.createDataFrame(rows, "order_id string, customer_id string, product_id string, v int"), "rows")
+    parents = {"customers": spark.createDataFrame([("c1",), ("c2",)], "k string"), "products": spark.createDataFrame([("p1",)], "k string")}
+    checks = [CHECKS["orders"][i] for i in (1, 6, 7)]
+    lazy, stored = (Counter(map(tuple, flag_rows(df, checks, parents, store=s).drop(ROW_ID).collect())) for s in (False, True))
+    copies = Counter(r[0] for r in rows)
+    good = [r for r in rows if (r[0] is None or copies[r[0]] == 1) and r[1] in ("c1", "c2") and r[2] == "p1"]
+    assert lazy == stored and Counter(r[:4] for r, n in stored.items() for _ in range(n) if not any(r[4:])) == Counter(good)
