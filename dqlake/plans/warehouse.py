@@ -218,18 +218,24 @@ def _publish_months(spark: SparkSession, layout: Layout, months: DataFrame, empt
     named.coalesce(1).write.mode("append").parquet(f"{layout.warehouse('fact_orders')}_months")
 
 
-def _check_keys(batch: DataFrame, held: DataFrame) -> None:
-    """Stop when two orders share a key: a hash of 60 bits makes that unlikely, not impossible."""
-    both = batch.select("order_key", "order_id").unionByName(held.select("order_key", "order_id"))
-    shared = both.groupBy("order_key").agg(F.min("order_id").alias("one"), F.max("order_id").alias("other")).where("one <> other").limit(1).collect()
+def _check_keys(pairs: DataFrame) -> None:
+    """Stop when two orders (one, other) share a key: a hash of 60 bits makes that unlikely, not impossible."""
+    shared = pairs.where("one <> other").limit(1).collect()
     if shared:
         raise ValueError(f"orders {shared[0]['one']!r} and {shared[0]['other']!r} have the same key")
 
 
+def _batch_keys(batch: DataFrame) -> DataFrame:
+    """Of the keys that occur more than once in a batch: the first and last order. Keys alone are counted."""
+    twice = batch.groupBy("order_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("order_key")
+    both = batch.select("order_key", "order_id").join(twice, "order_key", "left_semi")
+    return both.groupBy("order_key").agg(F.min("order_id").alias("one"), F.max("order_id").alias("other"))
+
+
 def _load_facts(spark: SparkSession, layout: Layout, run_id: str, at, full_refresh: bool) -> int:
     """Replace the batch's orders. Months that hold or held one of them are written anew, the others stay as they are.
 
-    The key of a fact is a hash of its order id, so no row of the history is read to number the batch. One semi join finds the
+    The key of a fact is a hash of its order id, so no row of the history is read to number the batch. One join finds the
     held orders by key; what they need later is their months. Nothing that readers see is changed before all is written.
     """
     current = fact_months(spark, layout)
@@ -239,12 +245,13 @@ def _load_facts(spark: SparkSession, layout: Layout, run_id: str, at, full_refre
     keyed = stage(_typed(batch, "fact_orders"), "fact_batch")
     target = facts_of(spark, layout, current)
     old_months = spark.createDataFrame([(m["year"], m["month"]) for m in current], "year int, month int")
+    _check_keys(_batch_keys(keyed))
     if full_refresh or not current:
-        _check_keys(keyed, keyed.limit(0))
         months, rewritten = stage(old_months.union(keyed.select(*PARTITION)).distinct(), "fact_months"), keyed
     else:
-        held = stage(target.select("order_key", "order_id", *PARTITION).join(keyed.select("order_key"), "order_key", "left_semi"), "fact_held")
-        _check_keys(keyed, held)
+        new = keyed.select("order_key", F.col("order_id").alias("new_id"))
+        held = stage(target.select("order_key", "order_id", *PARTITION).join(new, "order_key"), "fact_held")
+        _check_keys(held.select(F.least("order_id", "new_id").alias("one"), F.greatest("order_id", "new_id").alias("other")))
         months = stage(held.select(*PARTITION).union(keyed.select(*PARTITION)).distinct(), "fact_months")
         touched = target.join(F.broadcast(months) if months.count() <= MONTHS_SENT else months, PARTITION, "left_semi")
         rewritten = replace_by_key(touched.select(*keyed.columns), keyed, "order_id")
