@@ -130,8 +130,8 @@ def records_of(lines: DataFrame) -> DataFrame:
     stored = stage(lines.withColumn("n", F.monotonically_increasing_id()).select("path", "start", "n", "line").mapInArrow(follow, STORED), "csv-lines")
     ends = stored.groupBy("path", "start").agg(
         F.max("n").alias("last"), F.max("head0").alias("head0"), F.max("head1").alias("head1"),
-        F.max(F.struct("n", "out0", "out1")).alias("end"),
-    ).select("path", "start", F.col("end.out0").alias("end0"), F.col("end.out1").alias("end1"), "head0", "head1")
+        F.max(F.col("n") * 4 + F.col("out0").cast("int") * 2 + F.col("out1").cast("int")).alias("end"),  # one number: no sort to find it
+    ).select("path", "start", (F.col("end") % 4 >= 2).alias("end0"), (F.col("end") % 2 == 1).alias("end1"), "head0", "head1")
     settled = stage(ends.groupBy("path").applyInArrow(settle, SETTLED), "csv-splits")
     unclosed = [r[0] for r in settled.filter("unclosed").select("path").distinct().limit(10).collect()]
     if unclosed:
@@ -167,8 +167,8 @@ def csv_files(spark: SparkSession, path: str | list[str], multiline: bool | None
     records = None
     if multiline:
         records = stage(records_of(lines), "csv-records")
-        first = records.groupBy("path").agg(F.min(F.struct("start", "n")).alias("at")).select("path", "at.start", "at.n")
-        firsts = records.join(first, ["path", "start", "n"]).select("path", F.col("record").alias("header"))
+        first = records.where("start = 0").groupBy("path").agg(F.min("n").alias("n"))  # a file's first line begins its first split
+        firsts = records.where("start = 0").join(first, ["path", "n"]).select("path", F.col("record").alias("header"))
         records = records.select("path", "record")
     return CsvFiles(stage(firsts.select("path", "header", columns_of("header").alias("columns")), "csv-headers"), records)
 
