@@ -29,6 +29,7 @@ from dqlake.llm.common import release, stage, table
 BITS = 26  # the bitmap has two to the power of this many bits: 8 MB
 SAMPLE = 4  # one document in so many proposes
 CHUNK = 700_000  # words that a task counts at a time
+HELD = 500_000  # phrases whose texts and counts a task holds, over its chunks
 SLICE = 250_000  # bytes of text that are split at a time, up to the end of a piece
 COUNTED = "lang string, k int, phrase string, f long"
 KEYS = "k int, key long, f long"
@@ -235,21 +236,41 @@ def count_keys(docs: DataFrame, known: bytes, before: bytes | None, shortest: in
     return docs.mapInArrow(run, KEYS).groupBy("k", "key").agg(F.sum("f").alias("f"))
 
 
+def held_counts(held: dict[tuple[str, int], dict[bytes, int]]) -> Iterator[pa.RecordBatch]:
+    """(lang, k, phrase, f) of what a task holds, which it gives up."""
+    while held:
+        (lang, k), known = held.popitem()
+        phrases, counts = list(known), np.fromiter(known.values(), dtype=np.int64, count=len(known))
+        del known
+        for i in range(0, len(phrases), 50_000):
+            part = pa.array(phrases[i:i + 50_000], pa.binary()).cast(pa.string())
+            n = len(part)
+            columns = [pa.array([lang] * n, pa.string()), pa.array(np.full(n, k, dtype=np.int32)), part, pa.array(counts[i:i + n])]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "k", "phrase", "f"])
+
+
 def count_texts(docs: DataFrame, wanted: bytes, longest: int) -> DataFrame:
-    """(lang, k, phrase, f) over all of ``docs`` (lang, text); k = 0 counts all words."""
+    """(lang, k, phrase, f) over all of ``docs`` (lang, text); k = 0 counts all words.
+
+    A task adds up what its chunks hold before it passes it on: a phrase leaves once a task, or once in ``HELD`` distinct ones.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(sent.value, dtype=np.uint8)
+        held: dict[tuple[str, int], dict[bytes, int]] = {}
+        size = 0
         for chunk in chunks(batches, True):
             for k, phrases, counts in texts_of(chunk, bits, longest):
-                for i in range(0, len(phrases), 50_000):
-                    part = pa.array(phrases[i:i + 50_000], pa.binary()).cast(pa.string())
-                    n = len(part)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([chunk.lang] * n), pa.array(np.full(n, k, dtype=np.int32)), part, pa.array(counts[i:i + n].astype(np.int64))],
-                        names=["lang", "k", "phrase", "f"],
-                    )
+                if size + len(phrases) > HELD:
+                    yield from held_counts(held)
+                    held, size = {}, 0
+                known = held.setdefault((chunk.lang, k), {})
+                size -= len(known)
+                for phrase, n in zip(phrases, counts.tolist()):
+                    known[phrase] = known.get(phrase, 0) + n
+                size += len(known)
+        yield from held_counts(held)
 
     return docs.mapInArrow(run, COUNTED).groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f"))
 

@@ -4,8 +4,10 @@ import hashlib
 import zlib
 from collections import Counter
 from itertools import pairwise
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,6 +115,32 @@ def test_phrases_by_brute_force(spark, monkeypatch, bits, sample, chunk):
     assert phrases.collocations(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("held, once", [(10**6, True), (6, False)])
+def test_a_task_passes_a_phrase_on_once_for_all_its_chunks(monkeypatch, held, once):
+    """The rows of the pass over texts follow the distinct phrases of a task, not its chunks; beyond the limit they stay exact."""
+    monkeypatch.setattr(phrases, "CHUNK", 20)
+    monkeypatch.setattr(phrases, "HELD", held, raising=False)
+    sent = SimpleNamespace(value=b"\xff" * 64)
+    docs = SimpleNamespace(sparkSession=SimpleNamespace(sparkContext=SimpleNamespace(broadcast=lambda _: sent)), mapInArrow=lambda run, _: made.append(run) or docs)
+    docs.groupBy = lambda *_: SimpleNamespace(agg=lambda _: None)
+    made, texts = [], ["A b c. a b d", "a b c", "", "é a b c"]
+    monkeypatch.setattr(phrases.F, "sum", lambda _: SimpleNamespace(alias=lambda _: None))
+    phrases.count_texts(docs, sent.value, 5)
+    batch = pa.RecordBatch.from_pydict({"lang": ["en", "de", "en", "en"], "text": texts})
+    rows = [tuple(r.values()) for b in made[0](iter([batch] * 30)) for r in b.to_pylist()]
+    want = Counter()
+    for lang, pieces in [("en", ["a b c", "a b d"]), ("de", ["a b c"]), ("en", ["é a b c"])]:
+        for w in map(str.split, pieces):
+            want[lang, 0, ""] += 30 * len(w)
+            for k in range(1, 6):
+                for i in range(len(w) - k + 1):
+                    want[lang, k, " ".join(w[i:i + k])] += 30
+    got = Counter()
+    for lang, k, phrase, f in rows:
+        got[lang, k, phrase] += f
+    assert got == want and (len(rows) == len(want)) is once
+
+
 def test_phrases_that_share_a_key_are_counted_apart(spark, monkeypatch):
     """Keys that nearly all phrases share: only the texts tell them apart."""
     monkeypatch.setattr(phrases, "longer", lambda keys, last: (keys ^ last) & np.uint64(3))
