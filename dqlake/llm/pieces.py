@@ -17,6 +17,7 @@ import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -78,7 +79,7 @@ class Encoder:
         self.model, self.seed, self.variants = model, seed, variants
         self.skip_below = int(dropout * 2**28)
         self.ranks = {piece: -model.scores[i] for piece, i in model.ids.items()}  # lowest merges first
-        self.cost = np.array([*(-score for score in model.scores), NEVER])  # of a piece by id; the last for none
+        self.cost = np.array([*(-score for score in model.scores), NEVER], np.float32)  # of a piece by id, a float of the model; the last for none
         self.byte_ids = np.array(model.byte_ids, np.int32)
         tree: dict[int, int] = {}  # the pieces by their characters: node and character -> node
         ends = {}
@@ -166,7 +167,7 @@ class Encoder:
         return [e for e in end if e]
 
     def learn(self, units: list[str]) -> None:
-        """Keep the piece of every part of new units, by start, then end: its id, -1 for none, and -2 - c for a character c without.
+        """Keep the piece of every part of new units, by end, then start: its id, -1 for none, and -2 - c for a character c without.
 
         The parts that begin at a character are followed in the tree of pieces, those of all units together, as far as it goes.
         """
@@ -181,15 +182,16 @@ class Encoder:
         points = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).astype(np.int64)
         size = np.repeat(sizes, sizes)
         start = np.arange(len(points)) - np.repeat(np.cumsum(sizes) - sizes, sizes)  # of a character in its unit
-        at = np.repeat(tables, sizes) + start * (2 * size - start + 1) // 2  # of the part that is this character alone
-        live, node, depth = np.arange(len(points)), np.zeros(len(points), np.int64), 0
+        at = np.repeat(tables, sizes) + start * (start + 3) // 2  # of the part that is this character alone
+        live, node, depth, ends = np.arange(len(points)), np.zeros(len(points), np.int64), 0, at.copy()
         while len(live):
             step = node << 21 | points[live + depth]
             edge = np.minimum(np.searchsorted(self.edges, step), len(self.edges) - 1)
             there = self.edges[edge] == step
             live, node = live[there], self.children[edge[there]]
-            self.parts[at[live] + depth] = self.piece_at[node]
+            self.parts[ends[live]] = self.piece_at[node]
             depth += 1
+            ends[live] += start[live] + depth  # the same start, one character more
             more = start[live] + depth < size[live]
             live, node = live[more], node[more]
         alone = (self.parts[at] < 0) | (points == ord(SPACE))
@@ -201,10 +203,10 @@ class Encoder:
         The cheapest neighbours of an occurrence, the leftmost of equals, are merged, or skipped if the hash of its draw says so.
         """
         rows, width = len(tables), int(sizes.max())
+        ending = np.arange(width + 1) * np.arange(-1, width) // 2  # parts that end earlier
 
         def part(who: np.ndarray, left: np.ndarray, stop: np.ndarray) -> np.ndarray:
-            n = sizes[who]
-            return self.parts[tables[who] + left * (2 * n - left + 1) // 2 + stop - left - 1]
+            return self.parts[tables[who] + ending[stop] + left]
 
         def price(who: np.ndarray, left: np.ndarray, stop: np.ndarray) -> np.ndarray:
             return self.cost[np.maximum(part(who, left, stop), -1)]  # -1 is the last place, that of no piece
@@ -212,7 +214,7 @@ class Encoder:
         places = np.arange(width + 1)
         end = np.where(places < sizes[:, None], places + 1, 0)  # of the symbol that starts here; 0: none starts here
         start = np.broadcast_to(places - 1, (rows, width + 1)).copy()  # of the symbol that ends here
-        cost = np.full((rows, width), NEVER)  # of a symbol with its right neighbour
+        cost = np.full((rows, width), NEVER, np.float32)  # of a symbol with its right neighbour
         who, left = np.nonzero(places[:width] < sizes[:, None] - 1)
         cost[who, left] = price(who, left, left + 2)
         who = np.arange(rows)
@@ -254,7 +256,7 @@ class Encoder:
             self.forget()
         known = self.known
         sizes = np.fromiter(map(len, units), np.int64, len(units))
-        tables = np.array([known.get(unit, -1) for unit in units], dtype=np.int64)
+        tables = np.fromiter(map(known.get, units, repeat(-1)), np.int64, len(units))
         new = np.flatnonzero((tables < 0) & (sizes <= SHORT)).tolist()
         if new:
             self.learn(list(dict.fromkeys(units[i] for i in new)))

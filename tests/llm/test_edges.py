@@ -89,6 +89,21 @@ def plain_cut(model, unit, key, below):
     return out
 
 
+def test_the_parts_of_units_lie_by_end_then_start():
+    """A part's place needs no length of its unit; prices are the model's own floats."""
+    model = pieces.Model.load()
+    encoder = pieces.Encoder(model, 0.1, 7)
+    units = [" unbelievable", "a", " ", "é\u2581\x00x", " " * 40, "x" * 48]
+    encoder.learn(units)
+    for unit in units:
+        for stop in range(1, len(unit) + 1):
+            for left in range(stop):
+                part = unit[left:stop]
+                want = -2 - ord(part) if len(part) == 1 and (part not in model.ids or part == pieces.SPACE) else model.ids.get(part, -1)
+                assert encoder.parts[encoder.known[unit] + stop * (stop - 1) // 2 + left] == want
+    assert encoder.cost.dtype == np.float32 and all(encoder.cost[i] == -model.scores[i] for i in model.ids.values())
+
+
 def test_pieces_equal_the_plain_method_on_whole_documents(spark):
     rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
     model, below = pieces.Model.load(), int(0.1 * 2**28)
