@@ -36,8 +36,8 @@ NEVER = float("inf")
 KEPT = 16_000_000  # parts of units that a task remembers; past it they are looked up anew
 WIDTHS = (4, 6, 8, 12, 16, 24, 48)  # characters of the units whose agendas run side by side
 SHORT = WIDTHS[-1]
-BLOCK = 16_384  # units of a block
-GROUP = 65_536  # characters of neighbouring texts that are cut together
+BLOCK = 32_768  # units of a block
+GROUP = 262_144  # characters of neighbouring texts that are cut together
 
 
 @dataclass
