@@ -2,12 +2,15 @@
 
 A sample of the documents proposes the phrases that are probably frequent. A pass over everything then counts the proposed phrases
 and their negative border: the phrases that were not proposed although what is left of them without the last and without the first
-word was. Together these are all phrases with both such parts proposed, so a task decides by itself what to count. A border
-phrase that turns out frequent was missed by the sample: it joins the proposed ones, and another pass counts what that adds, until
-nothing is added. Every part of a frequent phrase is frequent, so then all frequent phrases have been counted.
+word was. Together these are all phrases with both such parts proposed, so a task decides by itself what to count.
 
-These passes count 64-bit keys of phrases, as nearly all of the border is rare and its texts are never needed. Two phrases that share
-a key can only make a rare one look frequent. A last pass therefore counts the texts of what was found, which makes every number exact.
+The proposed phrases are counted by their texts, which makes their numbers exact, and each task adds up its own first. The border is
+counted by 64-bit keys, as nearly all of it is rare and its texts are never needed. Two phrases that share a key can only make a rare
+one look frequent.
+
+A border phrase that turns out frequent was missed by the sample. Every part of a frequent phrase is frequent, so all that is missed
+holds such a border phrase. If there is one, a second pass counts the keys of all phrases around those, and a third one the texts of
+what that and the border found. Then all frequent phrases have been counted by their texts.
 
 Sets of phrases travel as bitmaps of a fixed size with two bits a phrase (Bloom filters), whatever their number. Bits that are set
 by chance only make tasks count more phrases than they must.
@@ -15,6 +18,7 @@ by chance only make tasks count more phrases than they must.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -33,6 +37,7 @@ HELD = 500_000  # phrases whose texts and counts a task holds, over its chunks
 SLICE = 250_000  # bytes of text that are split at a time, up to the end of a piece
 COUNTED = "lang string, k int, phrase string, f long"
 KEYS = "k int, key long, f long"
+BOTH = "lang string, k int, phrase string, key long, f long"
 MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0a\x0b\x0c\x0d\x09", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 10 + b" ")
 
@@ -71,8 +76,9 @@ def byte_values() -> np.ndarray:
     return np.random.default_rng(11).integers(0, 2**64, 256, dtype=np.uint64)
 
 
-def words_in(data: bytes, lang: str) -> tuple[np.ndarray, np.ndarray]:
-    """Of the words of a folded text (blanks are spaces, ends of pieces are line feeds): their keys, and the number of each one's piece.
+def words_in(data: bytes, lang: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the words of a folded text (blanks are spaces, ends of pieces are line feeds): their keys, the number of each one's piece,
+    where it starts and where it stops.
 
     A key is a polynomial in the word's bytes, a difference of two running sums, mixed with the language.
     """
@@ -87,18 +93,19 @@ def words_in(data: bytes, lang: str) -> tuple[np.ndarray, np.ndarray]:
     np.cumsum(byte_values()[raw] * up[:len(raw)], out=total[1:])
     keys = (total[stop] - total[start]) * down[start] ^ np.uint64(xxhash.xxh64_intdigest(lang.encode(), 42))
     keys = (keys ^ (keys >> np.uint64(32))) * MIX2
-    return keys ^ (keys >> np.uint64(29)), np.cumsum(ends, dtype=np.int64)[start]
+    return keys ^ (keys >> np.uint64(29)), np.cumsum(ends, dtype=np.int64)[start], start, stop
 
 
 class Chunk:
-    """Words of one language: their keys, the number of the piece each stands in and, if wanted, their numbers among distinct ones."""
+    """Words of one language: their keys, the number of the piece each stands in and, if wanted, their numbers among distinct ones
+    (``ids``) or where they stand in the folded text (``spans``)."""
 
-    def __init__(self, lang: str, texts: bool) -> None:
-        self.lang, self.texts, self.size, self.last = lang, texts, 0, 0
-        self.ids, self.words, self.keys, self.pieces = Ids(), [], [], []
+    def __init__(self, lang: str, more: str = "") -> None:
+        self.lang, self.more, self.size, self.last, self.length = lang, more, 0, 0, 0
+        self.ids, self.words, self.keys, self.pieces, self.data, self.spans = Ids(), [], [], [], [], []
 
     def add(self, data: bytes) -> None:
-        keys, piece = words_in(data, self.lang)
+        keys, piece, start, stop = words_in(data, self.lang)
         if not len(keys):
             return
         piece += self.last + 1
@@ -106,9 +113,12 @@ class Chunk:
         self.keys.append(keys)
         self.pieces.append(piece)
         self.size += len(keys)
-        if self.texts:
+        if self.more == "ids":
             self.words.append(np.fromiter(map(self.ids.__getitem__, data.split()), dtype=np.int64, count=len(keys)))
-
+        elif self.more == "spans":
+            self.spans.append(np.stack([start, stop]) + self.length)
+            self.data.append(data)
+            self.length += len(data)
 
     def taken(self) -> tuple[np.ndarray, np.ndarray]:
         """The keys, and whether each word and the next one stand in one piece. The chunk gives them up."""
@@ -143,7 +153,7 @@ def longer(keys: np.ndarray, last: np.ndarray) -> np.ndarray:
 
 def keys_of(chunk: Chunk, known: np.ndarray | None, before: np.ndarray | None, shortest: int, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(length, keys, counts) of a chunk: all words, and longer phrases with both parts in ``known``, if they were not counted when
-    the set was ``before``."""
+    the set was ``before``. With ``before``, parts that were not counted then do for longer ones too."""
     single, joined = chunk.taken()
     if shortest <= 1:
         yield 1, *counts_of(single.copy())
@@ -159,17 +169,23 @@ def keys_of(chunk: Chunk, known: np.ndarray | None, before: np.ndarray | None, s
         if k < longest:
             new, old, at = np.zeros(len(keys), dtype=bool), np.zeros(len(keys), dtype=bool), np.flatnonzero(counted)
             new[at], old[at] = member(known, keys[at]), earlier[at] & member(before, keys[at])
+            if before is not None:
+                new[at] |= ~earlier[at]
+
 
+def texts_of(chunk: Chunk, wanted: np.ndarray, longest: int) -> Iterator[tuple[int, list[bytes], np.ndarray, np.ndarray]]:
+    """(length, phrases, counts, keys) of a chunk, for the phrases in ``wanted`` whose parts are in it too, told apart by their words.
 
-def texts_of(chunk: Chunk, wanted: np.ndarray, longest: int) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
-    """(length, phrases, counts) of a chunk, for the phrases in ``wanted`` whose parts are in it too. Told apart by their words."""
+    The keys are those of their border, once an occurrence. Length 0 counts all words.
+    """
     words, texts = np.concatenate(chunk.words), list(chunk.ids)
-    yield 0, [b""], np.array([len(words)])
     single, joined = chunk.taken()
-    name = np.where(member(wanted, single), words, -1)  # number of the phrase that starts here, or -1
-    counts = np.bincount(name[name >= 0], minlength=1)
+    yield 0, [b""], np.array([len(words)]), single[:0]
+    fits = member(wanted, single)
+    name = np.where(fits, words, -1)  # number of the phrase that starts here, or -1
+    counts = np.bincount(words[fits], minlength=1)
     some = np.flatnonzero(counts)
-    yield 1, [texts[i] for i in some.tolist()], counts[some]
+    yield 1, [texts[i] for i in some.tolist()], counts[some], single[~fits]
     keys, spelled = single, texts
     for k in range(2, longest + 1):
         fits = (name[:-1] >= 0) & (name[1:] >= 0)
@@ -177,16 +193,36 @@ def texts_of(chunk: Chunk, wanted: np.ndarray, longest: int) -> Iterator[tuple[i
             fits &= joined
         keys = longer(keys[:-1], single[k - 1:])
         at = np.flatnonzero(fits)
-        at = at[member(wanted, keys[at])]
+        inside = member(wanted, keys[at])
+        at, border = at[inside], keys[at[~inside]]
+        found, inverse, counts = np.unique(name[at] * len(texts) + words[at + k - 1], return_inverse=True, return_counts=True)
+        spelled = [spelled[a] + b" " + texts[b] for a, b in zip((found // len(texts)).tolist(), (found % len(texts)).tolist())]
+        yield k, spelled, counts, border
         if not len(at):
             return
-        found, first, inverse, counts = np.unique(name[at] * len(texts) + words[at + k - 1], return_index=True, return_inverse=True, return_counts=True)
-        spelled = [spelled[a] + b" " + texts[b] for a, b in zip((found // len(texts)).tolist(), (found % len(texts)).tolist())]
-        yield k, spelled, counts
         name = np.full(len(fits), -1, dtype=np.int64)
         name[at] = inverse
 
 
+def missed_of(chunk: Chunk, wanted: np.ndarray, done: np.ndarray | None, longest: int) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
+    """(length, phrases, counts) of a chunk, for the phrases in ``wanted`` whose parts are in it too, unless they and their parts are
+    in ``done``. Their texts are cut out one by one, as most are expected in ``done``."""
+    single, joined = chunk.taken()
+    data, (start, stop) = b"".join(chunk.data), np.concatenate(chunk.spans, axis=1)
+    keys, new, old = single, member(wanted, single), member(done, single)
+    for k in range(1, longest + 1):
+        if k > 1:
+            at, earlier = np.flatnonzero(new[:-1] & new[1:] & joined[:len(new) - 1]), old[:-1] & old[1:]
+            if not len(at):
+                return
+            keys = longer(keys[:-1], single[k - 1:])
+            new, old = np.zeros(len(keys), dtype=bool), np.zeros(len(keys), dtype=bool)
+            new[at], old[at] = member(wanted, keys[at]), earlier[at] & member(done, keys[at])
+        fresh = np.flatnonzero(new & ~old)
+        counts = Counter(b" ".join(data[a:b].split()) for a, b in zip(start[fresh].tolist(), stop[fresh + k - 1].tolist()))
+        yield k, list(counts), np.fromiter(counts.values(), dtype=np.int64, count=len(counts))
+
+
 def stretches(batch: pa.RecordBatch) -> Iterator[tuple[str, bytes]]:
     """(language, folded texts) of a batch, about ``SLICE`` bytes at a time: a batch may hold very long texts, it is not copied whole."""
     alike: dict[str, list[bytes]] = {}
@@ -202,13 +238,13 @@ def stretches(batch: pa.RecordBatch) -> Iterator[tuple[str, bytes]]:
         yield lang, b"\n".join(some).translate(FOLD)
 
 
-def chunks(batches: Iterator[pa.RecordBatch], texts: bool) -> Iterator[Chunk]:
+def chunks(batches: Iterator[pa.RecordBatch], more: str = "") -> Iterator[Chunk]:
     """The words of (lang, text), by language, about ``CHUNK`` at a time."""
     held, size = {}, 0
     for batch in batches:
         for lang, data in stretches(batch):
             for part in slices(data):
-                chunk = held.get(lang) or held.setdefault(lang, Chunk(lang, texts))
+                chunk = held.get(lang) or held.setdefault(lang, Chunk(lang, more))
                 size -= chunk.size
                 chunk.add(part)
                 size += chunk.size
@@ -220,59 +256,98 @@ def chunks(batches: Iterator[pa.RecordBatch], texts: bool) -> Iterator[Chunk]:
     yield from held.values()
 
 
+def key_rows(k: int, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(k, key, f)."""
+    for i in range(0, len(keys), 100_000):
+        part = keys[i:i + 100_000].view(np.int64)
+        columns = [np.full(len(part), k, dtype=np.int32), part, counts[i:i + len(part)].astype(np.int64)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["k", "key", "f"])
+
+
 def count_keys(docs: DataFrame, known: bytes, before: bytes | None, shortest: int, longest: int) -> DataFrame:
     """(k, key, f) over all of ``docs`` (lang, text)."""
     sent = docs.sparkSession.sparkContext.broadcast((known, before))  # two bitmaps of a fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = [None if b is None else np.frombuffer(b, dtype=np.uint8) for b in sent.value]
-        for chunk in chunks(batches, False):
+        for chunk in chunks(batches):
             for k, keys, counts in keys_of(chunk, *bits, shortest, longest):
-                for i in range(0, len(keys), 100_000):
-                    part = keys[i:i + 100_000].view(np.int64)
-                    columns = [np.full(len(part), k, dtype=np.int32), part, counts[i:i + len(part)].astype(np.int64)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["k", "key", "f"])
+                yield from key_rows(k, keys, counts)
 
     return docs.mapInArrow(run, KEYS).groupBy("k", "key").agg(F.sum("f").alias("f"))
 
 
-def held_counts(held: dict[tuple[str, int], dict[bytes, int]]) -> Iterator[pa.RecordBatch]:
-    """(lang, k, phrase, f) of what a task holds, which it gives up."""
-    while held:
-        (lang, k), known = held.popitem()
-        phrases, counts = list(known), np.fromiter(known.values(), dtype=np.int64, count=len(known))
-        del known
-        for i in range(0, len(phrases), 50_000):
-            part = pa.array(phrases[i:i + 50_000], pa.binary()).cast(pa.string())
-            n = len(part)
-            columns = [pa.array([lang] * n, pa.string()), pa.array(np.full(n, k, dtype=np.int32)), part, pa.array(counts[i:i + n])]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", "k", "phrase", "f"])
+class Held:
+    """Texts and counts of phrases that a task has not passed on yet: a phrase leaves once a task, or once in ``HELD`` distinct ones."""
+
+    def __init__(self) -> None:
+        self.counts: dict[tuple[str, int], dict[bytes, int]] = {}
+        self.size = 0
+
+    def add(self, lang: str, k: int, phrases: list[bytes], counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Take them in; returned is what had to leave before."""
+        if self.size + len(phrases) > HELD:
+            yield from self.left()
+        known = self.counts.setdefault((lang, k), {})
+        self.size -= len(known)
+        for phrase, n in zip(phrases, counts.tolist()):
+            known[phrase] = known.get(phrase, 0) + n
+        self.size += len(known)
+
+    def left(self) -> Iterator[pa.RecordBatch]:
+        """(lang, k, phrase, f) of all, which are given up."""
+        self.size = 0
+        while self.counts:
+            (lang, k), known = self.counts.popitem()
+            phrases, counts = list(known), np.fromiter(known.values(), dtype=np.int64, count=len(known))
+            del known
+            for i in range(0, len(phrases), 50_000):
+                part = pa.array(phrases[i:i + 50_000], pa.binary()).cast(pa.string())
+                n = len(part)
+                columns = [pa.array([lang] * n, pa.string()), pa.array(np.full(n, k, dtype=np.int32)), part, pa.array(counts[i:i + n])]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "k", "phrase", "f"])
+
+
+def count_texts(docs: DataFrame, wanted: bytes, longest: int, done: bytes | None = None) -> DataFrame:
+    """(lang, k, phrase, f) over all of ``docs`` (lang, text) of what is in ``wanted`` and not in ``done``; without ``done``, k = 0
+    counts all words."""
+    spark = docs.sparkSession.sparkContext
+    sent, left_out = spark.broadcast(wanted), None if done is None else spark.broadcast(done)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = [None if b is None else np.frombuffer(b.value, dtype=np.uint8) for b in (sent, left_out)]
+        held = Held()
+        for chunk in chunks(batches, "spans"):
+            if left_out is None:
+                yield from held.add(chunk.lang, 0, [b""], np.array([chunk.size]))
+            for k, phrases, counts in missed_of(chunk, *bits, longest):
+                yield from held.add(chunk.lang, k, phrases, counts)
+        yield from held.left()
 
-def count_texts(docs: DataFrame, wanted: bytes, longest: int) -> DataFrame:
-    """(lang, k, phrase, f) over all of ``docs`` (lang, text); k = 0 counts all words.
+    return docs.mapInArrow(run, COUNTED).groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f"))
 
-    A task adds up what its chunks hold before it passes it on: a phrase leaves once a task, or once in ``HELD`` distinct ones.
-    """
-    sent = docs.sparkSession.sparkContext.broadcast(wanted)
+
+def wide(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The batch with the columns of ``BOTH``, null where it has none."""
+    types = {"lang": pa.string(), "k": pa.int32(), "phrase": pa.string(), "key": pa.int64(), "f": pa.int64()}
+    have = dict(zip(batch.schema.names, batch.columns))
+    return pa.RecordBatch.from_arrays([have[c] if c in have else pa.nulls(batch.num_rows, t) for c, t in types.items()], names=list(types))
+
+
+def count_proposed(docs: DataFrame, known: bytes, longest: int) -> DataFrame:
+    """(lang, k, phrase, key, f) over all of ``docs`` (lang, text): the phrases in ``known`` by their texts, without a key, and their
+    border by keys, without a language and a text; k = 0 counts all words."""
+    sent = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(sent.value, dtype=np.uint8)
-        held: dict[tuple[str, int], dict[bytes, int]] = {}
-        size = 0
-        for chunk in chunks(batches, True):
-            for k, phrases, counts in texts_of(chunk, bits, longest):
-                if size + len(phrases) > HELD:
-                    yield from held_counts(held)
-                    held, size = {}, 0
-                known = held.setdefault((chunk.lang, k), {})
-                size -= len(known)
-                for phrase, n in zip(phrases, counts.tolist()):
-                    known[phrase] = known.get(phrase, 0) + n
-                size += len(known)
-        yield from held_counts(held)
+        bits, held = np.frombuffer(sent.value, dtype=np.uint8), Held()
+        for chunk in chunks(batches, "ids"):
+            for k, phrases, counts, border in texts_of(chunk, bits, longest):
+                yield from map(wide, held.add(chunk.lang, k, phrases, counts))
+                yield from map(wide, key_rows(k, *counts_of(border)))
+        yield from map(wide, held.left())
 
-    return docs.mapInArrow(run, COUNTED).groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f"))
+    return docs.mapInArrow(run, BOTH).groupBy("lang", "k", "phrase", "key").agg(F.sum("f").alias("f"))
 
 
 def bitmap(keys: DataFrame, bits: int, earlier: bytes | None = None) -> bytes:
@@ -289,25 +364,26 @@ def bitmap(keys: DataFrame, bits: int, earlier: bytes | None = None) -> bytes:
     return out.tobytes()
 
 
-def frequent_phrases(docs: DataFrame, min_count: int, longest: int, sample: int = SAMPLE, bits: int = BITS) -> tuple[DataFrame, DataFrame, int]:
-    """((lang, k, phrase, f) of all phrases with f >= min_count, (lang, n), passes until closed) of ``docs`` (lang, text)."""
+def frequent_phrases(docs: DataFrame, min_count: int, longest: int, sample: int = SAMPLE, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
+    """((lang, k, phrase, f) of all phrases with f >= min_count, (lang, n)) of ``docs`` (lang, text)."""
     fewer = max(2, 4 * min_count // (10 * sample))  # wanted in the sample: well below the share that is expected there
     # Row by row: copies of a text are drawn independently, or a phrase of one large group of copies would be missed.
     drawn = stage(docs.filter(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(sample)) == 0), "phrases-sample")
-    known = bytes(2**bits // 8)
-    for k in range(1, longest):
-        proposed = stage(count_keys(drawn, known, None, k, k).filter((F.col("k") == k) & (F.col("f") >= fewer)).select("key"), "phrases-proposed")
-        known = bitmap(proposed, bits, known)
-        release(proposed)
+    proposed = bytes(2**bits // 8)
+    for k in range(1, longest + 1):
+        likely = stage(count_keys(drawn, proposed, None, k, k).filter((F.col("k") == k) & (F.col("f") >= fewer)).select("key"), "phrases-proposed")
+        proposed = bitmap(likely, bits, proposed)
+        release(likely)
     release(drawn)
-    before, wanted, passes = None, None, 0
-    while before != known:
-        found = stage(count_keys(docs, known, before, 1 if before is None else 2, longest).filter(F.col("f") >= min_count).select("k", "key"), "phrases-found")
-        before, known, passes = known, bitmap(found.filter(F.col("k") < longest), bits, known), passes + 1
-        wanted = bitmap(found, bits, wanted)
+    enough = F.col("f") >= min_count
+    counted = stage(count_proposed(docs, proposed, longest).filter(enough | (F.col("k") == 0)), "phrases-counted")
+    texts, known = counted.filter("key is null").drop("key"), bitmap(counted.filter("key is not null"), bits, proposed)
+    if known != proposed:
+        found = stage(count_keys(docs, known, proposed, 2, longest).filter(enough).select("key"), "phrases-found")
+        wanted = bitmap(found, bits, known)
         release(found)
-    counted = stage(count_texts(docs, wanted, longest).filter((F.col("f") >= min_count) | (F.col("k") == 0)), "phrases-counted")
-    return counted.filter((F.col("k") > 0) & (F.col("f") >= min_count)), counted.filter("k = 0").select("lang", F.col("f").alias("n")), passes
+        texts = texts.unionByName(stage(count_texts(docs, wanted, longest, proposed).filter(enough), "phrases-missed"))
+    return texts.filter((F.col("k") > 0) & enough), texts.filter("k = 0").select("lang", F.col("f").alias("n"))
 
 
 def words_of(phrase: Column) -> Column:
@@ -330,7 +406,7 @@ def collocations(
     as often as they stand. Texts without words add nothing; an empty table gives an empty table. Other columns are ignored.
     """
     texts = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    found, totals, _ = frequent_phrases(texts, min_count, longest, sample, bits)
+    found, totals = frequent_phrases(texts, min_count, longest, sample, bits)
     candidates = found.filter("k >= 2")
     cuts = candidates.withColumn("cut", F.explode(F.sequence(F.lit(1), F.col("k") - 1)))
     cuts = cuts.select("*", part(F.col("phrase"), F.lit(1), F.col("cut")).alias("head"), part(F.col("phrase"), F.col("cut") + 1, F.col("k") - F.col("cut")).alias("tail"))

@@ -141,6 +141,23 @@ def test_a_task_passes_a_phrase_on_once_for_all_its_chunks(monkeypatch, held, on
     assert got == want and (len(rows) == len(want)) is once
 
 
+def test_the_pass_over_texts_makes_rows_for_what_the_sample_missed_only(spark, monkeypatch):
+    """Proposed phrases get their texts in the pass that counts them; a word in few rows is missed, with all that holds it."""
+    passes, count_texts = [], phrases.count_texts
+    monkeypatch.setattr(phrases, "count_texts", lambda *x: passes.append(count_texts(*x)) or passes[-1])
+    rows = [("en", f"a b c a b c d e f{i % 7}") for i in range(400)] + [("en", "b c " + "odd one a b c d, " * 8)]
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    want = brute_phrases(rows, 8)
+    for sample in (1, 10**6):
+        got = {tuple(x) for x in phrases.collocations(df, min_count=8, sample=sample).collect()}
+        assert got == want and any("odd" in x[2] for x in got)
+    assert len(passes) == 1 and passes[0].count() > 0
+    drawn = df.filter(~F.col("text").contains("odd"))
+    monkeypatch.setattr(phrases, "stage", lambda df, label, real=phrases.stage: real(drawn if label == "phrases-sample" else df, label))
+    assert {tuple(x) for x in phrases.collocations(df, min_count=8, sample=1).collect()} == want
+    assert len(passes) == 2 and all("odd" in r.phrase or "one" in r.phrase for r in passes[1].collect())
+
+
 def test_phrases_that_share_a_key_are_counted_apart(spark, monkeypatch):
     """Keys that nearly all phrases share: only the texts tell them apart."""
     monkeypatch.setattr(phrases, "longer", lambda keys, last: (keys ^ last) & np.uint64(3))
