@@ -37,7 +37,7 @@ HELD = 500_000  # phrases whose texts and counts a task holds, over its chunks
 SLICE = 250_000  # bytes of text that are split at a time, up to the end of a piece
 COUNTED = "lang string, k int, phrase string, f long"
 KEYS = "k int, key long, f long"
-BOTH = "lang string, k int, phrase string, key long, f long"
+BOTH = "said struct<lang string, k int, phrase string>, key long, f long"
 MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0a\x0b\x0c\x0d\x09", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 10 + b" ")
 
@@ -140,8 +140,10 @@ def member(bits: np.ndarray | None, keys: np.ndarray) -> np.ndarray:
         return np.zeros(len(keys), dtype=bool)
     mask = np.uint64(8 * len(bits) - 1)
     out = np.ones(len(keys), dtype=bool)
-    for place in (keys & mask, keys >> np.uint64(32) & mask):
-        out &= (bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+    for i in range(0, len(keys), 65_536):  # what it takes halfway stays small
+        some = keys[i:i + 65_536]
+        for place in (some & mask, some >> np.uint64(32) & mask):
+            out[i:i + 65_536] &= (bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
     return out
 
 
@@ -179,6 +181,7 @@ def texts_of(chunk: Chunk, wanted: np.ndarray, longest: int) -> Iterator[tuple[i
     The keys are those of their border, once an occurrence. Length 0 counts all words.
     """
     words, texts = np.concatenate(chunk.words), list(chunk.ids)
+    chunk.words, chunk.ids = [], Ids()
     single, joined = chunk.taken()
     yield 0, [b""], np.array([len(words)]), single[:0]
     fits = member(wanted, single)
@@ -209,6 +212,7 @@ def missed_of(chunk: Chunk, wanted: np.ndarray, done: np.ndarray | None, longest
     in ``done``. Their texts are cut out one by one, as most are expected in ``done``."""
     single, joined = chunk.taken()
     data, (start, stop) = b"".join(chunk.data), np.concatenate(chunk.spans, axis=1)
+    chunk.data, chunk.spans = [], []
     keys, new, old = single, member(wanted, single), member(done, single)
     for k in range(1, longest + 1):
         if k > 1:
@@ -327,27 +331,32 @@ def count_texts(docs: DataFrame, wanted: bytes, longest: int, done: bytes | None
     return docs.mapInArrow(run, COUNTED).groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f"))
 
 
-def wide(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """The batch with the columns of ``BOTH``, null where it has none."""
-    types = {"lang": pa.string(), "k": pa.int32(), "phrase": pa.string(), "key": pa.int64(), "f": pa.int64()}
-    have = dict(zip(batch.schema.names, batch.columns))
-    return pa.RecordBatch.from_arrays([have[c] if c in have else pa.nulls(batch.num_rows, t) for c, t in types.items()], names=list(types))
+def said(rows: pa.RecordBatch) -> pa.RecordBatch:
+    """(lang, k, phrase, f) as rows of ``BOTH`` without a key."""
+    phrases = pa.StructArray.from_arrays([rows["lang"], rows["k"], rows["phrase"]], names=["lang", "k", "phrase"])
+    return pa.RecordBatch.from_arrays([phrases, pa.nulls(len(phrases), pa.int64()), rows["f"]], names=["said", "key", "f"])
+
+
+def unsaid(rows: pa.RecordBatch) -> pa.RecordBatch:
+    """(k, key, f) as rows of ``BOTH`` without a phrase."""
+    none = pa.nulls(rows.num_rows, pa.struct([("lang", pa.string()), ("k", pa.int32()), ("phrase", pa.string())]))
+    return pa.RecordBatch.from_arrays([none, rows["key"], rows["f"]], names=["said", "key", "f"])
 
 
 def count_proposed(docs: DataFrame, known: bytes, longest: int) -> DataFrame:
-    """(lang, k, phrase, key, f) over all of ``docs`` (lang, text): the phrases in ``known`` by their texts, without a key, and their
-    border by keys, without a language and a text; k = 0 counts all words."""
+    """(said (lang, k, phrase), key, f) over all of ``docs`` (lang, text): the phrases in ``known`` by their texts, without a key, and
+    their border by keys alone; k = 0 counts all words."""
     sent = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, held = np.frombuffer(sent.value, dtype=np.uint8), Held()
         for chunk in chunks(batches, "ids"):
             for k, phrases, counts, border in texts_of(chunk, bits, longest):
-                yield from map(wide, held.add(chunk.lang, k, phrases, counts))
-                yield from map(wide, key_rows(k, *counts_of(border)))
-        yield from map(wide, held.left())
+                yield from map(said, held.add(chunk.lang, k, phrases, counts))
+                yield from map(unsaid, key_rows(k, *counts_of(border)))
+        yield from map(said, held.left())
 
-    return docs.mapInArrow(run, BOTH).groupBy("lang", "k", "phrase", "key").agg(F.sum("f").alias("f"))
+    return docs.mapInArrow(run, BOTH).groupBy("said", "key").agg(F.sum("f").alias("f"))
 
 
 def bitmap(keys: DataFrame, bits: int, earlier: bytes | None = None) -> bytes:
@@ -376,8 +385,8 @@ def frequent_phrases(docs: DataFrame, min_count: int, longest: int, sample: int
         release(likely)
     release(drawn)
     enough = F.col("f") >= min_count
-    counted = stage(count_proposed(docs, proposed, longest).filter(enough | (F.col("k") == 0)), "phrases-counted")
-    texts, known = counted.filter("key is null").drop("key"), bitmap(counted.filter("key is not null"), bits, proposed)
+    counted = stage(count_proposed(docs, proposed, longest).filter(enough | (F.col("said.k") == 0)), "phrases-counted")
+    texts, known = counted.filter("key is null").select("said.*", "f"), bitmap(counted.filter("key is not null"), bits, proposed)
     if known != proposed:
         found = stage(count_keys(docs, known, proposed, 2, longest).filter(enough).select("key"), "phrases-found")
         wanted = bitmap(found, bits, known)
