@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import combinations, repeat
 
 import numpy as np
@@ -25,47 +26,45 @@ from dqlake.llm.graph import components
 COUNTED = 16  # bits of a partition that the candidate estimate looks at
 CELL = 4096  # index entries that a task holds at once
 PROBE = 32  # what sending a probe costs, in verified candidates
+ROUND = 1024  # bytes of entries and probes that a round of partitions moves for each fingerprint, about
+TURNS = 4  # parts by shingle in which prefixes meet, one after the other
 SAMPLE = 20_000  # documents whose shingles are counted to tell frequent ones; any order of shingles gives the same links
 FREQUENT = 2**18  # shingles that are known to be frequent, at most
 C1, C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
-def fingerprint(text: bytes, words: int, bits: int = 64, repeats: bool = True) -> bytes:
-    """Majority of the bits of all shingles' XXH64 (seed 42); bits beyond 64 come from mixing that hash.
-
-    Zero for a text without words; ``repeats`` counts a shingle as often as it occurs.
-    """
+def hashes_of(text: bytes, words: int) -> np.ndarray:
+    """XXH64 (seed 42) of all shingles of a text; none for a text without words."""
     tokens = text.lower().split()  # of bytes: A-Z only, and the six ASCII blanks
     if not tokens:
-        return bytes(bits // 8)
+        return np.empty(0, dtype=np.uint64)
     shingles = map(b" ".join, zip(*(tokens[i:] for i in range(words)), strict=False)) if len(tokens) > words else iter([b" ".join(tokens)])
-    n = max(1, len(tokens) - words + 1)
-    hashes = map(xxhash.xxh64_intdigest, shingles, repeat(42))
-    if not repeats:
-        distinct = np.unique(np.fromiter(hashes, dtype=np.uint64, count=n))
-        hashes, n = iter(distinct.tolist()), len(distinct)
-    ones, left = np.zeros(bits, dtype=np.int64), n
-    while left:
-        part = min(left, 16384)
-        block = np.fromiter(hashes, dtype=np.uint64, count=part)
-        for w in range(bits // 64):
-            word = block
-            if w:
-                word = (block ^ np.uint64(int(C1) * w % 2**64)) * C2
-                word = (word ^ (word >> np.uint64(32))) * C1
-                word ^= word >> np.uint64(29)
-            ones[64 * w:64 * w + 64] += np.unpackbits(word.view(np.uint8).reshape(part, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        left -= part
-    return np.packbits(2 * ones > n, bitorder="little").view("<u8").astype(">u8").tobytes()
+    return np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(42)), dtype=np.uint64, count=max(1, len(tokens) - words + 1))
 
 
 def shingle_set(text: bytes, words: int) -> np.ndarray:
-    """The distinct hashes of a text's shingles in order, as ``fingerprint`` takes them; none for a text without words."""
-    tokens = text.lower().split()
-    if not tokens:
-        return np.empty(0, dtype=np.uint64)
-    shingles = map(b" ".join, zip(*(tokens[i:] for i in range(words)), strict=False)) if len(tokens) > words else [b" ".join(tokens)]
-    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(42)), dtype=np.uint64))
+    """The distinct hashes of a text's shingles in order; none for a text without words."""
+    return np.unique(hashes_of(text, words))
+
+
+def majority(hashes: np.ndarray, bits: int) -> bytes:
+    """Majority of the bits of the hashes; bits beyond 64 come from mixing them. Zero without hashes."""
+    ones = np.zeros(bits, dtype=np.int64)
+    for at in range(0, len(hashes), 255):  # as many as a byte counts
+        block = hashes[at:at + 255]
+        words = np.empty((len(block), bits // 64), dtype=np.uint64)
+        words[:, 0] = block
+        for w in range(1, bits // 64):
+            word = (block ^ np.uint64(int(C1) * w % 2**64)) * C2
+            word = (word ^ (word >> np.uint64(32))) * C1
+            words[:, w] = word ^ (word >> np.uint64(29))
+        ones += np.add.reduce(np.unpackbits(words.view(np.uint8), axis=1, bitorder="little"), axis=0, dtype=np.uint8)
+    return np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8").astype(">u8").tobytes()
+
+
+def fingerprint(text: bytes, words: int, bits: int = 64, repeats: bool = True) -> bytes:
+    """Majority of the bits of all shingles' hashes; ``repeats`` counts a shingle as often as it occurs."""
+    return majority(hashes_of(text, words) if repeats else shingle_set(text, words), bits)
 
 
 def digest_of(shingles: np.ndarray) -> bytes:
@@ -79,7 +78,8 @@ def fingerprints(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in batch.column(1)]
-            fps = [fingerprint(t, words, bits, repeats) + (digest_of(shingle_set(t, words)) if digest else b"") for t in texts]
+            found = (hashes_of(t, words) if repeats else shingle_set(t, words) for t in texts)
+            fps = [majority(h, bits) + (digest_of(np.unique(h)) if digest else b"") for h in found]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.binary())], ["doc_id", "fp"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
@@ -118,8 +118,10 @@ def correlation(fps: DataFrame, bits: int) -> np.ndarray:
         return pa.table({"i": group["i"].slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
 
     out = np.zeros((bits, bits))
-    for i, sums in fps.select("fp").mapInArrow(run, "i int, sums binary").groupBy("i").applyInArrow(add, "i int, sums binary").collect():
+    summed = stage(fps.select("fp").mapInArrow(run, "i int, sums binary").groupBy("i").applyInArrow(add, "i int, sums binary"), "correlation")
+    for i, sums in summed.collect():
         out[i] = np.frombuffer(sums)
+    release(summed)
     return out
 
 
@@ -186,36 +188,78 @@ def masks(bits: int, radius: int) -> np.ndarray:
     return np.array([sum(1 << b for b in c) for r in range(radius + 1) for c in combinations(range(bits), r)], dtype=np.int64)
 
 
-def entries(groups: list[list[int]], near: list[np.ndarray], units: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Fingerprints to index entries (probe false, every partition) and probes (the ball around the value, but for the value).
+def thresholds(groups: list[list[int]], near: list[np.ndarray], units: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(fp, node) with ``units``: a byte per partition, its threshold + 1."""
+    low, most = (1 << COUNTED) - 1, len(near[0])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                fps, costs = words_of(part.column(0)), []
+                for p, g in enumerate(groups):
+                    own, cost = values(fps, g) & low, np.zeros((most + 1, len(fps)))
+                    thin = 2.0 ** -max(0, len(g) - COUNTED)
+                    for t in range(most):
+                        cost[t + 1] = near[p][t][own] * thin + PROBE * sum(math.comb(len(g), r) for r in range(t + 1))
+                    costs.append(cost)
+                given = [u.tobytes() for u in allocate(costs, units).astype(np.uint8)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(given, pa.binary())], ["fp", "node", "units"])
+    return run
+
+
+def units_of(column: pa.Array, parts: int) -> np.ndarray:
+    return np.frombuffer(b"".join(v.as_buffer() for v in column), dtype=np.uint8).reshape(-1, parts)
+
+
+def entry_counts(rows: DataFrame, groups: list[list[int]], most: int) -> list[int]:
+    """Entries and probes that the rows of ``thresholds`` make, by partition."""
+    parts = len(groups)
+    ball = np.array([[1 + sum(math.comb(len(g), r) for r in range(1, u)) for u in range(most + 2)] for g in groups])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(parts, dtype=np.int64)
+        for batch in batches:
+            total += ball[np.arange(parts), units_of(batch.column(0), parts)].sum(axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), pa.array(total)], ["part", "n"])
+
+    out = [0] * parts
+    for p, n in rows.select("units").mapInArrow(run, "part int, n long").groupBy("part").agg(F.sum("n")).collect():
+        out[p] = n
+    return out
+
+
+def rounds(counts: list[int], most: float) -> list[list[int]]:
+    """The partitions, a few after each other in a round, so that their rows add up to ``most`` or are those of one."""
+    out: list[list[int]] = []
+    for p, n in enumerate(counts):
+        if out and sum(counts[q] for q in out[-1]) + n <= most:
+            out[-1].append(p)
+        else:
+            out.append([p])
+    return out
+
+
+def entries(groups: list[list[int]], some: list[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows of ``thresholds`` to index entries (probe false) and probes (the ball around the value, but for the value) in some partitions.
 
     The entry itself stands for the probe of its own value: all entries of a value are compared.
     """
-    low, most = (1 << COUNTED) - 1, len(near[0])
-
-    def rows(fps: np.ndarray, nodes: np.ndarray) -> Iterator[tuple[int, bool, np.ndarray, np.ndarray, np.ndarray]]:
-        own = [values(fps, g) for g in groups]
-        costs = []
-        for p, g in enumerate(groups):
-            cost = np.zeros((most + 1, len(fps)))
-            thin = 2.0 ** -max(0, len(g) - COUNTED)
-            for t in range(most):
-                cost[t + 1] = near[p][t][own[p] & low] * thin + PROBE * sum(math.comb(len(g), r) for r in range(t + 1))
-            costs.append(cost)
-        given = allocate(costs, units)
-        for p, g in enumerate(groups):
-            yield p, False, own[p], fps, nodes
-            for t in range(1, most):
+    def rows(fps: np.ndarray, nodes: np.ndarray, given: np.ndarray) -> Iterator[tuple[int, bool, np.ndarray, np.ndarray, np.ndarray]]:
+        for p in some:
+            own, g = values(fps, groups[p]), groups[p]
+            yield p, False, own, fps, nodes
+            for t in range(1, int(given[:, p].max())):
                 mine = np.flatnonzero(given[:, p] == t + 1)
                 if len(mine):
                     flips = masks(len(g), t)[1:]
-                    yield p, True, (own[p][mine, None] ^ flips).ravel(), np.repeat(fps[mine], len(flips), axis=0), np.repeat(nodes[mine], len(flips))
+                    yield p, True, (own[mine, None] ^ flips).ravel(), np.repeat(fps[mine], len(flips), axis=0), np.repeat(nodes[mine], len(flips))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps, nodes = words_of(batch.column(0)), batch.column(1).to_numpy()
+            fps, nodes, given = words_of(batch.column(0)), batch.column(1).to_numpy(), units_of(batch.column(2), len(groups))
             for at in range(0, len(fps), 1024):
-                for p, probe, value, fp, node in rows(fps[at:at + 1024], nodes[at:at + 1024]):
+                for p, probe, value, fp, node in rows(fps[at:at + 1024], nodes[at:at + 1024], given[at:at + 1024]):
                     n = len(node)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(n, p, np.int32)), pa.array(value), pa.array(np.full(n, probe)), column_of(fp), pa.array(node)], ["part", "value", "probe", "fp", "node"])
     return run
@@ -309,34 +353,50 @@ def links(fps: DataFrame, bits: int, parts: int, units: int, distance: int, most
 
     Each fingerprint's thresholds (at most ``most``) plus one add up to ``units``; with distance + 1 units every pair within the
     distance is met. A value with more than ``cell`` index entries is dealt into cells of about ``cell``, which all its entries
-    and probes visit; a cell holds its entries and streams the visitors.
+    and probes visit; a cell holds its entries and streams the visitors. Thresholds are stored; entries and probes are made from
+    them a few partitions at a time (``ROUND``), as all at once would be several times the texts on disk.
     """
     groups = deal_bits(correlation(fps, bits), parts)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fp = words_of(batch.column(0))
-            for p, g in enumerate(groups if batch.num_rows else []):
-                v, n = np.unique(values(fp, g[:COUNTED]), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), p, np.int32)), pa.array(v), pa.array(n)], ["part", "value", "n"])
+    def counted(width: int) -> DataFrame:
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                fp = words_of(batch.column(0))
+                for p, g in enumerate(groups if batch.num_rows else []):
+                    v, n = np.unique(values(fp, g[:width]), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(v), p, np.int32)), pa.array(v), pa.array(n)], ["part", "value", "n"])
+
+        return fps.select("fp").mapInArrow(count, "part int, value long, n long").groupBy("part", "value").agg(F.sum("n").alias("n"))
 
-    counted = fps.select("fp").mapInArrow(count, "part int, value long, n long").groupBy("part", "value").agg(F.sum("n").alias("n"))
     counts = [np.zeros(1 << min(len(g), COUNTED), dtype=np.int64) for g in groups]  # at most parts * 2^16 numbers
-    seen = counted.toArrow()
+    low = stage(counted(COUNTED), "low-values")
+    seen = low.toArrow()
     part, value, n = (seen[c].to_numpy() for c in ("part", "value", "n"))
     for p in range(parts):
         counts[p][value[part == p]] = n[part == p]
     near = [near_counts(c, min(len(g), COUNTED), most)[:most + 1] for c, g in zip(counts, groups, strict=True)]
-    rows = stage(fps.select("fp", "node").mapInArrow(entries(groups, near, units), "part int, value long, probe boolean, fp binary, node long"), "entries")
-    large = stage(rows.filter("NOT probe").groupBy("part", "value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > cell)
-                  .select(F.col("part").alias("p_"), F.col("value").alias("v_"), F.ceil(F.col("n") / cell).cast("int").alias("cells")), "large-values")
-    met = rows.join(large, (F.col("part") == F.col("p_")) & (F.col("value") == F.col("v_")), "left").withColumn("cells", F.coalesce("cells", F.lit(1)))
-    met = met.withColumn("own", F.when(~F.col("probe"), F.pmod(F.xxhash64("node"), F.col("cells")).cast("int")))
-    dealt = met.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
-    dealt = dealt.select("part", "value", "chunk", (~F.col("chunk").eqNullSafe(F.col("own"))).alias("probe"), "fp", "node")
-    dealt = dealt.repartition("part", "value", "chunk").sortWithinPartitions("part", "value", "chunk", "probe")
-    out = stage(dealt.mapInArrow(verified(distance), "a long, b long"), "fp-links")
-    release(rows, large)
+    every = low if max(map(len, groups)) <= COUNTED else counted(bits)
+    large = stage(every.filter(F.col("n") > cell).select(F.col("part").alias("p_"), F.col("value").alias("v_"), F.ceil(F.col("n") / cell).cast("int").alias("cells")), "large-values")
+    kept = stage(fps.select("fp", "node").mapInArrow(thresholds(groups, near, units), "fp binary, node long, units binary"), "thresholds")
+    found = []
+    for some in rounds(entry_counts(kept, groups, most), kept.count() * ROUND / (bits // 8 + 21)):
+        rows = kept.mapInArrow(entries(groups, some), "part int, value long, probe boolean, fp binary, node long")
+        met = rows.join(large, (F.col("part") == F.col("p_")) & (F.col("value") == F.col("v_")), "left").withColumn("cells", F.coalesce("cells", F.lit(1)))
+        met = met.withColumn("own", F.when(~F.col("probe"), F.pmod(F.xxhash64("node"), F.col("cells")).cast("int")))
+        dealt = met.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+        dealt = dealt.select("part", "value", "chunk", (~F.col("chunk").eqNullSafe(F.col("own"))).alias("probe"), "fp", "node")
+        dealt = dealt.repartition("part", "value", "chunk").sortWithinPartitions("part", "value", "chunk", "probe")
+        found.append(stage(dealt.mapInArrow(verified(distance), "a long, b long"), "fp-links"))
+    release(low, large, kept)
+    return together(found, "fp-links")
+
+
+def together(found: list[DataFrame], label: str) -> DataFrame:
+    """Stored tables of links as one; they are removed."""
+    if len(found) == 1:
+        return found[0]
+    out = stage(reduce(DataFrame.union, found).distinct(), label)
+    release(*found)
     return out
 
 
@@ -399,31 +459,71 @@ def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
     return texts.select("node", "text").mapInArrow(run, "node long, shingles array<long>")
 
 
-def similar_links(found: DataFrame, docs: DataFrame, words: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
-    """The links (a, b) whose texts' sets of shingles have a Jaccard similarity of ``similarity`` or more, by the sets themselves."""
-    ends = stage(found.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "link-ends")
-    sets = stage(shingle_sets(texts_of(docs, ends, words, id_col, text_col), words), "link-sets")
-    pairs = found.distinct().join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b")
-    both = F.size(F.array_intersect("left", "right"))
-    alike = both >= similarity * (F.size("left") + F.size("right") - both) - 1e-9
-    out = stage(pairs.filter(alike).select("a", "b").distinct(), "similar-links")
-    release(ends, sets, found)
-    return out
+def similar_links(found: DataFrame, nodes: int, docs: DataFrame, words: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
+    """The links (a, b) whose texts' sets of shingles have a Jaccard similarity of ``similarity`` or more, by the sets themselves.
+
+    A set is larger than its text, so a round takes as many links as have about half of the ``nodes`` for ends.
+    """
+    pairs = stage(found.distinct(), "links-to-compare")
+    release(found)
+    turns, out = max(1, math.ceil(4 * pairs.count() / max(1, nodes))), []
+    for turn in range(turns):
+        some = pairs.filter(F.pmod(F.xxhash64("a", "b"), F.lit(turns)) == turn)
+        ends = stage(some.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "link-ends")
+        sets = stage(shingle_sets(texts_of(docs, ends, words, id_col, text_col), words), "link-sets")
+        both = F.size(F.array_intersect("left", "right"))
+        alike = both >= similarity * (F.size("left") + F.size("right") - both) - 1e-9
+        out.append(stage(some.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b").filter(alike).select("a", "b").distinct(), "similar-links"))
+        release(ends, sets)
+    release(pairs)
+    return together(out, "similar-links")
+
+
+def parities(shingles: np.ndarray) -> bytes:
+    """Bits by the lowest bits of the hashes, as many as there are shingles or up to twice that: whether their number is odd."""
+    bits = max(64, 1 << (len(shingles) - 1).bit_length())
+    counts = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def may_be_similar(similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Pairs with sizes and parities to those that may have the similarity: sets differ in one shingle at least for each bit that differs."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch.column("a_size").to_numpy() + batch.column("b_size").to_numpy()
+            most = sizes * ((1 - similarity) / (1 + similarity)) + 1e-6
+            sides = [batch.column("a_bits"), batch.column("b_bits")]
+            widths = np.stack([np.array([len(v.as_buffer()) for v in side], dtype=np.int64) for side in sides], axis=1).reshape(-1, 2)
+            kept = np.zeros(len(sizes), dtype=bool)
+            for pair in np.unique(widths, axis=0):
+                at = np.flatnonzero((widths == pair).all(axis=1))
+                folded = []
+                for side, width in zip(sides, pair.tolist(), strict=True):
+                    bits = np.frombuffer(b"".join(v.as_buffer() for v in side.take(pa.array(at))), dtype=np.uint64).reshape(len(at), -1)
+                    while width > pair.min():
+                        width //= 2
+                        bits = bits[:, :width // 8] ^ bits[:, width // 8:]
+                    folded.append(bits)
+                kept[at] = np.bitwise_count(folded[0] ^ folded[1]).sum(axis=1, dtype=np.int64) <= most[at]
+            yield batch.select(["a", "b"]).filter(pa.array(kept))
+    return run
 
 
 def prefixes(words: int, similarity: float, frequent: np.ndarray, often: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Texts to rows of their sets' prefixes: the shingles that come first when rare ones precede frequent ones.
 
     Two sets of the similarity share a shingle among the first n - ceil(similarity * n) + 1 of either, whatever the order is.
+    A set's first row has its ``parities``.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                tokens, sizes = [np.empty(0, np.uint64)], []
+                tokens, sizes, bits = [np.empty(0, np.uint64)], [], []
                 for text in part.column(2):
                     found = shingle_set(text.as_buffer().to_pybytes() if text.is_valid else b"", words)
                     sizes.append(len(found))
+                    bits.append(parities(found) if len(found) else b"")
                     if len(frequent):
                         place = np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)
                         found = found[np.argsort(np.where(frequent[place] == found, often[place], 0), kind="stable")]
@@ -433,7 +533,8 @@ def prefixes(words: int, similarity: float, frequent: np.ndarray, often: np.ndar
                 place = np.arange(len(of)) - np.repeat(np.cumsum(kept) - kept, kept)
                 columns = [pa.array(np.concatenate(tokens).view(np.int64)), part.column(0).take(pa.array(of)), part.column(1).take(pa.array(of))]
                 rest = [pa.array(v.astype(np.int32)) for v in (np.array(sizes, dtype=np.int64)[of], place)]
-                yield pa.RecordBatch.from_arrays(columns + rest, ["token", "node", "component", "size", "place"])
+                once = pa.array(bits, pa.binary()).take(pa.array(of, mask=place > 0))
+                yield pa.RecordBatch.from_arrays([*columns, *rest, once], ["token", "node", "component", "size", "place", "bits"])
     return run
 
 
@@ -441,29 +542,38 @@ def remaining_links(nodes: DataFrame, linked: DataFrame, docs: DataFrame, words:
     """(a, b): every link of the similarity between ``nodes`` that ``linked`` leaves in different components, by prefix filtering.
 
     Shingles are ordered by their counts in a sample of at most about ``SAMPLE`` nodes. Nodes that share a shingle of their prefixes
-    are candidates when the sets' sizes and the shingle's places leave room for the overlap; the sets themselves decide.
+    are candidates when the sets' sizes and the shingle's places leave room for the overlap, and parities of the sets do not rule it
+    out; the sets themselves decide. Shingles meet in ``TURNS`` parts, so that a fraction of the prefixes is moved at a time.
     """
     tree = components(linked).withColumnRenamed("node", "child")
     named = nodes.select("node").distinct().join(tree, F.col("node") == F.col("child"), "left").select("node", F.coalesce("component", "node").alias("component"))
     named = stage(named, "node-components")
-    every = max(1, math.ceil(named.count() / SAMPLE))
-    sample = texts_of(docs, named.filter(F.pmod(F.xxhash64("node"), F.lit(every)) == 0), words, id_col, text_col)
+    total = named.count()
+    sample = texts_of(docs, named.filter(F.pmod(F.xxhash64("node"), F.lit(max(1, math.ceil(total / SAMPLE)))) == 0), words, id_col, text_col)
     counted = shingle_sets(sample, words).select(F.explode("shingles").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    seen = counted.filter("n > 2").orderBy(F.col("n").desc(), "token").limit(FREQUENT).toArrow()
+    counted = stage(counted.filter("n > 2"), "sampled-shingles")
+    seen = counted.orderBy(F.col("n").desc(), "token").limit(FREQUENT).toArrow()
     token, n = seen["token"].to_numpy().view(np.uint64), seen["n"].to_numpy()
     order = np.argsort(token)
     rows = texts_of(docs, named, words, id_col, text_col).select("node", "component", "text")
-    rows = stage(rows.mapInArrow(prefixes(words, similarity, token[order], n[order]), "token long, node long, component long, size int, place int"), "prefixes")
-    mixed = rows.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("token")
-    met = stage(rows.join(mixed, "token", "left_semi").distinct(), "shared-prefixes")
-    a, b = met.alias("a"), met.alias("b")
-    need = (F.col("a.size") + F.col("b.size")) * (similarity / (1 + similarity)) - 1e-6
-    room = F.least(F.col("a.size") - F.col("a.place"), F.col("b.size") - F.col("b.place")) >= need
-    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component")) & room)
-    found = stage(pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct(), "prefix-pairs")
-    out = similar_links(found, docs, words, similarity, id_col, text_col)
-    release(named, rows, met)
-    return out
+    rows = stage(rows.mapInArrow(prefixes(words, similarity, token[order], n[order]), "token long, node long, component long, size int, place int, bits binary"), "prefixes")
+    bits = rows.filter("bits IS NOT NULL").select("node", "size", "bits")
+    found = []
+    for turn in range(TURNS):
+        some = rows.filter(F.pmod("token", F.lit(TURNS)) == turn).drop("bits")
+        mixed = some.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("token")
+        met = stage(some.join(mixed, "token", "left_semi").distinct(), "shared-prefixes")
+        a, b = met.alias("a"), met.alias("b")
+        need = (F.col("a.size") + F.col("b.size")) * (similarity / (1 + similarity)) - 1e-6
+        room = F.least(F.col("a.size") - F.col("a.place"), F.col("b.size") - F.col("b.place")) >= need
+        pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component")) & room)
+        pairs = stage(pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct(), "prefix-pairs")
+        release(met)
+        ends = pairs.join(bits.toDF("a", "a_size", "a_bits"), "a").join(bits.toDF("b", "b_size", "b_bits"), "b")
+        found.append(stage(ends.mapInArrow(may_be_similar(similarity), "a long, b long").distinct(), "likely-pairs"))
+        release(pairs)
+    release(named, rows, counted)
+    return similar_links(together(found, "likely-pairs"), total, docs, words, similarity, id_col, text_col)
 
 
 def similar_documents(
@@ -486,7 +596,7 @@ def similar_documents(
 
     def find(nodes: DataFrame) -> DataFrame:
         fps = nodes.select("node", F.substring("fp", 1, bits // 8).alias("fp"))
-        near = similar_links(links(fps, bits, parts, parts, distance, 1), docs, words, similarity, id_col, text_col)
+        near = similar_links(links(fps, bits, parts, parts, distance, 1), nodes.count(), docs, words, similarity, id_col, text_col)
         rest = remaining_links(nodes, near, docs, words, similarity, id_col, text_col)
         out = stage(near.union(rest), "all-links")
         release(near, rest)
